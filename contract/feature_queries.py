@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from contract.inputs import VARIABLES, machine_frame, readings, table
 from contract.registry import query, r6, sql_floor, sql_grid, sql_quality, sql_r6, sql_readings, us
 from sensorweave.operators import frames, grid, impute, quality, windows
+from sensorweave.session import materialise
 
 K, WINDOW_S, EXPECTED_S = 4, 28_800, 7_200
 WINDOW_US = WINDOW_S * 1_000_000
@@ -29,9 +30,13 @@ ft AS (SELECT *, sqrt(list_max(power[2:])) AS fft_peak_amp, list_position(power[
 NAMES = windows.TIME_FEATURES + windows.SPECTRAL_FEATURES
 
 
+def flagged(spark, folder):
+    """The flagged readings as a written table: features and data sets read it several times."""
+    return materialise(quality.detect(readings(spark, folder, K), expected_s=EXPECTED_S), "flagged")
+
+
 def _windows(spark, folder, spectrum="native"):
-    flagged = quality.detect(readings(spark, folder, K), expected_s=EXPECTED_S)
-    return windows.window_features(flagged, WINDOW_S, spectrum=spectrum)
+    return windows.window_features(flagged(spark, folder), WINDOW_S, spectrum=spectrum)
 
 
 @query("window_features", f"WITH {WINDOWS} " + " UNION ALL ".join(

@@ -112,7 +112,7 @@ SOURCES = [catalog.TO_SOURCE[v] for v in VARIABLES]
 
 @query("pivot_renamed", f"WITH {MAX_MEAN} SELECT deployment_id, slot AS slot_us, {WIDE} FROM o GROUP BY deployment_id, slot")
 def pivot_renamed(spark, folder):
-    named = readings(spark, folder, K).withColumn("variable", catalog.source_of(F.col("variable")))
+    named = readings(spark, folder, K).withColumn("variable", catalog.source_of())
     slots = grid.collapse_max_or_mean(grid.with_floored_slot(named, STEP), context=("deployment_id",))
     wide = grid.rename_to_canonical(grid.pivot_wide(slots, columns=SOURCES))
     return wide.select("deployment_id", us("ts_slot").alias("slot_us"), *[r6(v).alias(v) for v in VARIABLES])

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.feature_queries import NAMES, WINDOWS, _windows
-from contract.inputs import readings
+from contract.feature_queries import EXPECTED_S, K, NAMES, WINDOW_S, WINDOWS, _windows, flagged
 from contract.registry import query, r6, sql_quality, sql_r6, us
 from contract.source_queries import _folder
-from sensorweave.operators import learn, quality, windows
+from sensorweave.operators import learn, windows
 from sensorweave.session import materialise
 
-K = 4
-EXPECTED_S = 7_200
-
 # measurements of the main signal with the following one, joined to the windows ending there
 NEXT = f"""nx AS (SELECT deployment_id, us, value, quality_code,
     lead(value) OVER w AS y_next, lead(quality_code) OVER w AS quality_next
@@ -24,13 +20,13 @@ ds AS (SELECT ft.deployment_id, ft.ts_us, {', '.join(f'ft.{n}' for n in NAMES)},
 
 
 def _signal(spark, folder):
-    rows = quality.detect(readings(spark, folder, K), expected_s=EXPECTED_S)
-    return rows.where(F.col("variable") == "acc_rms_radial")
+    return flagged(spark, folder).where(F.col("variable") == "acc_rms_radial")
 
 
 def _dataset(spark, folder):
-    features = learn.pivot_features(windows.features_long(_windows(spark, folder)))
-    return learn.supervised(features, _signal(spark, folder))
+    rows = flagged(spark, folder)
+    features = learn.pivot_features(windows.features_long(windows.window_features(rows, WINDOW_S)))
+    return learn.supervised(features, rows.where(F.col("variable") == "acc_rms_radial"))
 
 
 @query("feature_pivot", f"WITH {WINDOWS} SELECT deployment_id, ts_us, {', '.join(f'{sql_r6(n)} AS {n}' for n in NAMES)} FROM ft")
@@ -81,7 +77,7 @@ def persistence_error(spark, folder):
 
 
 def _labelled(spark, folder):
-    rows = quality.detect(readings(spark, folder, K), expected_s=EXPECTED_S).where("value IS NOT NULL")
+    rows = flagged(spark, folder).where("value IS NOT NULL")
     rows = rows.withColumn("label", learn.binary_quality(F.col("quality_code")))
     return rows.select("reading_id", "variable", "value", "quality_code", "label")
 

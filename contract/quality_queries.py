@@ -82,7 +82,7 @@ def vibration_stats_global(spark, folder):
 
 @query("outlier_flags", f"WITH {sql_quality(K)} SELECT reading_id, is_outlier, is_high FROM q WHERE variable IN {VIB}")
 def outlier_flags(spark, folder):
-    rows = readings(spark, folder, K).where(catalog.in_group(F.col("variable"), catalog.VIBRATION))
+    rows = readings(spark, folder, K).where(catalog.in_group(catalog.VIBRATION))
     return quality.flag_outliers(rows, quality.vibration_stats(rows)).select("reading_id", "is_outlier", "is_high")
 
 
@@ -181,12 +181,12 @@ SELECT reading_id, variable,
   CASE WHEN variable IN ('bearing_condition', 'total_run_time') THEN 'ffill' ELSE 'linear' END AS strategy
 FROM r""")
 def variable_catalog(spark, folder):
-    rows = readings(spark, folder, K).withColumn("source_name", catalog.source_of(F.col("variable")))
-    canonical = rows.withColumn("variable", catalog.canonical_of(F.col("source_name")))
+    rows = readings(spark, folder, K).withColumn("source_name", catalog.source_of())
+    canonical = rows.withColumn("variable", catalog.canonical_of("source_name"))
     return canonical.select(
         "reading_id", "variable", "source_name",
-        catalog.group_of(F.col("source_name")).alias("variable_group"),
-        catalog.strategy_of(F.col("variable")).alias("strategy"),
+        catalog.group_of("source_name").alias("variable_group"),
+        catalog.strategy_of().alias("strategy"),
     )
 
 

@@ -108,43 +108,56 @@ def spellings(names: list[str]) -> list[str]:
     return [s for name in names for s in (name, TO_SOURCE[name])]
 
 
-def in_group(variable: Column, *groups: str) -> Column:
-    return variable.isin(spellings(canonical_names(*groups)))
+def quoted(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "\\'") + "'" for v in values)
 
 
-def group_of(variable: Column) -> Column:
-    """Group of a variable; 'unknown' when it is not in the catalog."""
-    rule = F.lit(UNKNOWN)
-    for group in (ACCUMULATIVE, CATEGORICAL, PHYSICAL, VIBRATION):
-        rule = F.when(in_group(variable, group), group).otherwise(rule)
-    return rule
+def _cases(column: str, mapping: dict, otherwise: str) -> str:
+    def literal(v):
+        return quoted([v]) if isinstance(v, str) else repr(v)
 
+    whens = " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in mapping.items())
+    return f"CASE {column} {whens} ELSE {otherwise} END"
+
+
+# The expressions below are written as SQL text: long name lists cost one call, not one per name.
+
+def in_group(*groups: str, column: str = "variable") -> Column:
+    return F.expr(f"{column} IN ({quoted(spellings(canonical_names(*groups)))})")
 
-def strategy_of(variable: Column) -> Column:
-    """Fill strategy: 'ffill' for categories and counters, 'linear' for anything else."""
-    return F.when(in_group(variable, CATEGORICAL, ACCUMULATIVE), "ffill").otherwise("linear")
 
+def named(name: str, column: str = "variable") -> Column:
+    """Is it this variable, in either spelling?"""
+    return F.expr(f"{column} IN ({quoted(spellings([name]))})")
 
-def lookup(mapping: dict, key: Column) -> Column:
-    """Literal-map lookup, NULL when absent."""
-    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.create_map(*pairs)[key]
+
+def group_of(column: str = "variable") -> Column:
+    """Group of a variable; 'unknown' when it is not in the catalog."""
+    groups = {s: group for _, name, group, *_ in CATALOG for s in spellings([name])}
+    return F.expr(_cases(column, groups, quoted([UNKNOWN])))
+
+
+def strategy_of(column: str = "variable") -> Column:
+    """Fill strategy: 'ffill' for categories and counters, 'linear' for anything else."""
+    return F.when(in_group(CATEGORICAL, ACCUMULATIVE, column=column), "ffill").otherwise("linear")
 
 
-def canonical_of(variable: Column) -> Column:
-    return F.coalesce(lookup(TO_CANONICAL, variable), variable)
+def canonical_of(column: str = "variable") -> Column:
+    """Canonical name; a name that is not in the catalog is kept."""
+    return F.expr(_cases(column, TO_CANONICAL, column))
 
 
-def source_of(variable: Column) -> Column:
-    return F.coalesce(lookup(TO_SOURCE, variable), variable)
+def source_of(column: str = "variable") -> Column:
+    return F.expr(_cases(column, TO_SOURCE, column))
 
 
-def jump_limit_of(variable: Column) -> Column:
-    return lookup({s: v for n, v in JUMP_LIMITS.items() for s in (n, TO_SOURCE[n])}, variable)
+def jump_limit_of(column: str = "variable") -> Column:
+    limits = {s: v for n, v in JUMP_LIMITS.items() for s in spellings([n])}
+    return F.expr(_cases(column, limits, "NULL")).cast("double")
 
 
-def label_of(code: Column, labels: dict[int, str]) -> Column:
-    return F.coalesce(lookup(labels, code.cast("int")), F.lit(UNKNOWN_LABEL))
+def label_of(code: str, labels: dict[int, str]) -> Column:
+    return F.expr(_cases(code, labels, quoted([UNKNOWN_LABEL])))
 
 
 def catalog_frame(spark: SparkSession) -> DataFrame:
@@ -153,4 +166,4 @@ def catalog_frame(spark: SparkSession) -> DataFrame:
     frame = spark.createDataFrame(
         rows, "source_name string, variable string, group string, jump_limit double, domain array<int>"
     )
-    return frame.withColumn("strategy", strategy_of(F.col("variable")))
+    return frame.withColumn("strategy", strategy_of("variable"))

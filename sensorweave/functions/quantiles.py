@@ -1,41 +1,30 @@
 """Exact quantiles of groups of any size.
 
-The built-in exact `percentile` keeps every distinct value of a group in one task. Here a
-mergeable sketch only *places* cell borders close to the wanted ranks; cells are counted
-with map-side combine, the cell that holds a wanted rank is found from those counts, and
-only its values are ranked. The counts decide, so the result is exact however well or
-badly the sketch did; the sketch only keeps the ranked cells small.
+The built-in exact `percentile` keeps every distinct value of a group in one task. Here
+
+1. a mergeable sketch brackets every wanted rank of a group between two of its values,
+2. values are counted with map-side combine: single values inside a bracket, whole cells
+   outside (the values of a small group are all counted singly),
+3. the cell counts place the brackets, and only the cell holding a rank is ranked.
+
+Two passes over the input, and no task sees more of a group than a sliver of it. The
+sketch decides only what is kept; ranks come from the counts, and a rank that falls
+outside its bracket stops the query instead of giving a wrong number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-FAN_OUT = 1_024
-FAN_OUT_ROWS = 1_000_000
-
-
-def _cell(value: Column, total: Column, borders: Column, count: int) -> Column:
-    """Cell number, growing with the value.
-
-    Between two borders a very large group is cut further into equal-width pieces.
-    """
-    part = reduce(lambda a, b: a + b, [(value > borders[i]).cast("int") for i in range(count)])
-    inside = (part > 0) & (part < count) & (total > FAN_OUT_ROWS)
-    low = F.get(borders, part - 1)
-    high = F.get(borders, part)
-    share = F.try_divide(value - low, high - low) * FAN_OUT
-    piece = F.when(inside & share.between(0, FAN_OUT), F.least(F.floor(share), F.lit(FAN_OUT - 1)))
-    return part * FAN_OUT + F.coalesce(piece, F.lit(0))
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+SLACK = 3.0 / ACCURACY
+SMALL_GROUP = 100_000
+# a bracket of a group above SPREAD_ROWS is cut into PIECES of equal width
+SPREAD_ROWS = 100_000_000
+PIECES = 1_024
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -43,69 +32,59 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     NULL values are left out; a group without values gives no row.
     """
-    keys = list(keys)
-    group = keys or ["_all"]
-    values = df.where(F.col(value).isNotNull())
-    if not keys:
-        values = values.withColumn("_all", F.lit(0))
-    values = values.select(*group, F.col(value).cast("double").alias("_v"))
-
-    slack = 2.0 / ACCURACY
-    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-slack, slack)})
+    group = list(keys) or ["_all"]
+    by = ", ".join(f"`{k}`" for k in group)
+    chosen = [f"`{k}`" for k in keys] or ["0 AS _all"]
+    values = df.where(F.col(value).isNotNull()).selectExpr(*chosen, f"CAST(`{value}` AS DOUBLE) AS _v")
+
+    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-SLACK, SLACK)})
+    listed = ", ".join(f"{m!r}D" for m in marks)
     sketch = values.groupBy(*group).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", marks, ACCURACY).alias("_borders"),
+        F.expr("count(_v) AS _n"), F.expr(f"percentile_approx(_v, array({listed}), {ACCURACY}) AS _marks")
+    )
+    # one row when there are no keys; else AQE broadcasts the sketch if it turns out small,
+    # and splits a skewed group if it does not
+    placed = values.join(sketch if keys else F.broadcast(sketch), group)
+
+    def mark(p: float, side: int) -> str:
+        return f"_marks[{marks.index(min(1.0, max(0.0, p + side * SLACK)))}]"
+
+    near = " OR ".join(f"_v BETWEEN {mark(p, -1)} AND {mark(p, 1)}" for p in probs.values())
+    # cells 2i + 1 hold the values equal to mark i, cells 2i those between mark i - 1 and i
+    cell = " + ".join(f"int(_v > _marks[{i}]) + int(_v >= _marks[{i}])" for i in range(len(marks)))
+    piece = f"floor({PIECES} * (_v - get(_marks, _c div 2 - 1)) / (get(_marks, _c div 2) - get(_marks, _c div 2 - 1)))"
+    cut = f"IF(_near AND _n > {SPREAD_ROWS} AND _c % 2 = 0, {piece}, 0)"
+    counted = (
+        placed.selectExpr(*group, "_v", "_n", "_marks", f"IF(_n > {SMALL_GROUP}, {cell}, 0) AS _c",
+                          f"_n <= {SMALL_GROUP} OR {near} AS _near")
+        .selectExpr(*group, "_n", f"_c * {PIECES + 1} + coalesce({cut}, 0) AS _cell", "IF(_near, _v, NULL) AS _v")
+        .groupBy(*group, "_n", "_cell", "_v")
+        .agg(F.expr("count(1) AS _rows"))
     )
 
-    def place(guide: DataFrame) -> DataFrame:
-        # one guide row when there are no keys; else AQE broadcasts the guide if it turns
-        # out small, and splits a skewed group if it does not
-        guide = guide if keys else F.broadcast(guide)
-        cell = _cell(F.col("_v"), F.col("_n"), F.col("_borders"), len(marks))
-        return values.join(guide, group).withColumn("_cell", cell)
-
-    rank = {name: (F.col("_n") - 1) * F.lit(p) for name, p in probs.items()}
-    low = {name: F.floor(r) for name, r in rank.items()}
-    high = {name: F.ceil(r) for name, r in rank.items()}
-
-    def holds(target: Column, start: Column, rows: Column) -> Column:
-        return (target >= start) & (target < start + rows)
-
-    # rows per cell, and the few cells (two per quantile at most) a wanted rank falls into
-    upto = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    # ranks wanted, 0-based, and the test whether rows [start, start + count) hold one
+    rank = {name: f"(_n - 1) * {p!r}D" for name, p in probs.items()}
+    ends = {f"_{side}_{name}": f"{fn}({r})" for name, r in rank.items() for side, fn in (("low", "floor"), ("high", "ceil"))}
+    held = " OR ".join(f"({r} >= _before AND {r} < _before + _cell_rows)" for r in ends.values())
     cells = (
-        place(sketch)
-        .groupBy(*group, "_cell", "_n")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows"))
+        counted.groupBy(*group, "_n", "_cell")
+        .agg(F.expr("sum(_rows) AS _cell_rows"))
+        .selectExpr(*group, "_n", "_cell", "_cell_rows",
+                    f"sum(_cell_rows) OVER (PARTITION BY {by} ORDER BY _cell) - _cell_rows AS _before")
+        .where(held)
+        .select(*group, "_cell", "_before")
     )
-    targets = [*low.values(), *high.values()]
-    wanted = (
-        cells.where(_any([holds(t, F.col("_before"), F.col("_rows")) for t in targets]))
-        .groupBy(*group)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_cell", "_before"))).alias("_wanted"))
+    ranked = counted.join(cells, [*group, "_cell"]).selectExpr(
+        *group, "_n", "_v", "_rows",
+        f"_before + sum(_rows) OVER (PARTITION BY {by}, _cell ORDER BY _v ROWS UNBOUNDED PRECEDING) - _rows AS _start",
     )
-
-    upto = Window.partitionBy(*group, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        place(sketch.join(wanted, group))
-        .withColumn("_before", F.col("_wanted")[F.col("_cell")])
-        .where(F.col("_before").isNotNull())
-        .groupBy(*group, "_cell", "_n", "_before", "_v")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_start", F.col("_before") + F.sum("_rows").over(upto) - F.col("_rows"))
+    found = ranked.groupBy(*group, "_n").agg(
+        *[F.expr(f"min(IF({r} >= _start AND {r} < _start + _rows, _v, NULL)) AS `{end}`") for end, r in ends.items()]
     )
-    start, rows = F.col("_start"), F.col("_rows")
-    picks = [
-        F.min(F.when(holds(at[name], start, rows), F.col("_v"))).alias(f"_{side}_{name}")
-        for name in probs
-        for side, at in (("low", low), ("high", high))
-    ]
-    found = ranked.groupBy(*group, "_n").agg(*picks)
-    lerp = [
-        (
-            F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * (rank[n] - F.floor(rank[n]))
-        ).alias(n)
-        for n in probs
-    ]
-    return found.select(*keys, *lerp)
+
+    def line(name: str) -> str:
+        low, high = f"`_low_{name}`", f"`_high_{name}`"
+        lost = "raise_error('quantile outside its bracket')"
+        return f"IF({low} IS NULL OR {high} IS NULL, {lost}, {low} + ({high} - {low}) * ({rank[name]} - floor({rank[name]}))) AS `{name}`"
+
+    return found.selectExpr(*[f"`{k}`" for k in keys], *[line(name) for name in probs])

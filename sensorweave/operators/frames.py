@@ -83,7 +83,7 @@ def mask_outside_iqr(df: DataFrame, columns: Sequence[str] | None = None, factor
 def mask_series_outside_iqr(df: DataFrame, factor: float = catalog.IQR_FACTOR, skip: Column | None = None) -> DataFrame:
     """Long form of the IQR mask: per (deployment, variable), counters skipped by default."""
     keys = ["deployment_id", "variable"]
-    skip = catalog.in_group(F.col("variable"), catalog.ACCUMULATIVE) if skip is None else skip
+    skip = catalog.in_group(catalog.ACCUMULATIVE) if skip is None else skip
     quartiles = exact_quantiles(df.where(~skip), keys, "value", {"q1": 0.25, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * factor
     value = F.col("value")
@@ -94,6 +94,16 @@ def mask_series_outside_iqr(df: DataFrame, factor: float = catalog.IQR_FACTOR, s
 
 # --- frames of rows ----------------------------------------------------------------
 
+def _rolled(columns: Sequence[str], rows: int) -> dict[str, Column]:
+    frame = _series().rowsBetween(1 - rows, 0)
+    stats = {"MEAN": F.avg, "STD": F.stddev_samp, "MAX": F.max}
+    return {f"{c}_{name}_W{rows}": full_frame(fn, F.col(c), frame, rows) for c in columns for name, fn in stats.items()}
+
+
+def _step(column: str) -> Column:
+    return F.col(column) - F.lag(column).over(_series())
+
+
 def rolling_features(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -102,12 +112,7 @@ def rolling_features(
 ) -> DataFrame:
     """Rolling mean, std and max of the vibration columns over full frames of `rows` values."""
     columns = list(columns or vibration_columns(df))
-    frame = _series().rowsBetween(1 - rows, 0)
-    stats = {"MEAN": F.avg, "STD": F.stddev_samp, "MAX": F.max}
-    derived = {
-        f"{c}_{name}_W{rows}": full_frame(fn, F.col(c), frame, rows) for c in columns for name, fn in stats.items()
-    }
-    return _finish(_blocks(df, rows - 1, 0, step_s).withColumns(derived))
+    return _finish(_blocks(df, rows - 1, 0, step_s).withColumns(_rolled(columns, rows)))
 
 
 def smooth(
@@ -127,8 +132,7 @@ def smooth(
 
 def difference(df: DataFrame, column: str = "skin_temp", step_s: int | None = None) -> DataFrame:
     """`<column>_DELTA`: change since the previous row."""
-    step = F.col(column) - F.lag(column).over(_series())
-    return _finish(_blocks(df, 1, 0, step_s).withColumn(f"{column}_DELTA", step))
+    return _finish(_blocks(df, 1, 0, step_s).withColumn(f"{column}_DELTA", _step(column)))
 
 
 # --- expressions on one row --------------------------------------------------------
@@ -153,11 +157,14 @@ def with_ratios(df: DataFrame) -> DataFrame:
     return df.withColumn("Vib_Energy_Total", row_mean(columns)) if columns else df
 
 
+def with_top(df: DataFrame, column: str = "total_run_time") -> DataFrame:
+    """`_top`: the largest value of the column in the deployment."""
+    return df.join(df.groupBy(*KEYS).agg(F.max(column).alias("_top")), list(KEYS), "left")
+
+
 def with_life_proxy(df: DataFrame, column: str = "total_run_time") -> DataFrame:
     """Running time relative to the largest of the deployment."""
-    top = df.groupBy(*KEYS).agg(F.max(column).alias("_top"))
-    joined = df.join(top, list(KEYS), "left")
-    return joined.withColumn("RUL_Proxy", F.try_divide(F.col(column), F.col("_top"))).drop("_top")
+    return with_top(df, column).withColumn("RUL_Proxy", F.try_divide(F.col(column), F.col("_top"))).drop("_top")
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -165,13 +172,18 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def engineer(df: DataFrame, rows: int = catalog.ROLLING_ROWS, step_s: int | None = None) -> DataFrame:
-    """Rolling features, ratios, temperature change, life proxy; complete rows only."""
-    df = with_ratios(rolling_features(df, rows=rows, step_s=step_s))
+    """Rolling features, ratios, temperature change, life proxy; complete rows only.
+
+    All features that look at earlier rows share one cut into blocks.
+    """
+    top = "total_run_time" in df.columns
+    blocks = _blocks(with_top(df) if top else df, rows - 1, 0, step_s)
+    derived = _rolled(vibration_columns(df), rows)
     if "skin_temp" in df.columns:
-        df = difference(df, "skin_temp", step_s)
-    if "total_run_time" in df.columns:
-        df = with_life_proxy(df)
-    return drop_incomplete(df)
+        derived["skin_temp_DELTA"] = _step("skin_temp")
+    if top:
+        derived["RUL_Proxy"] = F.try_divide(F.col("total_run_time"), F.col("_top"))
+    return drop_incomplete(with_ratios(_finish(blocks.withColumns(derived)).drop("_top")))
 
 
 # --- standardisation ---------------------------------------------------------------

@@ -86,7 +86,7 @@ def collapse_max_or_mean(df: DataFrame, context: Sequence[str] = CONTEXT) -> Dat
     both = df.groupBy(*_present(df, context), "ts_slot", "variable").agg(
         F.max("value").alias("_max"), F.avg("value").alias("_mean")
     )
-    counter = catalog.in_group(F.col("variable"), catalog.ACCUMULATIVE)
+    counter = catalog.in_group(catalog.ACCUMULATIVE)
     return both.withColumn("value", F.when(counter, F.col("_max")).otherwise(F.col("_mean"))).drop("_max", "_mean")
 
 
@@ -225,7 +225,7 @@ def regular_unfilled(
     Long form, with the fill context of `complete_grid`.
     """
     collapsed = collapse_last(assign_slots(df, step_s, jitter_s), context=("deployment_id",))
-    return complete_grid(collapsed.withColumn("variable", catalog.canonical_of(F.col("variable"))), step_s)
+    return complete_grid(collapsed.withColumn("variable", catalog.canonical_of()), step_s)
 
 
 def resample_mean(df: DataFrame, step_s: int = catalog.RESAMPLE_S) -> DataFrame:

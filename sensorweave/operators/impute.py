@@ -54,7 +54,7 @@ def fill_short_runs(df: DataFrame, limit: int = catalog.IMPUTE_LIMIT, strategy:
     Linear variables are interpolated (a run at the end takes the last value), the others
     take the last value. `processing_code`: 0 original, 1 linear, 2 carried, 3 still NULL.
     """
-    strategy = catalog.strategy_of(F.col("variable")) if strategy is None else strategy
+    strategy = catalog.strategy_of() if strategy is None else strategy
     fillable = _empty() & (run_length() <= limit)
     linear = strategy == "linear"
     filled = F.when(linear & _after().isNotNull(), on_line()).otherwise(_before("value"))
@@ -109,8 +109,8 @@ def fill_by_group(df: DataFrame, limit: int = catalog.IMPUTE_LIMIT) -> DataFrame
     """Interpolate vibration and physical variables, carry categories and counters, leave others."""
     variable = F.col("variable")
     filled = (
-        F.when(catalog.in_group(variable, catalog.VIBRATION, catalog.PHYSICAL), linear_both_ways(limit))
-        .when(catalog.in_group(variable, catalog.CATEGORICAL, catalog.ACCUMULATIVE), carry_both_ways(limit))
+        F.when(catalog.in_group(catalog.VIBRATION, catalog.PHYSICAL), linear_both_ways(limit))
+        .when(catalog.in_group(catalog.CATEGORICAL, catalog.ACCUMULATIVE), carry_both_ways(limit))
         .otherwise(_value())
     )
     return with_filled(df, filled)

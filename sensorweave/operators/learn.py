@@ -145,8 +145,8 @@ def class_scores(df: DataFrame, truth: str = "label", prediction: str = "predict
 ROC_BUCKETS = 4_096
 
 
-def roc_points(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
-    """One point per distinct score: false and true positive rate of 'score or higher'.
+def _roc_table(df: DataFrame, score: str, truth: str) -> DataFrame:
+    """Per distinct score: positives and negatives at it, at it or higher, and in total.
 
     Running totals over all scores would be one task; scores are counted first, cut into
     equal-width buckets, summed per bucket, and the totals of the higher buckets (a table
@@ -155,44 +155,42 @@ def roc_points(df: DataFrame, score: str = "score", truth: str = "label") -> Dat
     counted = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(truth) == 1).alias("_p"), F.count_if(F.col(truth) != 1).alias("_n")
     )
-    span = df.agg(F.min(score).cast("double").alias("_lo"), F.max(score).cast("double").alias("_hi"))
-    counted = counted.withColumn("_one", F.lit(0)).join(F.broadcast(span.withColumn("_one", F.lit(0))), "_one")
-    share = F.try_divide(F.col("score") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    counted = counted.withColumn("_bucket", F.floor(F.coalesce(share, F.lit(0.0)) * ROC_BUCKETS)).drop("_one", "_lo", "_hi")
-
-    everything = Window.partitionBy(F.lit(0))
-    higher = everything.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    span = df.agg(F.lit(0).alias("_one"), F.min(score).cast("double").alias("_lo"), F.max(score).cast("double").alias("_hi"))
+    share = "coalesce(try_divide(score - _lo, _hi - _lo), 0)"
+    counted = (
+        counted.withColumn("_one", F.lit(0))
+        .join(F.broadcast(span), "_one")
+        .selectExpr("score", "_p", "_n", f"floor({share} * {ROC_BUCKETS}) AS _bucket")
+    )
     totals = counted.groupBy("_bucket").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
-    totals = totals.select(
+    higher = "(PARTITION BY 0 ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    totals = totals.selectExpr(
         "_bucket",
-        F.coalesce(F.sum("_bp").over(higher), F.lit(0)).alias("_above_p"),
-        F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_above_n"),
-        F.sum("_bp").over(everything).alias("_all_p"),
-        F.sum("_bn").over(everything).alias("_all_n"),
+        f"coalesce(sum(_bp) OVER {higher}, 0) AS _above_p",
+        f"coalesce(sum(_bn) OVER {higher}, 0) AS _above_n",
+        "sum(_bp) OVER (PARTITION BY 0) AS _all_p",
+        "sum(_bn) OVER (PARTITION BY 0) AS _all_n",
     )
-    inside = Window.partitionBy("_bucket").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    points = counted.join(F.broadcast(totals), "_bucket")
-    return points.select(
-        "score",
-        F.try_divide(F.col("_above_n") + F.sum("_n").over(inside), F.col("_all_n")).alias("fpr"),
-        F.try_divide(F.col("_above_p") + F.sum("_p").over(inside), F.col("_all_p")).alias("tpr"),
+    inside = "(PARTITION BY _bucket ORDER BY score DESC ROWS UNBOUNDED PRECEDING)"
+    return counted.join(F.broadcast(totals), "_bucket").selectExpr(
+        "score", "_p", "_n", "_all_p", "_all_n",
+        f"_above_p + sum(_p) OVER {inside} AS _upto_p",
+        f"_above_n + sum(_n) OVER {inside} AS _upto_n",
     )
 
 
-def auc(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
-    """Area under the ROC curve by rank sums: P(score of a 1 > score of a 0), ties count half.
+def roc_points(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
+    """One point per distinct score: false and true positive rate of 'this score or higher'."""
+    return _roc_table(df, score, truth).selectExpr(
+        "score", "try_divide(_upto_n, _all_n) AS fpr", "try_divide(_upto_p, _all_p) AS tpr"
+    )
 
-    Uses the same points: per distinct score, the step in fpr times the mean tpr around it.
-    """
-    points = roc_points(df, score, truth)
-    counted = df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(truth) == 1).alias("_p"), F.count_if(F.col(truth) != 1).alias("_n")
+
+def auc(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
+    """Area under the ROC curve: per score the step in fpr times the mean tpr across it."""
+    return _roc_table(df, score, truth).agg(
+        F.expr("sum(try_divide(_n, _all_n) * try_divide(_upto_p - _p / 2, _all_p)) AS auc")
     )
-    totals = counted.agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n")).withColumn("_one", F.lit(0))
-    steps = points.join(counted, "score").withColumn("_one", F.lit(0)).join(F.broadcast(totals), "_one")
-    width = F.try_divide(F.col("_n"), F.col("_all_n"))
-    height = F.col("tpr") - F.try_divide(F.col("_p"), F.col("_all_p")) / 2
-    return steps.agg(F.sum(width * height).alias("auc"))
 
 
 # --- models ------------------------------------------------------------------------

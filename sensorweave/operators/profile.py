@@ -67,7 +67,7 @@ def categorical_summary(df: DataFrame) -> DataFrame:
 
     Values are counted first, so only distinct categories are gathered.
     """
-    counted = value_counts(df.where(catalog.in_group(F.col("variable"), catalog.CATEGORICAL) & F.col("value").isNotNull()))
+    counted = value_counts(df.where(catalog.in_group(catalog.CATEGORICAL) & F.col("value").isNotNull()))
     return counted.groupBy("variable").agg(
         F.sum("n").alias("count"),
         F.array_sort(F.collect_list("value")).alias("distinct_values"),

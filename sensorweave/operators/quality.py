@@ -54,19 +54,19 @@ def is_missing() -> Column:
 
 def is_invalid_physical() -> Column:
     """Negative vibration, physical quantity or counter."""
-    signed = catalog.in_group(_variable(), catalog.VIBRATION, catalog.PHYSICAL, catalog.ACCUMULATIVE)
+    signed = catalog.in_group(catalog.VIBRATION, catalog.PHYSICAL, catalog.ACCUMULATIVE)
     return F.coalesce(signed & (_value() < 0), F.lit(False))
 
 
 def is_invalid_category() -> Column:
     """A category outside its domain after cutting off the fraction; NULL is exempt, infinity is not."""
-    infinite = F.abs(_value()) == float("inf")
-    whole = F.when(infinite, F.lit(None)).otherwise(F.signum(_value()) * F.floor(F.abs(_value())).cast("double"))
-    verdict = F.lit(False)
-    for name, domain in catalog.CATEGORY_DOMAINS.items():
-        outside = F.coalesce(~whole.isin([float(d) for d in domain]), infinite)
-        verdict = F.when(_variable().isin(catalog.spellings([name])), outside).otherwise(verdict)
-    return F.coalesce(verdict, F.lit(False))
+    whole = "sign(value) * floor(abs(value))"
+    rules = " OR ".join(
+        f"(variable IN ({catalog.quoted(catalog.spellings([name]))}) AND "
+        f"(abs(value) = double('infinity') OR {whole} NOT IN ({', '.join(map(str, domain))})))"
+        for name, domain in catalog.CATEGORY_DOMAINS.items()
+    )
+    return F.expr(f"coalesce({rules}, false)")
 
 
 # --- spread of the vibration signals -----------------------------------------------
@@ -86,12 +86,12 @@ def spread_stats(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
 
 def vibration_stats(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Spread of the vibration variables; `keys=('variable',)` pools all deployments."""
-    return spread_stats(df.where(catalog.in_group(_variable(), catalog.VIBRATION)), keys)
+    return spread_stats(df.where(catalog.in_group(catalog.VIBRATION)), keys)
 
 
 def vibration_quartiles(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     return exact_quantiles(
-        df.where(catalog.in_group(_variable(), catalog.VIBRATION)), keys, "value", {"q1": 0.25, "q3": 0.75}
+        df.where(catalog.in_group(catalog.VIBRATION)), keys, "value", {"q1": 0.25, "q3": 0.75}
     )
 
 
@@ -129,7 +129,7 @@ def flag_counter_decrease(
     `tolerance=None` compares strictly; a number ignores drops up to that size.
     """
     rows = with_neighbour(with_chunks(df, keys), keys, ["value"], order, "_prev")
-    counter = catalog.in_group(_variable(), catalog.ACCUMULATIVE)
+    counter = catalog.in_group(catalog.ACCUMULATIVE)
     flag = counter & _decreased(F.col("_prev.value"), tolerance)
     return rows.withColumn("is_invalid_monotonic", flag).drop("_prev", CHUNK)
 
@@ -148,7 +148,7 @@ def flag_sequence_anomalies(
     All three look back at most 2 * `stuck_rows` - 2 rows, so rows are cut into equal blocks by
     their position in the series, each with that many rows of its predecessor.
     """
-    limit = catalog.jump_limit_of(_variable())
+    limit = catalog.jump_limit_of()
     reach = max(2 * stuck_rows - 2, noise_rows - 1, 1)
     rows = with_blocks(with_position(with_chunks(df, keys), keys, order), F.col("_pos"), back=reach)
     series = Window.partitionBy(*keys, BLOCK).orderBy("_pos")
@@ -172,11 +172,8 @@ def flag_sequence_anomalies(
 
 def _first_match(df: DataFrame, ranking: Sequence[tuple[str, int]]) -> Column:
     """Code of the first flag that holds; a flag column the frame lacks counts as False."""
-    code = F.lit(0)
-    for name, value in reversed(ranking):
-        if name in df.columns:
-            code = F.when(F.col(name), value).otherwise(code)
-    return code.cast("int")
+    whens = " ".join(f"WHEN {name} THEN {value}" for name, value in ranking if name in df.columns)
+    return F.expr(f"CASE {whens} ELSE 0 END" if whens else "0").cast("int")
 
 
 # Severity order of the quality codes.
@@ -234,11 +231,11 @@ def _counter_edges(df: DataFrame) -> DataFrame:
     """
     counters = catalog.canonical_names(catalog.ACCUMULATIVE)
     latest = {
-        c: F.max_by(F.struct("value"), F.when(_variable().isin(catalog.spellings([c])), F.struct(*ORDER)))
+        c: F.max_by(F.struct("value"), F.when(catalog.named(c), F.struct(*ORDER)))
         for c in counters
     }
     per_chunk = (
-        df.where(catalog.in_group(_variable(), catalog.ACCUMULATIVE))
+        df.where(catalog.in_group(catalog.ACCUMULATIVE))
         .groupBy("deployment_id", CHUNK)
         .agg(*[col.alias(c) for c, col in latest.items()])
     )
@@ -289,12 +286,12 @@ def detect(
     near = F.lag(F.struct("value")).over(chunk_window(SERIES, ORDER))
     counters = catalog.canonical_names(catalog.ACCUMULATIVE)
     carried = reduce(
-        lambda rest, c: F.when(_variable().isin(catalog.spellings([c])), F.col(f"_{c}")).otherwise(rest),
+        lambda rest, c: F.when(catalog.named(c), F.col(f"_{c}")).otherwise(rest),
         counters,
         F.lit(None),
     )
     previous = F.coalesce(near, carried).getField("value")
-    counter = catalog.in_group(_variable(), catalog.ACCUMULATIVE)
+    counter = catalog.in_group(catalog.ACCUMULATIVE)
     quartile = F.col("_quartiles")[_variable()]
     q1, q3 = quartile["q1"], quartile["q3"]
     rows = rows.withColumns({
@@ -320,7 +317,7 @@ def code_counts(df: DataFrame, code: str = "quality_code", labels: dict[int, str
     labels = catalog.QUALITY_LABELS if labels is None else labels
     return counted.select(
         code,
-        catalog.label_of(F.col(code), labels).alias("label"),
+        catalog.label_of(code, labels).alias("label"),
         "n",
         (F.col("n") * 100.0 / total).alias("percent"),
     )
