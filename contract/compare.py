@@ -1,4 +1,4 @@
-"""Run queries next to their SQL and compare: `python -m contract.compare [folder] [name ...]`."""
+"""Run queries next to their SQL and compare: `python -m contract.compare [folder] [name ...] [key=value ...]`."""
 
 from __future__ import annotations
 
@@ -66,9 +66,13 @@ def difference(spark, con, folder: str, name: str) -> str | None:
 
 
 def main(argv: list[str]) -> int:
+    settings = [a for a in argv if "=" in a]
+    argv = [a for a in argv if "=" not in a]
     folder = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark, con = local_session(8), connect(folder)
+    for pair in settings:
+        spark.conf.set(*pair.split("=", 1))
     failed = 0
     for name in names:
         start = time.time()

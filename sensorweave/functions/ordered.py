@@ -16,34 +16,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions.timeline import US, floor_us, micros
+from sensorweave.settings import setting
 
 CHUNK = "_chunk"
 BLOCK = "_block"
 CORE = "_core"
 
-DAY_S = 86_400
-SPLIT_ROWS = 4_000_000
-BLOCK_ROWS = 65_536
 
-
-def with_chunks(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str = "ts_utc",
-    width_s: int = DAY_S,
-    split_rows: int | None = SPLIT_ROWS,
-) -> DataFrame:
+def with_chunks(df: DataFrame, keys: Sequence[str], ts: str = "ts_utc") -> DataFrame:
     """Add `_chunk`, the start (epoch us) of the row's chunk; it grows with time inside `keys`.
 
-    A chunk is `width_s` wide; one that holds more than `split_rows` rows is cut into a
+    A chunk is `chunkSeconds` wide; one that holds more than `splitRows` rows is cut into a
     power of two of equal pieces. The list of such chunks is broadcast: it has at most
-    (row count / split_rows) entries by construction, e.g. half a million for 2e12 rows.
+    (row count / splitRows) entries by construction, e.g. half a million for 2e12 rows.
     """
-    width = width_s * US
+    width, split_rows = setting(df, "chunkSeconds") * US, setting(df, "splitRows")
     us = micros(ts)
     df = df.withColumn(CHUNK, floor_us(us, width))
-    if split_rows is None:
-        return df
     pieces = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_rows") / split_rows)))
     hot = (
         df.groupBy(*keys, CHUNK)
@@ -114,14 +103,15 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     return attach_edges(df, edges, keys).withColumn(name, F.col("_offset") + rank - 1).drop("_offset")
 
 
-def with_blocks(df: DataFrame, pos: Column, back: int = 0, ahead: int = 0, size: int = BLOCK_ROWS) -> DataFrame:
-    """Cut a series into blocks of `size` positions, each with copies of its neighbours' edges.
+def with_blocks(df: DataFrame, pos: Column, back: int = 0, ahead: int = 0) -> DataFrame:
+    """Cut a series into blocks of `blockRows` positions, each with copies of its neighbours' edges.
 
     A row goes to its own block (`_core` true) and, as a copy, to the next block when it is
     among the last `back` positions and to the previous one when among the first `ahead`.
     Frames reaching at most `back`/`ahead` positions are then exact inside
     (series, `_block`); keep only `_core` rows afterwards.
     """
+    size = setting(df, "blockRows")
     if back > size or ahead > size:
         raise ValueError("a frame may not reach further than one block")
     home = F.floor(pos / size)

@@ -4,7 +4,8 @@ The built-in exact `percentile` keeps every distinct value of a group in one tas
 
 1. a mergeable sketch brackets every wanted rank of a group between two of its values,
 2. values are counted with map-side combine: single values inside a bracket, whole cells
-   outside (the values of a small group are all counted singly),
+   outside (the values of a small group are all counted singly; a very wide bracket is cut
+   into pieces),
 3. the cell counts place the brackets, and only the cell holding a rank is ranked.
 
 Two passes over the input, and no task sees more of a group than a sliver of it. The
@@ -19,12 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-SLACK = 3.0 / ACCURACY
-SMALL_GROUP = 100_000
-# a bracket of a group above SPREAD_ROWS is cut into PIECES of equal width
-SPREAD_ROWS = 100_000_000
-PIECES = 1_024
+from sensorweave.settings import setting
+
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -32,32 +29,36 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     NULL values are left out; a group without values gives no row.
     """
+    accuracy, spread, pieces = (setting(df, name) for name in ("accuracy", "spreadRows", "pieces"))
+    small = max(setting(df, "smallGroup"), accuracy)
+    slack = 3.0 / accuracy
     group = list(keys) or ["_all"]
     by = ", ".join(f"`{k}`" for k in group)
     chosen = [f"`{k}`" for k in keys] or ["0 AS _all"]
     values = df.where(F.col(value).isNotNull()).selectExpr(*chosen, f"CAST(`{value}` AS DOUBLE) AS _v")
 
-    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-SLACK, SLACK)})
+    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-slack, slack)})
     listed = ", ".join(f"{m!r}D" for m in marks)
     sketch = values.groupBy(*group).agg(
-        F.expr("count(_v) AS _n"), F.expr(f"percentile_approx(_v, array({listed}), {ACCURACY}) AS _marks")
+        F.expr("count(_v) AS _n"), F.expr(f"percentile_approx(_v, array({listed}), {accuracy}) AS _marks")
     )
     # one row when there are no keys; else AQE broadcasts the sketch if it turns out small,
     # and splits a skewed group if it does not
     placed = values.join(sketch if keys else F.broadcast(sketch), group)
 
     def mark(p: float, side: int) -> str:
-        return f"_marks[{marks.index(min(1.0, max(0.0, p + side * SLACK)))}]"
+        return f"_marks[{marks.index(min(1.0, max(0.0, p + side * slack)))}]"
 
     near = " OR ".join(f"_v BETWEEN {mark(p, -1)} AND {mark(p, 1)}" for p in probs.values())
     # cells 2i + 1 hold the values equal to mark i, cells 2i those between mark i - 1 and i
     cell = " + ".join(f"int(_v > _marks[{i}]) + int(_v >= _marks[{i}])" for i in range(len(marks)))
-    piece = f"floor({PIECES} * (_v - get(_marks, _c div 2 - 1)) / (get(_marks, _c div 2) - get(_marks, _c div 2 - 1)))"
-    cut = f"IF(_near AND _n > {SPREAD_ROWS} AND _c % 2 = 0, {piece}, 0)"
+    low, high = "get(_marks, _c div 2 - 1)", "get(_marks, _c div 2)"
+    piece = f"floor({pieces} * try_divide(_v - {low}, {high} - {low}))"
+    cut = f"IF(_near AND _n > {spread} AND _c % 2 = 0, {piece}, 0)"
     counted = (
-        placed.selectExpr(*group, "_v", "_n", "_marks", f"IF(_n > {SMALL_GROUP}, {cell}, 0) AS _c",
-                          f"_n <= {SMALL_GROUP} OR {near} AS _near")
-        .selectExpr(*group, "_n", f"_c * {PIECES + 1} + coalesce({cut}, 0) AS _cell", "IF(_near, _v, NULL) AS _v")
+        placed.selectExpr(*group, "_v", "_n", "_marks", f"IF(_n > {small}, {cell}, 0) AS _c",
+                          f"_n <= {small} OR {near} AS _near")
+        .selectExpr(*group, "_n", f"_c * {pieces + 1} + coalesce({cut}, 0) AS _cell", "IF(_near, _v, NULL) AS _v")
         .groupBy(*group, "_n", "_cell", "_v")
         .agg(F.expr("count(1) AS _rows"))
     )

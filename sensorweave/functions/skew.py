@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.functions.ordered import SPLIT_ROWS
+from sensorweave.settings import setting
 
 SALT = "_salt"
 
@@ -18,15 +18,15 @@ def spread_hot_keys(
     keys: Sequence[str],
     by: str,
     count: str = "n",
-    split_rows: int = SPLIT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Add `_salt` to both sides of a join on `keys`, so that no key exceeds `split_rows` per salt.
+    """Add `_salt` to both sides of a join on `keys`, so that no key exceeds `splitRows` per salt.
 
     `counts` has one row per key with its row count. A key above the limit gets
-    ceil(count / split_rows) salts: its rows are dealt out by a hash of `by`, its `counts`
+    ceil(count / splitRows) salts: its rows are dealt out by a hash of `by`, its `counts`
     row is repeated once per salt. The list of such keys is broadcast; it holds at most
-    (row count / split_rows) entries.
+    (row count / splitRows) entries.
     """
+    split_rows = setting(rows, "splitRows")
     pieces = F.ceil(F.col(count) / split_rows).cast("int")
     hot = counts.where(F.col(count) > split_rows).select(*keys, pieces.alias("_pieces"))
     dealt = F.pmod(F.xxhash64(by), F.col("_pieces")).cast("int")

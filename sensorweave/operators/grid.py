@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
-from sensorweave.functions.ordered import BLOCK, BLOCK_ROWS
+from sensorweave.functions.ordered import BLOCK
 from sensorweave.functions.timeline import US, ceil_us, floor_slot, floor_us, from_micros, micros, round_slot
 from sensorweave.schema import require, to_number
+from sensorweave.settings import setting
 
 SERIES = ("deployment_id", "variable")
 CONTEXT = ("deployment_id", "asset_code", "motor_code")
@@ -103,21 +104,24 @@ def time_grid(
     bounds = df.groupBy(*keys).agg(F.min(micros(ts)).alias("_lo"), F.max(micros(ts)).alias("_hi"))
     low, high = floor_us(F.col("_lo"), step) / step, ceil_us(F.col("_hi"), step) / step
     spans = bounds.select(*keys, low.cast("long").alias("_first"), high.cast("long").alias("_last"))
-    slots = unfold_blocks(spans).repartition(*keys, BLOCK).select(
-        *keys, F.explode(block_positions(F.col("_first"), F.col("_last"))).alias("_pos")
+    size = setting(df, "blockRows")
+    start, end = block_bounds(F.col("_first"), F.col("_last"), size)
+    slots = unfold_blocks(spans, size).repartition(*keys, BLOCK).select(
+        *keys, F.explode(F.sequence(start, end)).alias("_pos")
     )
     return slots.select(*keys, from_micros(F.col("_pos") * step).alias("ts_slot"))
 
 
-def unfold_blocks(spans: DataFrame) -> DataFrame:
+def unfold_blocks(spans: DataFrame, size: int) -> DataFrame:
     """One row per block of slot positions between `_first` and `_last`."""
-    blocks = F.sequence(F.floor(F.col("_first") / BLOCK_ROWS), F.floor(F.col("_last") / BLOCK_ROWS))
+    blocks = F.sequence(F.floor(F.col("_first") / size), F.floor(F.col("_last") / size))
     return spans.withColumn(BLOCK, F.explode(blocks))
 
 
-def block_positions(first: Column, last: Column) -> Column:
-    start = F.col(BLOCK) * BLOCK_ROWS
-    return F.sequence(F.greatest(first, start), F.least(last, start + BLOCK_ROWS - 1))
+def block_bounds(first: Column, last: Column, size: int) -> tuple[Column, Column]:
+    """First and last position of the block inside [first, last]."""
+    start = F.col(BLOCK) * size
+    return F.greatest(first, start), F.least(last, start + size - 1)
 
 
 def complete_grid(observed: DataFrame, step_s: int = catalog.SLOT_S) -> DataFrame:
@@ -135,8 +139,9 @@ def complete_grid(observed: DataFrame, step_s: int = catalog.SLOT_S) -> DataFram
     task holds more than one block of a series at a time.
     """
     step = step_s * US
+    size = setting(observed, "blockRows")
     pos = (micros("ts_slot") / step).cast("long")
-    cells = observed.select(*SERIES, "value", pos.alias("_pos")).withColumn(BLOCK, F.floor(F.col("_pos") / BLOCK_ROWS))
+    cells = observed.select(*SERIES, "value", pos.alias("_pos")).withColumn(BLOCK, F.floor(F.col("_pos") / size))
 
     known_pos = F.when(F.col("value").isNotNull(), F.col("_pos"))
     per_block = cells.groupBy(*SERIES, BLOCK).agg(
@@ -148,7 +153,7 @@ def complete_grid(observed: DataFrame, step_s: int = catalog.SLOT_S) -> DataFram
         F.max_by("value", known_pos).alias("_last_value"),
     )
     bounds = per_block.groupBy("deployment_id").agg(F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
-    blocks = unfold_blocks(per_block.select(*SERIES).distinct().join(bounds, "deployment_id"))
+    blocks = unfold_blocks(per_block.select(*SERIES).distinct().join(bounds, "deployment_id"), size)
 
     def known(present: Column, pos_col: str, value_col: str) -> Column:
         return F.when(present, F.struct(F.col(pos_col).alias("pos"), F.col(value_col).alias("value")))
@@ -160,8 +165,7 @@ def complete_grid(observed: DataFrame, step_s: int = catalog.SLOT_S) -> DataFram
         .withColumn("_before", F.last(known(F.col("_last_pos").isNotNull(), "_last_pos", "_last_value"), ignorenulls=True).over(earlier))
         .withColumn("_after", F.last(known(F.col("_first_pos").isNotNull(), "_first_pos", "_first_value"), ignorenulls=True).over(later))
     )
-    start = F.greatest(F.col("_first"), F.col(BLOCK) * BLOCK_ROWS)
-    end = F.least(F.col("_last"), F.col(BLOCK) * BLOCK_ROWS + BLOCK_ROWS - 1)
+    start, end = block_bounds(F.col("_first"), F.col("_last"), size)
     borders = blocks.select(
         *SERIES,
         BLOCK,

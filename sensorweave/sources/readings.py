@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave import schema
-from sensorweave.functions.ordered import DAY_S
+from sensorweave.functions.skew import SALT, spread_hot_keys
 from sensorweave.functions.timeline import US, floor_us, micros
 from sensorweave.schema import with_numeric_value
 
@@ -98,14 +98,18 @@ def finished(deployments: DataFrame) -> DataFrame:
     return deployments.where(F.col("end_ts").isNotNull())
 
 
-def deployment_readings(readings: DataFrame, deployments: DataFrame, day_s: int = DAY_S) -> DataFrame:
+DAY_S = 86_400
+
+
+def deployment_readings(readings: DataFrame, deployments: DataFrame) -> DataFrame:
     """Readings inside [start, end) of a deployment of their asset and motor, with its id.
 
     The range test is backed by a day key: a deployment is unfolded to the days it touches
-    and joined on (asset, motor, day), so neither a busy motor nor a motor with many
-    deployments ends up in one task, and no reading meets a deployment of another day.
+    and joined on (asset, motor, day), so no reading meets a deployment of another day. A
+    motor-day with very many readings is dealt out over salts.
     """
-    width = day_s * US
+    keys = ["asset_code", "motor_code", "_day"]
+    width = DAY_S * US
     first = floor_us(micros("start_ts"), width) / width
     last = floor_us(micros("end_ts") - 1, width) / width
     days = F.sequence(first.cast("long"), last.cast("long"))
@@ -114,10 +118,12 @@ def deployment_readings(readings: DataFrame, deployments: DataFrame, day_s: int
         .where(F.col("start_ts") < F.col("end_ts"))
         .select("deployment_id", "asset_code", "motor_code", "start_ts", "end_ts", F.explode(days).alias("_day"))
     )
-    day = (floor_us(micros("ts_utc"), width) / width).cast("long")
-    joined = readings.withColumn("_day", day).join(spans, ["asset_code", "motor_code", "_day"])
+    rows = readings.withColumn("_day", (floor_us(micros("ts_utc"), width) / width).cast("long"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    rows, counts = spread_hot_keys(rows, counts, keys, "reading_id")
+    joined = rows.join(spans.join(counts.drop("n"), keys), [*keys, SALT])
     inside = (F.col("ts_utc") >= F.col("start_ts")) & (F.col("ts_utc") < F.col("end_ts"))
-    return joined.where(inside).drop("_day", "start_ts", "end_ts")
+    return joined.where(inside).drop("_day", SALT, "start_ts", "end_ts")
 
 
 def load_deployment(readings: DataFrame, deployments: DataFrame, deployment_id: int) -> DataFrame:
