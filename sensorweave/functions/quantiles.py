@@ -1,16 +1,17 @@
 """Exact quantiles of groups of any size.
 
-The built-in exact `percentile` keeps every distinct value of a group in one task. Here
-
-1. a mergeable sketch brackets every wanted rank of a group between two of its values,
-2. values are counted with map-side combine: single values inside a bracket, whole cells
-   outside (the values of a small group are all counted singly; a very wide bracket is cut
-   into pieces),
-3. the cell counts place the brackets, and only the cell holding a rank is ranked.
-
-Two passes over the input, and no task sees more of a group than a sliver of it. The
-sketch decides only what is kept; ranks come from the counts, and a rank that falls
-outside its bracket stops the query instead of giving a wrong number.
+The built-in exact `percentile` keeps every distinct value of a group in one task, and a
+sketch of a group that every input task contributes to is merged in one. Here values are
+counted and found by narrowing, with plain aggregates that combine on the map side:
+
+1. count equal values (copies and coarse sensors shrink to little),
+2. a group above `smallGroup` rows is cut into cells of equal width on a signed log scale;
+   the running cell counts tell which cells hold the wanted ranks,
+3. a wanted cell that is still large is cut again, evenly between its own extremes,
+4. only the values of the cells found are ranked.
+
+A cell is a growing function of the value, so the ranks are exact whatever the
+distribution; the cuts only keep what one task ranks small.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.functions.skew import SALT, spread_hot_keys
 from sensorweave.settings import setting
 
+SCALE = "sign(_v) * log1p(abs(_v))"
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -29,63 +32,69 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     NULL values are left out; a group without values gives no row.
     """
-    accuracy, spread, pieces = (setting(df, name) for name in ("accuracy", "spreadRows", "pieces"))
-    small = max(setting(df, "smallGroup"), accuracy)
-    slack = 3.0 / accuracy
-    group = list(keys) or ["_all"]
-    by = ", ".join(f"`{k}`" for k in group)
+    small, cells = setting(df, "smallGroup"), setting(df, "cells")
+    group = [f"`{k}`" for k in keys] or ["_all"]
+    by = ", ".join(group)
     chosen = [f"`{k}`" for k in keys] or ["0 AS _all"]
     values = df.where(F.col(value).isNotNull()).selectExpr(*chosen, f"CAST(`{value}` AS DOUBLE) AS _v")
+    on = list(keys) or ["_all"]
 
-    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-slack, slack)})
-    listed = ", ".join(f"{m!r}D" for m in marks)
-    sketch = values.groupBy(*group).agg(
-        F.expr("count(_v) AS _n"), F.expr(f"percentile_approx(_v, array({listed}), {accuracy}) AS _marks")
-    )
-    # one row when there are no keys; else AQE broadcasts the sketch if it turns out small,
-    # and splits a skewed group if it does not
-    placed = values.join(sketch if keys else F.broadcast(sketch), group)
-
-    def mark(p: float, side: int) -> str:
-        return f"_marks[{marks.index(min(1.0, max(0.0, p + side * slack)))}]"
-
-    near = " OR ".join(f"_v BETWEEN {mark(p, -1)} AND {mark(p, 1)}" for p in probs.values())
-    # cells 2i + 1 hold the values equal to mark i, cells 2i those between mark i - 1 and i
-    cell = " + ".join(f"int(_v > _marks[{i}]) + int(_v >= _marks[{i}])" for i in range(len(marks)))
-    low, high = "get(_marks, _c div 2 - 1)", "get(_marks, _c div 2)"
-    piece = f"floor({pieces} * try_divide(_v - {low}, {high} - {low}))"
-    cut = f"IF(_near AND _n > {spread} AND _c % 2 = 0, {piece}, 0)"
-    counted = (
-        placed.selectExpr(*group, "_v", "_n", "_marks", f"IF(_n > {small}, {cell}, 0) AS _c",
-                          f"_n <= {small} OR {near} AS _near")
-        .selectExpr(*group, "_n", f"_c * {pieces + 1} + coalesce({cut}, 0) AS _cell", "IF(_near, _v, NULL) AS _v")
-        .groupBy(*group, "_n", "_cell", "_v")
-        .agg(F.expr("count(1) AS _rows"))
+    tallied = values.groupBy(*on, "_v").agg(F.expr("count(1) AS _rows"))
+    size = values.groupBy(*on).agg(
+        F.expr("count(1) AS _n"), F.expr(f"min({SCALE}) AS _low"), F.expr(f"max({SCALE}) AS _high")
     )
 
-    # ranks wanted, 0-based, and the test whether rows [start, start + count) hold one
+    # 0-based ranks wanted, and the test whether rows [_before, _before + _rows) hold one
     rank = {name: f"(_n - 1) * {p!r}D" for name, p in probs.items()}
     ends = {f"_{side}_{name}": f"{fn}({r})" for name, r in rank.items() for side, fn in (("low", "floor"), ("high", "ceil"))}
-    held = " OR ".join(f"({r} >= _before AND {r} < _before + _cell_rows)" for r in ends.values())
-    cells = (
-        counted.groupBy(*group, "_n", "_cell")
-        .agg(F.expr("sum(_rows) AS _cell_rows"))
-        .selectExpr(*group, "_n", "_cell", "_cell_rows",
-                    f"sum(_cell_rows) OVER (PARTITION BY {by} ORDER BY _cell) - _cell_rows AS _before")
-        .where(held)
-        .select(*group, "_cell", "_before")
+    held = " OR ".join(f"({r} >= _before AND {r} < _before + _rows)" for r in ends.values())
+
+    def cut(x: str, low: str, high: str, rows: str) -> str:
+        share = f"try_divide({x} - {low}, {high} - {low})"
+        return f"IF({rows} <= {small}, 0, coalesce(least({cells - 1}, floor({share} * {cells})), 0))"
+
+    # a group with very many rows is dealt out over salts, so that it is not joined in one task
+    tallied, size = spread_hot_keys(tallied, size, on, "_v", "_n")
+
+    def place(guide: DataFrame, cell: str) -> DataFrame:
+        """Values with their cell; AQE broadcasts a small guide without moving the values."""
+        joined = tallied.join(guide if keys else F.broadcast(guide), [*on, SALT])
+        return joined.withColumn("_cell", F.expr(cell))
+
+    def wanted(placed: DataFrame, name: str, start: str) -> DataFrame:
+        """Per group, the cells that hold a wanted rank (two per quantile at most), as a map."""
+        counted = placed.groupBy(*on, "_n", "_cell", "_start").agg(
+            F.expr("sum(_rows) AS _rows"), F.expr("min(_v) AS low"), F.expr("max(_v) AS high")
+        )
+        running = f"sum(_rows) OVER (PARTITION BY {by}{start} ORDER BY _cell) - _rows + _start AS _before"
+        kept = counted.selectExpr(*group, "_n", "_cell", "_rows", "low", "high", running).where(held)
+        entry = "struct(_cell, struct(_before AS before, _rows AS rows, low, high))"
+        return kept.groupBy(*on).agg(F.expr(f"map_from_entries(collect_list({entry})) AS {name}"))
+
+    first = cut(SCALE, "_low", "_high", "_n")
+    coarse = wanted(place(size, first).withColumn("_start", F.lit(0)), "_coarse", "")
+
+    def narrowed(guide: DataFrame) -> DataFrame:
+        inside = place(guide, first).withColumn("_in", F.expr("_coarse[_cell]")).where("_in IS NOT NULL")
+        second = cut("_v", "_in.low", "_in.high", "_in.rows")
+        return inside.withColumn("_start", F.expr("_in.before")).withColumn("_cell", F.expr(f"_cell * {cells} + {second}"))
+
+    guide = size.join(coarse, on)
+    fine = wanted(narrowed(guide), "_fine", ", _start")
+    ranked = (
+        narrowed(guide.join(fine, on))
+        .selectExpr(*group, "_n", "_v", "_rows", "_cell", "_fine[_cell].before AS _start")
+        .where("_start IS NOT NULL")
+        .selectExpr(
+            *group, "_n", "_v", "_rows",
+            f"_start + sum(_rows) OVER (PARTITION BY {by}, _cell ORDER BY _v) - _rows AS _before",
+        )
     )
-    ranked = counted.join(cells, [*group, "_cell"]).selectExpr(
-        *group, "_n", "_v", "_rows",
-        f"_before + sum(_rows) OVER (PARTITION BY {by}, _cell ORDER BY _v ROWS UNBOUNDED PRECEDING) - _rows AS _start",
+    found = ranked.groupBy(*on, "_n").agg(
+        *[F.expr(f"min(IF({r} >= _before AND {r} < _before + _rows, _v, NULL)) AS `{end}`") for end, r in ends.items()]
     )
-    found = ranked.groupBy(*group, "_n").agg(
-        *[F.expr(f"min(IF({r} >= _start AND {r} < _start + _rows, _v, NULL)) AS `{end}`") for end, r in ends.items()]
-    )
-
-    def line(name: str) -> str:
-        low, high = f"`_low_{name}`", f"`_high_{name}`"
-        lost = "raise_error('quantile outside its bracket')"
-        return f"IF({low} IS NULL OR {high} IS NULL, {lost}, {low} + ({high} - {low}) * ({rank[name]} - floor({rank[name]}))) AS `{name}`"
-
-    return found.selectExpr(*[f"`{k}`" for k in keys], *[line(name) for name in probs])
+    lines = [
+        f"`_low_{name}` + (`_high_{name}` - `_low_{name}`) * ({rank[name]} - floor({rank[name]})) AS `{name}`"
+        for name in probs
+    ]
+    return found.selectExpr(*[f"`{k}`" for k in keys], *lines)

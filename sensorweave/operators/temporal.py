@@ -12,6 +12,7 @@ from sensorweave.functions.ordered import (
     CHUNK,
     across_chunks,
     attach_edges,
+    chunk_window,
     with_chunks,
     with_neighbour,
 )
@@ -34,12 +35,17 @@ def time_steps(
     expected_s: float = catalog.EXPECTED_S,
     gap_factor: float = catalog.GAP_FACTOR,
 ) -> DataFrame:
-    """Distinct timestamps with the step since the one before (NULL at first) and the gap flag."""
+    """Distinct timestamps with the step since the one before (NULL at first) and the gap flag.
+
+    Copies of a timestamp are dropped before the shuffle; chunks and their edges come from
+    the rows, so that the distinct runs once.
+    """
     require(df, ts)
-    points = with_chunks(df.select(*keys, ts).distinct(), keys, ts)
-    steps = with_neighbour(points, keys, [ts], [ts], "_before")
-    delta = seconds_between(F.col(ts), F.col(f"_before.{ts}"))
-    return steps.select(*keys, ts, delta.alias("delta_s")).withColumn(
+    rows = with_chunks(df.select(*keys, ts), keys, ts)
+    points = attach_edges(rows.distinct(), previous_time_edges(rows, keys, ts), keys)
+    us = micros(ts)
+    before = F.coalesce(F.lag(us).over(chunk_window(keys, [ts])), F.col("_before_us"))
+    return points.select(*keys, ts, ((us - before) / US).alias("delta_s")).withColumn(
         "is_gap", F.coalesce(F.col("delta_s") > expected_s * gap_factor, F.lit(False))
     )
 

@@ -8,10 +8,8 @@ DEFAULTS = {
     "chunkSeconds": 86_400,  # width of a time chunk of a series
     "splitRows": 4_000_000,  # a chunk or key with more rows is cut
     "blockRows": 65_536,  # positions in a block of a series
-    "accuracy": 10_000,  # of the quantile sketch: its ranks are off by at most 1 / accuracy
-    "smallGroup": 100_000,  # a group up to this size (at least the accuracy) is ranked whole
-    "spreadRows": 100_000_000,  # the bracket of a quantile of a larger group is cut into pieces
-    "pieces": 1_024,
+    "smallGroup": 100_000,  # a group or cell up to this size is ranked whole
+    "cells": 65_536,  # cells a larger one is cut into
 }
 
 
