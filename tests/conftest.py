@@ -18,6 +18,7 @@ TINY = {"splitRows": 3, "blockRows": 16, "smallGroup": 5, "cells": 8}
 def spark():
     session = local_session(8, "4g", "tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.maxMetadataStringLength", "1000")
     return session
 
 
