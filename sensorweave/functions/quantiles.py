@@ -1,8 +1,10 @@
 """Exact quantiles of groups of any size.
 
 The built-in exact `percentile` keeps every distinct value of a group in one task, and a
-sketch of a group that every input task contributes to is merged in one. Here values are
-counted and found by narrowing, with plain aggregates that combine on the map side:
+sketch of a group that every input task contributes to is merged in one. A count of the
+groups decides: when none exceeds `smallGroup` rows the built-in is used, its memory being
+bounded by that. Otherwise values are counted and found by narrowing, with plain
+aggregates that combine on the map side:
 
 1. count equal values (copies and coarse sensors shrink to little),
 2. a group above `smallGroup` rows is cut into cells of equal width on a signed log scale;
@@ -30,7 +32,8 @@ SCALE = "sign(_v) * log1p(abs(_v))"
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """One row per group: `keys` and, per entry of `probs`, the linearly interpolated quantile.
 
-    NULL values are left out; a group without values gives no row.
+    NULL values are left out; a group without values gives no row. Runs one job, the count
+    of the groups.
     """
     small, cells = setting(df, "smallGroup"), setting(df, "cells")
     group = [f"`{k}`" for k in keys] or ["_all"]
@@ -39,6 +42,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     values = df.where(F.col(value).isNotNull()).selectExpr(*chosen, f"CAST(`{value}` AS DOUBLE) AS _v")
     on = list(keys) or ["_all"]
 
+    largest = values.groupBy(*on).count().agg(F.max("count")).first()[0]
+    if (largest or 0) <= small:
+        listed = ", ".join(f"{p!r}D" for p in probs.values())
+        found = values.groupBy(*on).agg(F.expr(f"percentile(_v, array({listed})) AS _q"))
+        return found.selectExpr(*group[: len(keys)], *[f"_q[{i}] AS `{name}`" for i, name in enumerate(probs)])
+
     tallied = values.groupBy(*on, "_v").agg(F.expr("count(1) AS _rows"))
     size = values.groupBy(*on).agg(
         F.expr("count(1) AS _n"), F.expr(f"min({SCALE}) AS _low"), F.expr(f"max({SCALE}) AS _high")
