@@ -90,7 +90,7 @@ def quality_label(spark, folder):
     return _labelled(spark, folder).select("reading_id", "label")
 
 
-@query("category_codes", f"WITH {LABELLED} SELECT reading_id, variable, dense_rank() OVER (ORDER BY variable) - 1 AS variable_cat FROM lb")
+@query("category_codes", f"WITH {LABELLED} SELECT reading_id, variable, (dense_rank() OVER (ORDER BY variable) - 1)::INT AS variable_cat FROM lb")
 def category_codes(spark, folder):
     return learn.category_codes(_labelled(spark, folder)).select("reading_id", "variable", "variable_cat")
 
