@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, quality
+from sensorweave.llm import langid, linededup, neardup, quality
 from sensorweave.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(held, model, keep=("doc_id", "held_out"))
 
 
+@query
+def op2_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near duplicates among all documents: four-word shingles, similarity 0.8."""
+    return neardup.near_duplicates(read(spark, folder, "documents"), words=4, percent=80)
+
+
 @query
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learnt outside the held-out fold."""
