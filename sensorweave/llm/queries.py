@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, neardup, quality
+from sensorweave.llm import langid, linededup, neardup, quality, vectors
 from sensorweave.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op6_lines"] = linededup.sql()
+
+
+@query
+def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups of near-equal embeddings of equal label, cosine 0.98."""
+    return vectors.near_vectors(read(spark, folder, "embeddings"))
