@@ -56,3 +56,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
+
+
+def public_tokenizer(name: str) -> str:
+    """Path of a vocabulary file of the public tokenizers, the same on driver and executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, neardup, quality, vectors
-from sensorweave.llm.common import fold, read
+from sensorweave.llm import langid, linededup, merkle, neardup, packing, quality, vectors
+from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,6 +55,19 @@ def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op6_lines"] = linededup.sql()
 
 
+@query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed along the curve into sequences of 2048 tokens."""
+    done = packing.pack(read(spark, folder, "documents"), public_tokenizer("word_bpe_49k.json"))
+    return done.drop("ids")
+
+
+@query
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text."""
+    return merkle.fingerprints(read(spark, folder, "documents"))
+
+
 @query
 def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Links and groups of near-equal embeddings of equal label, cosine 0.98."""
