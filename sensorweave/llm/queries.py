@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, merkle, neardup, packing, quality, vectors
+from sensorweave.llm import langid, linededup, merkle, neardup, packing, ppm, quality, vectors
 from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,13 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(held, content, keep=("doc_id", "held_out"))
 
 
+@query
+def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    """Word unigram and byte PPM scores of every document, learnt outside the held-out fold."""
+    docs = read(spark, folder, "documents").withColumn("held_out", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)))
+    return ppm.score(docs, train="crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 <> 2", keep=("held_out",))
+
+
 @query
 def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
