@@ -54,20 +54,24 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
-def word_hashes(raw: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words of UTF-8 bytes, A-Z lower-cased."""
+def words_at(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of UTF-8 bytes, A-Z lower-cased, and where the words begin."""
     solid = ~_SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([0], solid.view(np.int8), [0]))))
     begin = edge[::2]
     if not len(begin):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), begin
     start = np.zeros(len(raw), np.int64)
     start[begin] = begin
     place = np.arange(len(raw)) - np.maximum.accumulate(start)
     with np.errstate(over="ignore"):
         powers = np.multiply.accumulate(np.full(int(place.max()) + 1, _BASE, np.uint64))
         weighed = np.where(solid, _BYTES[_LOWER[raw]] * powers[place], np.uint64(0))
-        return mix64(np.add.reduceat(weighed, begin))
+        return mix64(np.add.reduceat(weighed, begin)), begin
+
+
+def word_hashes(raw: np.ndarray) -> np.ndarray:
+    return words_at(raw)[0]
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, merkle, neardup, packing, ppm, quality, vectors
+from sensorweave.llm import htmltext, langid, linededup, merkle, neardup, packing, ppm, quality, vectors
 from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,13 @@ def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op6_lines"] = linededup.sql()
 
 
+@query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, folder, "pages")
+    return htmltext.extract(pages, htmltext.fit(pages))
+
+
 @query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed along the curve into sequences of 2048 tokens."""
