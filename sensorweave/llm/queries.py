@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import htmltext, langid, linededup, merkle, neardup, packing, ppm, quality, vectors
+from sensorweave.llm import htmltext, langid, linededup, merkle, neardup, packing, pieces, ppm, quality, vectors
 from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op2_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, folder, "documents"), words=4, percent=80)
 
 
+@query
+def op3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded with merge-dropout and decoded again."""
+    return pieces.round_trip(read(spark, folder, "documents"), public_tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learnt outside the held-out fold."""
