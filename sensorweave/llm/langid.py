@@ -2,8 +2,10 @@
 
 Each language gets a zstandard raw-content dictionary cut from its training texts. A text is
 compressed once per language; the dictionary that leaves the fewest bytes names the language, and
-the relative lead over the runner-up says how sure that is. Long texts are compressed in pieces of
-`PIECE` bytes, every piece counted, so that the dictionary matters along the whole text.
+the relative lead over the runner-up says how sure that is. Case is folded. Long texts are compressed in pieces of
+`PIECE` bytes, every piece counted, so that the dictionary matters along the whole text. A text of
+fewer than `SHORT` bytes is measured by what it adds to `PROBES` short probes of the language (kept
+out of the dictionary), which tells fractions of a byte.
 
 Defined results: a NULL text or one without a letter is `und` with score 0; a narrow margin is
 rejected by `accept` (and is named anyway by `predict`, with its low score); NULL languages and
@@ -28,6 +30,7 @@ PIECE = 4096
 LEVEL, SHORTEST_MATCH = 8, 3  # matches of three bytes count: short function words tell languages apart
 SAMPLE_PER_LANGUAGE = 400  # documented bound: training texts of a language that its dictionary is cut from
 DICTIONARY_BYTES = 64 << 10
+SHORT, PROBES, PROBE_BYTES = 256, 16, 256
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -67,7 +70,7 @@ def fit(
     parts = drawn.select("lang", "draw", F.concat_ws("\n", *taken).alias("part")).collect()  # bounded by the sample
     content: dict[str, list[bytes]] = {}
     for row in sorted(parts, key=lambda r: (r.lang, r.draw, r.part)):
-        content.setdefault(row.lang, []).append(utf8(row.part))
+        content.setdefault(row.lang, []).append(utf8(row.part.lower()))
     return {name: b"\n".join(got)[-dictionary_bytes:] for name, got in content.items()}
 
 
@@ -76,28 +79,41 @@ class Judge:
 
     def __init__(self, content: dict[str, bytes]):
         self.names = sorted(content)
-        self.coders = []
+        self.coders, self.probes, self.alone = [], [], []
         for name in self.names:
-            table = zstandard.ZstdCompressionDict(content[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            # at most a quarter of the content goes to the probes, the rest is the dictionary
+            size = min(PROBE_BYTES, max(1, len(content[name]) // (4 * PROBES)))
+            probes = [content[name][i * size : (i + 1) * size] + b"\n" for i in range(PROBES)]
+            body = content[name][PROBES * size :]
+            table = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             how = zstandard.ZstdCompressionParameters.from_level(
                 LEVEL,
                 source_size=PIECE,
-                dict_size=len(content[name]),
+                dict_size=len(body),
                 min_match=SHORTEST_MATCH,
                 write_checksum=False,
                 write_content_size=False,
                 write_dict_id=False,
             )
             table.precompute_compress(compression_params=how)
-            self.coders.append(zstandard.ZstdCompressor(compression_params=how, dict_data=table))
+            coder = zstandard.ZstdCompressor(compression_params=how, dict_data=table)
+            self.coders.append(coder)
+            self.probes.append(probes)
+            self.alone.append(sum(len(coder.compress(p)) for p in probes))
+
+    def sizes(self, raw: bytes) -> list[float]:
+        """Compressed size of the bytes with each language's dictionary."""
+        if len(raw) < SHORT:
+            added = (sum(len(coder.compress(p + raw)) for p in probes) for coder, probes in zip(self.coders, self.probes))
+            return [max(1, whole - alone) / PROBES for whole, alone in zip(added, self.alone)]
+        pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
+        return [sum(len(coder.compress(p)) for p in pieces) for coder in self.coders]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """Language and lead: 1 - best size / next best size."""
         if not self.names or not has_letter(text):
             return UNKNOWN, 0.0
-        raw = utf8(text)
-        pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
-        sizes = [sum(len(coder.compress(p)) for p in pieces) for coder in self.coders]
+        sizes = self.sizes(utf8(text.lower()))
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
         return self.names[best], 1.0 - sizes[best] / min(others) if others else 1.0
