@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sensorweave.session import configure, materialise
 
@@ -40,6 +41,13 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def widened(df: DataFrame, more: str) -> StructType:
+    """The schema of `df` with the columns `more` (DDL, nullable): at the end, or in place if they exist."""
+    new = {f.name: f for f in StructType.fromDDL(more)}
+    kept = [new.pop(f.name, f) for f in df.schema]
+    return StructType([*kept, *new.values()])
+
+
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo `folds`; NULL for a NULL key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.llm.common import widened
 from sensorweave.llm.neardup import words_at
 
 SAMPLE_PAGES = 300  # documented bound: pages that the labeller is trained on
@@ -226,14 +227,15 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
         owner = np.searchsorted(starts, begin, side="right") - 1
         cell = owner * WORD_DIMS + (hashes % np.uint64(WORD_DIMS)).astype(np.int64)
         words = np.bincount(cell, np.where(hashes >> np.uint64(63), 1.0, -1.0), n * WORD_DIMS).reshape(n, WORD_DIMS)
-        out[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = words / np.sqrt(np.maximum(1, np.bincount(owner, minlength=n)))[:, None]
+        norm = np.sqrt((words * words).sum(axis=1))
+        out[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = words / np.maximum(1, norm)[:, None]
         length = np.array([len(b.text) for b in every], float)
         linked = np.array([b.linked for b in every], float)
         capital = np.add.reduceat(((raw >= 65) & (raw <= 90)).astype(np.int64), starts)
         digit = np.add.reduceat(((raw >= 48) & (raw <= 57)).astype(np.int64), starts)
         many = np.repeat(sizes, sizes)
         place = np.concatenate([np.arange(k) for k in sizes])
-        numbers = (np.log1p(length) / 8, linked / length, capital / length, digit / length, place / np.maximum(1, many - 1), np.log1p(many) / 6)
+        numbers = (np.minimum(np.log1p(length) / 8, 1.0), linked / length, capital / length, digit / length, place / np.maximum(1, many - 1), np.minimum(np.log1p(many) / 6, 1.0))
         out[:, -NUMBERS:] = np.stack(numbers, axis=1)
     return np.split(out, np.cumsum(sizes)[:-1]) if pages else []
 
@@ -384,7 +386,11 @@ def laid_out(real: list[list[Block]], count: int, seed: int) -> list[tuple[list[
             if draw.random() < 0.15:
                 body += boiler(inner)
             text = choice(good)
+            if draw.random() < 0.4:
+                text = text[: int(draw.integers(3, 60))].strip() or text
             body.append((Block(text, (*inner, *((e,) for e in choice(_LEAVES))), 0), True))
+        if draw.random() < 0.1:
+            body = body[:1]
         before = [b for _ in range(int(draw.integers(0, 4))) for b in boiler(top)]
         after = [b for _ in range(int(draw.integers(0, 4))) for b in boiler(top)]
         if draw.random() < 0.3:
@@ -439,7 +445,7 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", sample: int
 def extract(pages: DataFrame, model: Labeller, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """`keep` columns plus `text` and `n_chars` of each page."""
     kept = [F.col(c) for c in keep]
-    schema = pages.select(*kept).withColumn("text", F.lit("")).withColumn("n_chars", F.lit(0).cast("long")).schema
+    schema = widened(pages.select(*kept), "text string, n_chars long")
     names = schema.names
 
     def run(batches):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensorweave.llm.common import utf8
+from sensorweave.llm.common import utf8, widened
 
 PIECE = 4096
 LEVEL, SHORTEST_MATCH = 8, 3  # matches of three bytes count: short function words tell languages apart
@@ -122,7 +122,7 @@ class Judge:
 def predict(docs: DataFrame, content: dict[str, bytes], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns plus `lang_pred` and `score` (0 to 1, the lead over the runner-up)."""
     kept = [F.col(c) for c in keep]
-    schema = docs.select(*kept).withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
+    schema = widened(docs.select(*kept), "lang_pred string, score double")
     names = schema.names
 
     def run(batches):

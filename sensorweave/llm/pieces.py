@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import GOLDEN, mix64, utf8
+from sensorweave.llm.common import GOLDEN, mix64, utf8, widened
 
 MARK = "▁"
 REMEMBERED, LONGEST = 500_000, 64
@@ -185,7 +185,7 @@ def coder(path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4) ->
 def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0, seed: int = 0, variants: int = 4, out: str = "pieces") -> DataFrame:
     """`docs` with the array column `out` of piece ids."""
     place = docs.columns.index(text)
-    schema = docs.withColumn(out, F.array().cast("array<int>")).schema
+    schema = widened(docs, f"`{out}` array<int>")
 
     def run(batches):
         own = coder(model, dropout, seed, variants)
@@ -203,7 +203,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0
 def decode(docs: DataFrame, model: str, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
     """`docs` with the string column `out` decoded from the ids in `pieces`."""
     place = docs.columns.index(pieces)
-    schema = docs.withColumn(out, F.lit("").cast("string")).schema
+    schema = widened(docs, f"`{out}` string")
 
     def run(batches):
         own = coder(model)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import cut, utf8
+from sensorweave.llm.common import cut, utf8, widened
 
 ORDER = 5  # 6 symbols of 9 bits; 6 is one too many for 63 bits
 ENTRIES = 1_500_000  # bound of (context, symbol) pairs kept per order
@@ -270,8 +270,7 @@ def score(
         F.count_if(F.col("word").startswith(" ")).alias("copies"),
     )
 
-    heads = rows.drop("text")
-    schema = heads.selectExpr("*", "0L AS n_tokens", "0L AS top_known", "0D AS top_sum", "0D AS score").schema
+    schema = widened(rows.drop("text"), "n_tokens long, top_known long, top_sum double, score double")
 
     def run(batches):
         for batch in batches:

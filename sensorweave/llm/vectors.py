@@ -15,8 +15,8 @@ links, never its pairs, so dense groups cost arithmetic but no rows.
 
 Defined results: a vector that is NULL, zero, empty, or has NULL or non-finite components, and one
 with a NULL label, links with nothing and is its own component; vectors of different lengths do
-not link; repeated rows are links of each other (ids are taken to be unique); a NULL id gets a NULL
-component; an empty table gives an empty table.
+not link; repeated rows are links of each other (ids are taken to be unique); a NULL id links with nothing
+and has a NULL component; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import cut
+from sensorweave.llm.common import cut, widened
 from sensorweave.llm.components import components
 
 BLOCK = 2048
@@ -128,7 +128,7 @@ class Codebook:
 def _prepared(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """id, label, vector, size, digest; a NULL digest marks a vector that links with nothing."""
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("vector"))
-    schema = rows.withColumn("size", F.lit(0)).withColumn("digest", F.lit(b"").cast("binary")).schema
+    schema = widened(rows, "size int, digest binary")
 
     def run(batches):
         for batch in batches:
@@ -203,7 +203,7 @@ def near_vectors(
                 yield pa.RecordBatch.from_arrays([*got.columns, pa.array(np.r_[home, cells]), query], names=[*batch.schema.names, "cell", "query"])
 
     source = classes.select("label", "size", "id", "vector", "copies")
-    schema = source.withColumn("cell", F.lit(0).cast("long")).withColumn("query", F.lit(True)).schema
+    schema = widened(source, "cell long, query boolean")
     dealt = cut(source.mapInArrow(placed, schema), "placed")
 
     # large cells are dealt out: each block of queries meets each block of vectors once
@@ -246,8 +246,9 @@ def near_vectors(
     named = classes.join(linked, "id", "left").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("label", "size", "digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     done = rows.join(named, ["label", "size", "digest"], "left")
-    component = F.coalesce("component", "id")
+    known = F.col("id").isNotNull()
+    component = F.when(known, F.coalesce("component", "id"))
     return done.select(
-        F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
+        F.col("id").alias(key), F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )
 
