@@ -43,23 +43,34 @@ def boilerplate(pages: DataFrame, text: str = "text", host: str = "source", rati
 
 
 def drop_boilerplate(
-    pages: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    key: str = "doc_id",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    counts: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """`pages` with boilerplate lines taken out of `text`, plus `_n_lines` and `_n_dropped`."""
+    """`pages` with boilerplate lines taken out of `text`.
+
+    `counts` names two more columns, lines of the page and lines dropped; they replace columns of
+    those names.
+    """
     hosts = cut(boilerplate(pages, text, host, ratio, min_pages), "boilerplate")
-    marked = pages.withColumn("_host", _host(host))
-    marked, hosts = spread_hot_keys(marked, hosts, ["_host"], key, "_pages")
-    joined = marked.join(hosts.drop("_pages"), ["_host", SALT], "left").drop("_host", SALT)
-    lines = F.split(F.col(text), "\n", -1)
+    # the input's columns travel in a struct, so that none can clash with the helpers
+    marked = pages.select(F.struct("*").alias("_row"), _host(host).alias("_host"), F.xxhash64(key, text).alias("_by"))
+    marked, hosts = spread_hot_keys(marked, hosts, ["_host"], "_by", "_pages")
+    joined = marked.join(hosts.drop("_pages"), ["_host", SALT], "left")
+    body = F.col("_row")[text]
+    lines = F.split(body, "\n", -1)
     kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("_lines", F.xxhash64(F.trim(x))), F.lit(False)))
-    joined = joined.withColumn("_kept", F.when(F.size(F.coalesce("_lines", F.array())) > 0, kept).otherwise(lines))
-    n = F.coalesce(F.size(lines), F.lit(0))
-    return (
-        joined.withColumn("_n_lines", F.when(F.col(text).isNull(), 0).otherwise(n))
-        .withColumn("_n_dropped", F.when(F.col(text).isNull(), 0).otherwise(n - F.size("_kept")))
-        .withColumn(text, F.when(F.col("_n_dropped") == 0, F.col(text)).otherwise(F.array_join("_kept", "\n")))
-        .drop("_kept", "_lines")
-    )
+    joined = joined.select("_row", F.when(F.size(F.coalesce("_lines", F.array())) > 0, kept).otherwise(lines).alias("_kept"))
+    n = F.when(body.isNull(), 0).otherwise(F.size(lines))
+    dropped = F.when(body.isNull(), 0).otherwise(F.size(lines) - F.size("_kept"))
+    new = F.when(dropped == 0, body).otherwise(F.array_join("_kept", "\n"))
+    names = counts or ()
+    columns = [(new if c == text else F.col("_row")[c]).alias(c) for c in pages.columns if c not in names]
+    return joined.select(*columns, *[v.cast("int").alias(c) for c, v in zip(names, (n, dropped))])
 
 
 def sql(table: str = "documents", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensorweave.llm.common import mix64, utf8
+from sensorweave.llm.common import cut, mix64, utf8, widened
 
 BITS = 18
 SAMPLE_PER_CLASS = 2000  # documented bound: rows of each class that the hinge-loss model is fitted on
@@ -111,9 +111,10 @@ def descend(rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray, c: floa
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     text: str = "text",
-    label: str = "label",
+    label: str = "quality",
     key: str = "doc_id",
     sample_per_class: int = SAMPLE_PER_CLASS,
     c: float = 1.0,
@@ -121,35 +122,47 @@ def fit(
     smooth: float = 1.0,
     seed: int = 7,
 ) -> Model:
-    """Fit on rows with a 0/1 label.
+    """Fit on the documents that `labels` gives a 0/1 label.
 
-    Log-count ratios are taken over all rows; the hinge-loss model sees at most `sample_per_class`
-    rows of each class, those with the smallest keyed hash.
+    Log-count ratios are taken over all of them; the hinge-loss model sees at most
+    `sample_per_class` of each class, those with the smallest keyed hash of the key. The texts are
+    joined and read once: one pass leaves the counts and the features of the sample.
     """
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("draw")
+    marked = labels.where(F.col(label).isin(0, 1)).select(
+        F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(seed), F.col(key)).alias("draw")
     )
-
-    def count(batches):
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
+    last = marked.withColumn("rank", rank).where(F.col("rank") <= sample_per_class).groupBy("label").agg(F.max("draw"))
+    bound = {0: None, 1: None} | dict(last.collect())  # two rows
+    chosen = F.coalesce(F.col("draw") <= F.when(F.col("label") == 0, F.lit(bound[0])).otherwise(F.lit(bound[1])), F.lit(False))
+    # labels grow with the documents: a shuffle join at every size, never a broadcast
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(marked.hint("merge"), "key")
+    rows = rows.select("text", "label", chosen.alias("chosen"))
+
+    def read(batches):
         totals = np.zeros((2, 1 << BITS), np.int64)
         size = [0, 0]
+        names = ["feature", "n0", "n1", "label", "found"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
         for batch in batches:
-            for words, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                totals[y, features(words)] += 1
+            drawn = []
+            for words, y, chosen in zip(*(c.to_pylist() for c in batch.columns)):
+                found = features(words)
+                totals[y, found] += 1
                 size[y] += 1
+                if chosen:
+                    drawn.append((y, found))
+            blank = [None] * len(drawn)
+            columns = [blank, blank, blank, [d[0] for d in drawn], [d[1] for d in drawn]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
         place = np.flatnonzero(totals.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(place, -1)), pa.array(np.append(totals[0, place], size[0])), pa.array(np.append(totals[1, place], size[1]))],
-            names=["feature", "n0", "n1"],
-        )
+        counts = [np.append(place, -1), np.append(totals[0, place], size[0]), np.append(totals[1, place], size[1])]
+        blank = [None] * (len(place) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*counts, blank, blank], kinds)], names=names)
 
-    def sparse(batches):
-        for batch in batches:
-            found = [features(words) for words in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["label", "found"])
-
-    tally = rows.select("text", "label").mapInArrow(count, "feature long, n0 long, n1 long")
-    tally = tally.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # at most 2^BITS rows
+    once = cut(rows.mapInArrow(read, "feature long, n0 long, n1 long, label int, found array<int>"), "features")
+    tally = once.where("feature IS NOT NULL").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    tally = tally.toArrow().to_pandas()  # at most 2^BITS + 1 rows
     size = tally[tally.feature == -1][["n0", "n1"]].to_numpy().sum(axis=0)
     if not len(size) or size.min() == 0:
         share = 0.5 if not len(size) or size.max() == 0 else float(size[1] > 0)
@@ -159,14 +172,10 @@ def fit(
     ratio = np.zeros(1 << BITS)
     ratio[tally.feature.to_numpy()] = log_ratio.to_numpy()
 
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
-    limit = rows.select("label", "draw").withColumn("rank", rank).where(F.col("rank") <= sample_per_class)
-    bound = dict(limit.groupBy("label").agg(F.max("draw")).collect())
-    drawn = rows.where(F.col("draw") <= F.when(F.col("label") == 0, bound[0]).otherwise(bound[1]))
-    drawn = drawn.select("text", "label", "draw").mapInArrow(lambda it: sparse(it), "label int, found array<int>")
-    sample = drawn.collect()
-    found = [np.asarray(r.found, np.int32) for r in sample]
-    sign = np.array([1.0 if r.label else -1.0 for r in sample])
+    sample = once.where("feature IS NULL").select("label", "found").toArrow()  # bounded by the sample
+    lists = sample.column(1).combine_chunks()
+    found = [lists[i].values.to_numpy() for i in range(len(lists))]
+    sign = np.where(sample.column(0).to_numpy() == 1, 1.0, -1.0)
     # one row order whatever the partitions, so that the fit is repeatable
     order = sorted(range(len(sample)), key=lambda i: (sign[i], found[i].tobytes()))
     weights, bias = descend([found[i] for i in order], sign[order], ratio, c, epochs, seed)
@@ -176,7 +185,7 @@ def fit(
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns plus `score` (0 to 1) and `predicted` (1 from 0.5 on) of each whole text."""
     columns = [F.col(c) for c in keep]
-    schema = docs.select(*columns).withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
+    schema = widened(docs.select(*columns), "score double, predicted int")
     names = schema.names
 
     def run(batches):

@@ -23,9 +23,7 @@ def query(fn):
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learnt from the labelled ones outside the held-out fold."""
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
-    train = docs.where(fold("doc_id", 3) != 1).select("doc_id", "text")
-    wanted = labels.where((fold("doc_id", 3) != 1) & F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("label"))
-    model = quality.fit(train.join(wanted, "doc_id"))
+    model = quality.fit(docs.where(fold("doc_id", 3) != 1), labels.where(fold("doc_id", 3) != 1))
     held = docs.withColumn("held_out", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)))
     return quality.score(held, model, keep=("doc_id", "held_out"))
 
@@ -61,8 +59,8 @@ def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
-    done = linededup.drop_boilerplate(read(spark, folder, "documents"))
-    return done.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+    done = linededup.drop_boilerplate(read(spark, folder, "documents"), counts=("n_lines", "n_dropped"))
+    return done.select("doc_id", "text", "n_lines", "n_dropped")
 
 
 SQL["op6_lines"] = linededup.sql()
