@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import langid, linededup, quality
-from sensorweave.llm.common import fold, prepare
+from sensorweave.llm import langid, linededup, neardup, packing, quality
+from sensorweave.llm.common import prepare, public_tokenizer
 from sensorweave.session import shared_folder
 
 MARGIN = 0.001  # a smaller lead of one language over the next is rejected
@@ -17,9 +17,7 @@ MARGIN = 0.001  # a smaller lead of one language over the next is rejected
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones, does not reject."""
     prepare(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    model = quality.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
-    return quality.accept(docs, model)
+    return quality.accept(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +33,25 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates (five words, 0.8)."""
+    prepare(spark)
+    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed along the curve into sequences of 2048 tokens."""
+    prepare(spark)
+    return packing.pack(docs, public_tokenizer("word_bpe_49k.json")).drop("ids")
+
+
 STAGES = [
     ("quality", quality_stage),
     ("language", language_stage),
     ("lines", line_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
 ]
 
 ORACLE_SQL = None
@@ -51,7 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            path = f"{shared_folder(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+            path = f"{shared_folder(spark)}/pipeline-{name.replace(' ', '-')}-{uuid.uuid4().hex}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
