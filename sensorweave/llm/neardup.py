@@ -14,9 +14,11 @@ pairs are still found with high probability: a pair of similarity 0.8 is missed
 3. Keys with one error: a bucket is reduced to one row per component *before* the shuffle, so that
    a bucket that a third of all rows share stays small. Pairs between components are confirmed.
 4. Buckets where step 3 leaves pairs between components open (a third component, or further
-   members of one) are searched pair by pair between components, behind a signature distance test.
+   members of one) make clusters. Their documents are compared block by block inside tasks, between
+   components, behind a signature distance test, on the full sets; only links come out.
 
-No pair inside a component is ever formed, and no link that could join two is left out.
+Pairs inside a component are never compared, pairs are never rows, and no link that could join two
+components is left out.
 
 Defined results: NULL text, or text without words, is an empty set that links with nothing; a text
 shorter than a shingle is one shingle; repeated rows get equal results (ids are taken to be unique:
@@ -38,6 +40,7 @@ from sensorweave.llm.components import components
 
 CHUNKS, WIDTH, SYMBOL_BITS = 16, 8, 16
 SYMBOLS = CHUNKS * WIDTH
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000  # what one block of a cluster holds about
 FAR = 54  # at similarity 0.8 a signature distance beyond this has a chance below 1e-8
 LOCAL_ROWS = 16384  # signatures whose keys are combined before the shuffle
 
@@ -228,32 +231,98 @@ def star_pairs(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").mapInArrow(run, "a long, b long, mixed long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+def full_sets(ids: DataFrame, docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
+    """(id, found): the whole shingle sets of the documents in `ids`."""
 
     def run(batches):
         for batch in batches:
             found = [shingles(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "found"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
-    sets = cut(rows.mapInArrow(run, "id long, found array<long>"), "sets")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    return cut(rows.mapInArrow(run, "id long, found array<long>"), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    sets = full_sets(wanted, docs, text, key, words)
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("found").alias("x")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("found").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     return joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def _within(pairs: DataFrame) -> DataFrame:
-    """Pairs whose signatures are at most `FAR` apart."""
+def _members(nodes: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(key, part, id) of all members of the buckets `mixed`."""
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for i in (2, 3))
-            yield batch.filter(pa.array((x != y).sum(axis=1) <= FAR)).select([0, 1])
+            signs = batch.column(2).to_pylist()
+            if signs:
+                found = keys(np.frombuffer(b"".join(signs), np.uint16), 1)
+                place = pa.array(np.repeat(np.arange(len(signs)), found.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.ravel()), batch.column(1).take(place), batch.column(0).take(place)], names=["key", "part", "id"]
+                )
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    rows = nodes.select("id", "part", "signature").mapInArrow(run, "key long, part long, id long")
+    return cut(rows.join(mixed, "key", "left_semi"), "members")
+
+
+def _links_of(table: pa.Table, percent: int) -> pa.Table:
+    """Links between components in one pair of blocks: a spanning forest of all that hold on the full sets."""
+    own = table.column("own").to_numpy()
+    first, second = table.column("bi")[0].as_py(), table.column("bj")[0].as_py()
+    ids, root = table.column("id").to_numpy(), table.column("part").to_numpy().copy()
+    signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+    lists = table.column("found").combine_chunks()
+    size = lists.value_lengths().to_numpy().astype(np.int64)
+    code = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    stop = np.cumsum(size)
+    mark = np.zeros(int(code.max()) + 1, bool)
+    places = np.arange(len(ids))
+    found = []
+    for a in np.flatnonzero(own == first):
+        other = (root != root[a]) & (places > a if first == second else own == second)
+        near = np.flatnonzero(other)
+        near = near[100 * np.minimum(size[near], size[a]) >= percent * np.maximum(size[near], size[a])]
+        near = near[(signs[near] != signs[a]).sum(axis=1) <= FAR]
+        if not len(near):
+            continue
+        mark[code[stop[a] - size[a] : stop[a]]] = True
+        both = np.array([mark[code[stop[b] - size[b] : stop[b]]].sum() for b in near])
+        mark[code[stop[a] - size[a] : stop[a]]] = False
+        for b in near[100 * both >= percent * (size[near] + size[a] - both)]:
+            if root[b] != root[a]:
+                found.append((ids[a], ids[b]))
+                root[root == root[b]] = root[a]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def crowded_links(nodes: DataFrame, mixed: DataFrame, docs: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet in the buckets `mixed`.
+
+    Members of one bucket belong to one cluster. A cluster is dealt out in blocks of bounded size;
+    every pair of blocks is compared in one task, on the full sets, and gives links only, as many as
+    join components at most: the pairs themselves are never rows.
+    """
+    members = _members(nodes, mixed)
+    heads = members.groupBy("key").agg(F.min("id").alias("head"), (F.min("part") != F.max("part")).alias("several")).where("several")
+    stars = cut(members.join(heads, "key").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct(), "stars")
+    named = components(stars)
+    inside = stars.select(F.col("a").alias("node")).distinct().join(named, "node", "left")
+    inside = cut(inside.select(F.col("node").alias("id"), F.coalesce("component", "node").alias("cluster")), "clusters")
+    sets = full_sets(inside.select("id"), docs, text, key, words)
+    rows = inside.join(nodes, "id").join(sets, "id").select("cluster", "id", "part", "signature", "found")
+    rows = cut(rows, "clustered")
+    pieces = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum(F.size("found")) / BLOCK_SHINGLES)).cast("int")
+    sizes = rows.groupBy("cluster").agg(pieces.alias("pieces"), (F.min("part") != F.max("part")).alias("several")).where("several")
+    dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    dealt = dealt.withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")})
+    return dealt.groupBy("cluster", "bi", "bj").applyInArrow(lambda table: _links_of(table, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
@@ -293,37 +362,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 
     mixed = cut(found.where("mixed IS NOT NULL").select(F.col("mixed").alias("key")).distinct(), "mixed")
     if not mixed.isEmpty():
-        members = _members(nodes(), mixed)
-        sides = [members.select("key", F.col("id").alias(i), F.col("part").alias(f"p{i}"), F.col("signature").alias(s)) for i, s in (("a", "x"), ("b", "y"))]
-        apart = _within(sides[0].join(sides[1], "key").where("pa < pb"))
-        apart = apart.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        rest = cut(apart.join(tried, ["a", "b"], "left_anti"), "rest")
+        rest = cut(crowded_links(nodes(), mixed, docs, text, key, words, percent), "rest")
         if not rest.isEmpty():
-            accept(rest)
+            labels = components(links.unionByName(rest))
 
     found = labels.select(F.col("node").alias("id"), "component")
     named = classes.join(found, "id", "left").where("copied OR component IS NOT NULL")
     named = named.select("digest", F.coalesce("component", "id").alias("component"))
     done = rows.join(named, "digest", "left")
-    component = F.coalesce("component", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return done.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
-
-
-def _members(nodes: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(key, part, id, signature) of all members of the buckets `mixed` that hold several components."""
-
-    def run(batches):
-        for batch in batches:
-            signs = batch.column(2).to_pylist()
-            if signs:
-                found = keys(np.frombuffer(b"".join(signs), np.uint16), 1)
-                n = found.shape[1]
-                place = pa.array(np.repeat(np.arange(len(signs)), n))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.ravel()), batch.column(1).take(place), batch.column(0).take(place)], names=["key", "part", "id"]
-                )
-
-    rows = nodes.select("id", "part", "signature").mapInArrow(run, "key long, part long, id long").join(mixed, "key", "left_semi")
-    rows = cut(rows, "members")
-    crowded = rows.groupBy("key").agg((F.min("part") != F.max("part")).alias("several")).where("several").select("key")
-    return rows.join(crowded, "key", "left_semi").join(nodes.select("id", "signature"), "id")
