@@ -19,7 +19,7 @@ def _plain(value):
     if isinstance(value, bool):
         return value
     if isinstance(value, (int, float)):
-        return round(float(value), 5) + 0.0
+        return round(float(value), 9) + 0.0
     if isinstance(value, (list, tuple)):
         return tuple(_plain(v) for v in value)
     return str(value)
@@ -31,7 +31,7 @@ def _sorted_rows(rows):
 
 def _close(a, b) -> bool:
     if isinstance(a, float) and isinstance(b, float):
-        return abs(a - b) <= 2e-5 + 1e-9 * abs(a)
+        return abs(a - b) <= 1e-7 + 1e-12 * abs(a)  # results are rounded to 1e-6: another digit is another value
     return a == b
 
 

@@ -59,7 +59,7 @@ def window_spectrum_arrow(spark, folder):
 
 # --- wide frame --------------------------------------------------------------------
 
-MACHINE = """m AS (SELECT l_suppkey AS deployment_id, epoch_us(l_shipdate) AS slot_us, avg(l_extendedprice) / 1000 AS acc_rms_axial,
+MACHINE = """m AS (SELECT l_suppkey AS deployment_id, epoch_us(l_shipdate) AS slot_us, sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / (count(*) * 99991::DOUBLE) AS acc_rms_axial,
   CASE WHEN day(l_shipdate) = 1 THEN 0.0::DOUBLE ELSE avg(l_quantity) END AS acc_rms_radial, min(l_discount) AS vibration_axial,
   max(l_tax) AS skin_temp, max(l_orderkey)::DOUBLE AS total_run_time FROM lineitem GROUP BY l_suppkey, l_shipdate)"""
 VIB_COLUMNS = ["acc_rms_axial", "acc_rms_radial", "vibration_axial"]

@@ -106,22 +106,15 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
 def with_blocks(df: DataFrame, pos: Column, back: int = 0, ahead: int = 0) -> DataFrame:
     """Cut a series into blocks of `blockRows` positions, each with copies of its neighbours' edges.
 
-    A row goes to its own block (`_core` true) and, as a copy, to the next block when it is
-    among the last `back` positions and to the previous one when among the first `ahead`.
-    Frames reaching at most `back`/`ahead` positions are then exact inside
-    (series, `_block`); keep only `_core` rows afterwards.
+    A row goes to its own block (`_core` true) and, as a copy, to every later block of which a
+    row may look back to it and every earlier one of which a row may look ahead to it. Frames
+    reaching at most `back`/`ahead` positions are then exact inside (series, `_block`), also
+    where they span several blocks; keep only `_core` rows afterwards.
     """
     size = setting(df, "blockRows")
-    if back > size or ahead > size:
-        raise ValueError("a frame may not reach further than one block")
     home = F.floor(pos / size)
-    offset = F.pmod(pos, F.lit(size))
-    targets = [home]
-    if back:
-        targets.append(F.when(offset >= size - back, home + 1))
-    if ahead:
-        targets.append(F.when(offset < ahead, home - 1))
-    df = df.withColumn("_home", home).withColumn(BLOCK, F.explode(F.array_compact(F.array(*targets))))
+    targets = F.sequence(F.floor((pos - ahead) / size), F.floor((pos + back) / size))
+    df = df.withColumn("_home", home).withColumn(BLOCK, F.explode(targets))
     return df.withColumn(CORE, F.col(BLOCK) == F.col("_home")).drop("_home")
 
 

@@ -1,19 +1,22 @@
 """Exact quantiles of groups of any size.
 
 The built-in exact `percentile` keeps every distinct value of a group in one task, and a
-sketch of a group that every input task contributes to is merged in one. A count of the
-groups decides: when none exceeds `smallGroup` rows the built-in is used, its memory being
-bounded by that. Otherwise values are counted and found by narrowing, with plain
-aggregates that combine on the map side:
+sketch of a group that every input task contributes to is merged in one. Here values are
+counted and found by narrowing, with plain aggregates that combine on the map side, in one
+way for all sizes:
 
 1. count equal values (copies and coarse sensors shrink to little),
-2. a group above `smallGroup` rows is cut into cells of equal width on a signed log scale;
-   the running cell counts tell which cells hold the wanted ranks,
-3. a wanted cell that is still large is cut again, evenly between its own extremes,
-4. only the values of the cells found are ranked.
+2. cut each group into cells of equal width on a signed log scale; the running cell counts
+   tell which cells hold the wanted ranks,
+3. cut the wanted cells again, evenly between their own extremes, `DEPTH` cuts in all,
+4. rank the distinct values of the cells found.
 
 A cell is a growing function of the value, so the ranks are exact whatever the
-distribution; the cuts only keep what one task ranks small.
+distribution. A cell of at most `rankedRows` rows is not cut further; that only moves where
+ranking happens, the values and the one interpolation formula stay the same. The first cut
+leaves a factor of about 1.1 between the ends of a cell, each further one divides its width
+by `cells`: after the last, cells that could be cut hold a few neighbouring doubles, so no
+task ranks much. Building the plan runs no job.
 """
 
 from __future__ import annotations
@@ -26,28 +29,23 @@ from pyspark.sql import functions as F
 from sensorweave.functions.skew import SALT, spread_hot_keys
 from sensorweave.settings import setting
 
-SCALE = "sign(_v) * log1p(abs(_v))"
+DEPTH = 4
+# grows with the value over all magnitudes; zero in the middle
+SCALE = "IF(_v = 0, 0D, sign(_v) * (log2(abs(_v)) + 1100))"
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """One row per group: `keys` and, per entry of `probs`, the linearly interpolated quantile.
 
-    NULL values are left out; a group without values gives no row. Runs one job, the count
-    of the groups.
+    NULL values are left out; a group without values gives no row.
     """
-    small, cells = setting(df, "smallGroup"), setting(df, "cells")
+    ranked_rows, cells = setting(df, "rankedRows"), setting(df, "cells")
     group = [f"`{k}`" for k in keys] or ["_all"]
     by = ", ".join(group)
     chosen = [f"`{k}`" for k in keys] or ["0 AS _all"]
     values = df.where(F.col(value).isNotNull()).selectExpr(*chosen, f"CAST(`{value}` AS DOUBLE) AS _v")
     on = list(keys) or ["_all"]
 
-    largest = values.groupBy(*on).count().agg(F.max("count")).first()[0]
-    if (largest or 0) <= small:
-        listed = ", ".join(f"{p!r}D" for p in probs.values())
-        found = values.groupBy(*on).agg(F.expr(f"percentile(_v, array({listed})) AS _q"))
-        return found.selectExpr(*group[: len(keys)], *[f"_q[{i}] AS `{name}`" for i, name in enumerate(probs)])
-
     tallied = values.groupBy(*on, "_v").agg(F.expr("count(1) AS _rows"))
     size = values.groupBy(*on).agg(
         F.expr("count(1) AS _n"), F.expr(f"min({SCALE}) AS _low"), F.expr(f"max({SCALE}) AS _high")
@@ -60,44 +58,40 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     def cut(x: str, low: str, high: str, rows: str) -> str:
         share = f"try_divide({x} - {low}, {high} - {low})"
-        return f"IF({rows} <= {small}, 0, coalesce(least({cells - 1}, floor({share} * {cells})), 0))"
+        return f"IF({rows} <= {ranked_rows}, 0, coalesce(least({cells - 1}, floor({share} * {cells})), 0))"
 
     # a group with very many rows is dealt out over salts, so that it is not joined in one task
     tallied, size = spread_hot_keys(tallied, size, on, "_v", "_n")
 
-    def place(guide: DataFrame, cell: str) -> DataFrame:
-        """Values with their cell; AQE broadcasts a small guide without moving the values."""
-        joined = tallied.join(guide if keys else F.broadcast(guide), [*on, SALT])
-        return joined.withColumn("_cell", F.expr(cell))
-
-    def wanted(placed: DataFrame, name: str, start: str) -> DataFrame:
+    def place(guide: DataFrame, depth: int) -> DataFrame:
+        """Values inside the cells wanted after `depth` cuts, with `_cell` of the next cut and the
+        rows before their cell (`_start`); AQE broadcasts a small guide without moving the values."""
+        placed = tallied.join(guide if keys else F.broadcast(guide), [*on, SALT])
+        placed = placed.withColumn("_cell", F.expr(cut(SCALE, "_low", "_high", "_n"))).withColumn("_start", F.expr("0L"))
+        for d in range(1, depth + 1):
+            placed = placed.withColumn("_in", F.expr(f"_wanted{d}[_cell]")).where("_in IS NOT NULL")
+            placed = placed.withColumn("_start", F.expr("_in.before"))
+            if d < DEPTH:
+                further = cut("_v", "_in.low", "_in.high", "_in.rows")
+                placed = placed.withColumn("_cell", F.expr(f"_cell * {cells} + {further}"))
+        return placed
+
+    def wanted(placed: DataFrame, name: str) -> DataFrame:
         """Per group, the cells that hold a wanted rank (two per quantile at most), as a map."""
-        counted = placed.groupBy(*on, "_n", "_cell", "_start").agg(
+        counted = placed.groupBy(*on, "_n", "_start", "_cell").agg(
             F.expr("sum(_rows) AS _rows"), F.expr("min(_v) AS low"), F.expr("max(_v) AS high")
         )
-        running = f"sum(_rows) OVER (PARTITION BY {by}{start} ORDER BY _cell) - _rows + _start AS _before"
+        running = f"sum(_rows) OVER (PARTITION BY {by}, _start ORDER BY _cell) - _rows + _start AS _before"
         kept = counted.selectExpr(*group, "_n", "_cell", "_rows", "low", "high", running).where(held)
         entry = "struct(_cell, struct(_before AS before, _rows AS rows, low, high))"
         return kept.groupBy(*on).agg(F.expr(f"map_from_entries(collect_list({entry})) AS {name}"))
 
-    first = cut(SCALE, "_low", "_high", "_n")
-    coarse = wanted(place(size, first).withColumn("_start", F.lit(0)), "_coarse", "")
-
-    def narrowed(guide: DataFrame) -> DataFrame:
-        inside = place(guide, first).withColumn("_in", F.expr("_coarse[_cell]")).where("_in IS NOT NULL")
-        second = cut("_v", "_in.low", "_in.high", "_in.rows")
-        return inside.withColumn("_start", F.expr("_in.before")).withColumn("_cell", F.expr(f"_cell * {cells} + {second}"))
-
-    guide = size.join(coarse, on)
-    fine = wanted(narrowed(guide), "_fine", ", _start")
-    ranked = (
-        narrowed(guide.join(fine, on))
-        .selectExpr(*group, "_n", "_v", "_rows", "_cell", "_fine[_cell].before AS _start")
-        .where("_start IS NOT NULL")
-        .selectExpr(
-            *group, "_n", "_v", "_rows",
-            f"_start + sum(_rows) OVER (PARTITION BY {by}, _cell ORDER BY _v) - _rows AS _before",
-        )
+    guide = size
+    for depth in range(DEPTH):
+        guide = guide.join(wanted(place(guide, depth), f"_wanted{depth + 1}"), on)
+    ranked = place(guide, DEPTH).selectExpr(
+        *group, "_n", "_v", "_rows",
+        f"_start + sum(_rows) OVER (PARTITION BY {by}, _cell ORDER BY _v) - _rows AS _before",
     )
     found = ranked.groupBy(*on, "_n").agg(
         *[F.expr(f"min(IF({r} >= _before AND {r} < _before + _rows, _v, NULL)) AS `{end}`") for end, r in ends.items()]

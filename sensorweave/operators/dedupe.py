@@ -47,6 +47,11 @@ def duplicate_report(df: DataFrame, keys: Sequence[str] = READING_KEY) -> DataFr
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str] = READING_KEY, by: str = "reading_id") -> DataFrame:
     """All members of every key that occurs more than once."""
-    repeated = copies_per_key(df, keys).where("n > 1")
-    rows, repeated = spread_hot_keys(df, repeated, keys, by)
-    return rows.join(repeated, [*keys, SALT], "left_semi").select(*df.columns)
+    # missing values are equal to each other: a key is joined as its text and whether it is missing
+    named = [f"_key{i}" for i in range(len(keys))]
+    marked = df.withColumns({n: F.coalesce(F.col(k).cast("string"), F.lit("")) for n, k in zip(named, keys)})
+    marked = marked.withColumns({f"{n}_missing": F.col(k).isNull() for n, k in zip(named, keys)})
+    on = [*named, *[f"{n}_missing" for n in named]]
+    repeated = copies_per_key(marked, on).where("n > 1")
+    rows, repeated = spread_hot_keys(marked, repeated, on, by)
+    return rows.join(repeated, [*on, SALT], "left_semi").select(*df.columns)

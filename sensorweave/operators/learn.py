@@ -20,6 +20,7 @@ KEY = ("deployment_id",)
 FEATURE_NAMES = TIME_FEATURES + SPECTRAL_FEATURES
 NOT_FEATURES = ["deployment_id", "ts_utc", "value", "y_next", "quality_code", "quality_next"]
 SEED = 42
+DEEPEST = 30  # Spark's own bound
 TREES = 200
 
 
@@ -74,7 +75,7 @@ def ordered_split(
     )
 
 
-SPREAD = 1 << 16
+SPREAD_DIGITS = 4  # hash digits that name a bucket
 
 
 def stratified_split(
@@ -85,8 +86,8 @@ def stratified_split(
     The hash range is cut into equal buckets that play the part of chunks, so a label of
     any size is ranked in small groups.
     """
-    drawn = df.withColumn("_hash", F.xxhash64(F.col(row_id), F.lit(seed)))
-    drawn = drawn.withColumn(CHUNK, F.shiftright("_hash", 64 - SPREAD.bit_length() + 1))
+    drawn = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string"))))
+    drawn = drawn.withColumn(CHUNK, F.conv(F.substring("_hash", 1, SPREAD_DIGITS), 16, 10).cast("long"))
     ranked = with_position(drawn, [label], ["_hash", row_id]).drop(CHUNK, "_hash")
     sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * test).cast("long").alias("_test_rows"))
     return (
@@ -203,8 +204,21 @@ def category_codes(df: DataFrame, column: str = "variable", output: str = "varia
     return df.join(codes, column, "left").withColumn(output, F.coalesce(F.col(output), F.lit(-1)))
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose features are all there. Models raise on others: dropping them is a choice made here."""
+    return df.dropna(how="any", subset=list(columns))
+
+
+def incomplete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: `n_incomplete`, rows with a missing feature."""
+    lacking = F.lit(False)
+    for c in columns:
+        lacking = lacking | F.col(c).isNull()
+    return df.agg(F.count_if(lacking).alias("n_incomplete"))
+
+
 def _assembled(columns: Sequence[str], scaled: bool) -> list:
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw" if scaled else "features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw" if scaled else "features", handleInvalid="error")
     if not scaled:
         return [assembler]
     return [assembler, StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)]
@@ -215,9 +229,9 @@ def linear_regression(columns: Sequence[str], label: str = "y_next") -> Pipeline
 
 
 def forest_regression(
-    columns: Sequence[str], label: str = "y_next", trees: int = TREES, depth: int = 15, seed: int = SEED
+    columns: Sequence[str], label: str = "y_next", trees: int = TREES, depth: int = DEEPEST, seed: int = SEED
 ) -> Pipeline:
-    """Deeper than the Spark default: trees are meant to grow out (Spark stops at depth 30)."""
+    """Trees grow out, as far as Spark lets them."""
     forest = RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all"
     )
@@ -225,13 +239,17 @@ def forest_regression(
 
 
 def logistic_regression(columns: Sequence[str], rows: int, label: str = "label") -> Pipeline:
-    """L2 with C = 1: Spark averages the loss, so the same penalty is 1 / rows."""
-    model = LogisticRegression(labelCol=label, maxIter=1000, regParam=1.0 / rows, standardization=False)
+    """L2 with C = 1: Spark averages the loss, so the same penalty is 1 / rows.
+
+    The scaler divides by the sample deviation; (rows - 1) / rows makes the penalty that of features
+    divided by the population deviation.
+    """
+    model = LogisticRegression(labelCol=label, maxIter=1000, regParam=(rows - 1) / rows**2, standardization=False)
     return Pipeline(stages=[*_assembled(columns, True), model])
 
 
 def forest_classifier(
-    columns: Sequence[str], label: str = "label", trees: int = TREES, depth: int = 15, seed: int = SEED
+    columns: Sequence[str], label: str = "label", trees: int = TREES, depth: int = DEEPEST, seed: int = SEED
 ) -> Pipeline:
     forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
     return Pipeline(stages=[*_assembled(columns, False), forest])

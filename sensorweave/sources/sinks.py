@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +23,27 @@ class Written(NamedTuple):
     failed: int
 
 
-def _stored(spark: SparkSession, path: str, first, last) -> DataFrame | None:
-    """The stored rows of a range of days, or None when there is no table yet."""
-    try:
-        return spark.read.parquet(path).where(F.col(DAY).between(F.lit(first), F.lit(last)))
-    except AnalysisException:
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds anything but hidden files; asked of the file system itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(folder))
+
+
+def _stored(spark: SparkSession, path: str, first, last, fields: Sequence[str]) -> DataFrame | None:
+    """The stored rows of a range of days, or None when there is no table yet.
+
+    A folder with anything else in it than such a table is refused; errors of reading are not caught.
+    """
+    if not _has_files(spark, path):
         return None
+    stored = spark.read.parquet(path)
+    missing = [f for f in [*fields, DAY] if f not in stored.columns]
+    if missing:
+        raise ValueError(f"{path} holds another table: it has no {', '.join(missing)}")
+    return stored.where(F.col(DAY).between(F.lit(first), F.lit(last)))
 
 
 def _append_new(df: DataFrame, path: str, keys: Sequence[str], table_schema) -> Written:
@@ -39,7 +53,8 @@ def _append_new(df: DataFrame, path: str, keys: Sequence[str], table_schema) ->
     A write that dies half-way commits nothing, and running it again adds what is missing.
     Files are partitioned by day, so only the days of the batch are compared, and sorted
     by deployment, so a deployment is found by row-group statistics however many there
-    are. The counts come from the data (file footers for the table), not from accumulators,
+    are; rows go to the writers by ranges of (day, deployment, time), so that the number of
+    files is about that of partitions and days together. The counts come from the data (file footers for the table), not from accumulators,
     and stay right when tasks are run again. One writer at a time. The batch is evaluated
     twice; `session.materialise` an expensive one first.
     """
@@ -58,13 +73,16 @@ def _append_new(df: DataFrame, path: str, keys: Sequence[str], table_schema) ->
     rest = [f.name for f in table_schema.fields if f.name not in keys]
     new = batch.where(timed).groupBy(DAY, *keys).agg(F.min(F.struct(*rest)).alias("_rest"))
     new = new.select(DAY, *keys, "_rest.*")
-    stored = _stored(spark, path, size["first"], size["last"])
+    names = [f.name for f in table_schema.fields]
+    stored = _stored(spark, path, size["first"], size["last"], names)
     before = 0
     if stored is not None:
         before = stored.count()
         new = new.join(stored.select(DAY, *keys), [DAY, *keys], "left_anti")
-    new.sortWithinPartitions(DAY, "deployment_id", "ts_utc").write.mode("append").partitionBy(DAY).parquet(path)
-    after = _stored(spark, path, size["first"], size["last"])
+    # ranges of (day, deployment, time): a day is in few files, and a day of any size in more than one
+    new = new.repartitionByRange(DAY, "deployment_id", "ts_utc").sortWithinPartitions(DAY, "deployment_id", "ts_utc")
+    new.write.mode("append").partitionBy(DAY).parquet(path)
+    after = _stored(spark, path, size["first"], size["last"], names)
     inserted = (after.count() if after is not None else 0) - before
     return Written(inserted, size["rows"] - size["failed"] - inserted, size["failed"])
 
@@ -102,7 +120,9 @@ def append_wide(wide: DataFrame, path: str, source_tag: str, ts: str = "ts_slot"
 
 
 def export_csv(df: DataFrame, path: str, by_deployment: bool = True, mode: str = "errorifexists") -> None:
-    """CSV with a header, one folder per deployment."""
+    """CSV with a header, one folder per deployment; ranges of (deployment, time) go to the writers."""
+    if by_deployment:
+        df = df.repartitionByRange("deployment_id", *[c for c in ("ts_utc", "ts_slot") if c in df.columns])
     writer = df.write.mode(mode).option("header", True)
     if by_deployment:
         writer = writer.partitionBy("deployment_id")

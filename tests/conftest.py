@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from sensorweave.session import local_session  # noqa: E402
 
 # sizes small enough that the fixtures are cut into several chunks, blocks and salts
-TINY = {"splitRows": 3, "blockRows": 16, "smallGroup": 5, "cells": 8}
+TINY = {"splitRows": 3, "blockRows": 16, "rankedRows": 5, "cells": 8}
 
 
 @pytest.fixture(scope="session")
