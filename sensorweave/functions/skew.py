@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.settings import setting
@@ -12,6 +12,12 @@ from sensorweave.settings import setting
 SALT = "_salt"
 
 
+def salts(count: str, split_rows: int) -> Column:
+    """The salts of a key with `count` rows, as an array."""
+    pieces = F.ceil(F.col(count) / split_rows).cast("int")
+    return F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)
+
+
 def spread_hot_keys(
     rows: DataFrame,
     counts: DataFrame,
@@ -35,5 +41,4 @@ def spread_hot_keys(
         .withColumn(SALT, F.coalesce(dealt, F.lit(0)))
         .drop("_pieces")
     )
-    salts = F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)
-    return rows, counts.withColumn(SALT, F.explode(salts))
+    return rows, counts.withColumn(SALT, F.explode(salts(count, split_rows)))

@@ -9,7 +9,7 @@ DEFAULTS = {
     "splitRows": 4_000_000,  # a chunk or key with more rows is cut
     "blockRows": 65_536,  # positions in a block of a series
     "rankedRows": 100_000,  # a group or cell up to this size is ranked without a further cut
-    "cells": 32_768,  # cells a larger one is cut into; four cuts make one 64-bit cell number
+    "cells": 32_768,  # cells a larger one is cut into; three cuts make one 64-bit cell number
 }
 
 

@@ -133,6 +133,26 @@ def test_scaler(spark, tmp_path):
     assert frames.load_scaler(spark, str(tmp_path / "scaler")) == scaler
 
 
+def test_quantiles_do_not_depend_on_settings(spark):
+    """Bit for bit the same whatever the sizes, and planning runs no job."""
+    draw = np.random.default_rng(8)
+    values = np.concatenate([draw.lognormal(3, 2, 400), -draw.lognormal(0, 5, 300), [0.0, -0.0, 1e300, -1e300, 5e-324], np.repeat(7.5, 90)])
+    df = spark.createDataFrame([(int(i % 3), float(v)) for i, v in enumerate(values)], "g long, v double")
+    probs = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "top": 1.0}
+    seen = set()
+    for sizes in ({}, {"rankedRows": 1, "cells": 4}, {"rankedRows": 5, "cells": 32768, "splitRows": 7}, {"rankedRows": 50, "cells": 16}):
+        for name, value in sizes.items():
+            spark.conf.set(f"spark.sensorweave.{name}", str(value))
+        group = f"plan-{len(sizes)}-{sizes.get('cells')}"
+        spark.sparkContext.setJobGroup(group, "planning")
+        plan = exact_quantiles(df, ["g"], "v", probs)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        seen.add(str(sorted(tuple(r) for r in plan.collect())))
+        for name in sizes:
+            spark.conf.unset(f"spark.sensorweave.{name}")
+    assert len(seen) == 1
+
+
 @pytest.mark.parametrize("kind", ["normal", "ties", "heavy", "constant", "single"])
 def test_exact_quantiles(spark, sizes, kind):
     rng = np.random.default_rng(3)
