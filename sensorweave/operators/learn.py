@@ -143,25 +143,36 @@ def class_scores(df: DataFrame, truth: str = "label", prediction: str = "predict
     })
 
 
-ROC_BUCKETS = 4_096
+ROC_KNOTS = 64
 
 
 def _roc_table(df: DataFrame, score: str, truth: str) -> DataFrame:
     """Per distinct score: positives and negatives at it, at it or higher, and in total.
 
     Running totals over all scores would be one task; scores are counted first, cut into
-    equal-width buckets, summed per bucket, and the totals of the higher buckets (a table
-    of at most `ROC_BUCKETS` + 1 rows) are added to the running sums inside each bucket.
+    buckets, summed per bucket, and the totals of the higher buckets (a table of at most
+    `ROC_KNOTS` ** 2 rows) are added to the running sums inside each bucket. Segments between
+    quantiles of the distinct scores are cut evenly, so that extreme scores cannot crowd the
+    others into one bucket.
     """
     counted = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(truth) == 1).alias("_p"), F.count_if(F.col(truth) != 1).alias("_n")
     )
-    span = df.agg(F.lit(0).alias("_one"), F.min(score).cast("double").alias("_lo"), F.max(score).cast("double").alias("_hi"))
-    share = "coalesce(try_divide(score - _lo, _hi - _lo), 0)"
+    share = ", ".join(f"{i / ROC_KNOTS!r}D" for i in range(1, ROC_KNOTS))
+    span = counted.agg(
+        F.lit(0).alias("_one"),
+        F.min("score").alias("_lo"),
+        F.max("score").alias("_hi"),
+        F.expr(f"percentile_approx(score, array({share}), 10000)").alias("_knots"),
+    )
+    segment = "size(filter(_knots, k -> k <= score))"
+    low, high = "concat(array(_lo), _knots)[_segment]", "concat(_knots, array(_hi))[_segment]"
+    inside = f"least({ROC_KNOTS - 1}, coalesce(floor(try_divide(score - {low}, {high} - {low}) * {ROC_KNOTS}), 0))"
     counted = (
         counted.withColumn("_one", F.lit(0))
         .join(F.broadcast(span), "_one")
-        .selectExpr("score", "_p", "_n", f"floor({share} * {ROC_BUCKETS}) AS _bucket")
+        .selectExpr("*", f"{segment} AS _segment")
+        .selectExpr("score", "_p", "_n", f"_segment * {ROC_KNOTS} + {inside} AS _bucket")
     )
     totals = counted.groupBy("_bucket").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
     higher = "(PARTITION BY 0 ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

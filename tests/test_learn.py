@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
@@ -84,3 +85,22 @@ def test_one_class_gives_a_constant(spark):
 def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "variable string")
     assert sorted((r.variable or "", r.variable_cat) for r in learn.category_codes(df).collect()) == [("", -1), ("a", 0), ("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_roc_with_an_extreme_score(spark):
+    """One score far off leaves the others in many buckets, and the area as it is."""
+    draw = np.random.default_rng(2)
+    rows = [(float(x), int(draw.random() < x)) for x in draw.random(3000)] + [(1e9, 1), (float("-1e12"), 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    pos, neg = [x for x, y in rows if y], np.sort([x for x, y in rows if not y])
+    want = sum(np.searchsorted(neg, x, "left") + np.searchsorted(neg, x, "right") for x in pos) / (2 * len(pos) * len(neg))
+    assert learn.auc(df).first().auc == pytest.approx(want)
+    assert learn.roc_points(df).count() == len({x for x, _ in rows})
+
+
+def test_missing_features_are_not_dropped_silently(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (2.0, 4.0)], "x double, y_next double")
+    assert learn.incomplete_rows(df, ["x"]).first().n_incomplete == 1
+    with pytest.raises(Exception):  # noqa: B017
+        learn.linear_regression(["x"]).fit(df)
+    assert learn.linear_regression(["x"]).fit(learn.complete_rows(df, ["x"])).transform(df.limit(1)).count() == 1

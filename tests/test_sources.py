@@ -8,6 +8,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
+from sensorweave import schema
 from sensorweave.sources import readings as scans
 from sensorweave.sources import sinks
 
@@ -117,3 +118,27 @@ def test_long_export(spark, raw, tmp_path):
     sinks.export_long(rows, rows, str(tmp_path))
     back = spark.read.option("header", True).csv(str(tmp_path / "quality"))
     assert "variable_original" in back.columns and back.count() == 72
+
+
+def test_foreign_table_is_refused(spark, tmp_path):
+    """A folder with another layout is an error, not an empty table."""
+    rows = spark.createDataFrame([(1, at("01 00:00:00"), "a", 1.0, 0)], schema.MEASUREMENTS)
+    other = f"{tmp_path}/other"
+    rows.write.parquet(other)
+    with pytest.raises(ValueError, match="day"):
+        sinks.write_measurements(rows, other)
+    assert sinks.write_measurements(rows, f"{tmp_path}/new") == (1, 0, 0)
+    assert sinks.write_measurements(rows, f"{tmp_path}/new") == (0, 1, 0)
+
+
+def test_few_files_a_day(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        rows = spark.range(4000).selectExpr(
+            "id % 5 AS deployment_id", "timestamp_seconds(1704067200 + id * 500) AS ts_utc", "'v' AS variable", "1.0D AS value", "0 AS quality_code"
+        )
+        assert sinks.write_measurements(rows, f"{tmp_path}/t").inserted == 4000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = list((tmp_path / "t").glob("day=*/part-*.parquet"))
+    assert len(files) <= len(list((tmp_path / "t").glob("day=*"))) + 8
