@@ -322,6 +322,7 @@ def crowded_links(nodes: DataFrame, mixed: DataFrame, docs: DataFrame, text: str
     dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     dealt = dealt.withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")})
+    dealt = dealt.repartition("cluster", "bi", "bj")  # else a whole cluster would stay in one task
     return dealt.groupBy("cluster", "bi", "bj").applyInArrow(lambda table: _links_of(table, percent), "a long, b long")
 
 
