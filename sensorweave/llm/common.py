@@ -14,17 +14,19 @@ from sensorweave.session import configure, materialise
 ROOT = str(Path(__file__).resolve().parents[2])
 GOLDEN = 0x9E3779B97F4A7C15
 
-# rows and bytes that one Arrow batch may hold: bounds what a Python worker has in hand
-ARROW = {
+# rows and bytes that one Arrow batch may hold: bounds what a Python worker has in hand;
+# samples of up to so many rows a group are cut in every task before they meet
+SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings, small Arrow batches, and a worker path on which this package is found."""
+    """Runtime settings and a worker path on which this package is found."""
     configure(spark)
-    for key, value in ARROW.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in known.split(":"):
