@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sensorweave.llm.common import GOLDEN, mix64, utf8, widened
 
 MARK = "▁"
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 600_000, 64  # words of a generation in a worker, and the longest remembered
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MASK = (1 << 64) - 1
 
@@ -115,38 +115,42 @@ class Vocabulary:
 
 
 class _Memory(dict):
-    """Encoded words of one variant."""
+    """Encoded words of one variant; what a whole generation did not ask for is forgotten."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, dropout: float):
+    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, dropout: float, size: int):
         self.vocabulary, self.dropout = vocabulary, dropout
+        self.size, self.older = size, {}
         self.secret = hashlib.blake2b(f"{seed}/{variant}".encode(), digest_size=16).digest()
 
     def __missing__(self, word: str) -> bytes:
-        key = int.from_bytes(hashlib.blake2b(utf8(word), digest_size=8, key=self.secret).digest(), "little")
-        ids = self.vocabulary.segment(word, key, self.dropout)
-        found = np.array(ids, "<i4").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            found = self._encoded(word)
         if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
 
+    def _encoded(self, word: str) -> bytes:
+        key = int.from_bytes(hashlib.blake2b(utf8(word), digest_size=8, key=self.secret).digest(), "little")
+        ids = self.vocabulary.segment(word, key, self.dropout)
+        return np.array(ids, "<i4").tobytes()
+
 
 class Coder:
     """Encoder and decoder of one worker."""
 
-    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4):
+    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 2):
         self.vocabulary = Vocabulary(path)
         self.seed = seed
         variants = variants if dropout > 0 else 1
-        self.memories = [_Memory(self.vocabulary, seed, v, dropout) for v in range(variants)]
+        self.memories = [_Memory(self.vocabulary, seed, v, dropout, REMEMBERED // variants) for v in range(variants)]
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, "<i4")
-        if sum(map(len, self.memories)) > REMEMBERED:
-            for memory in self.memories:
-                memory.clear()
         if MARK in text:  # marks that are text become bytes, what lies between is encoded as it is
             parts = text.split(MARK)
             mark = np.array([self.vocabulary.bytes[b] for b in MARK.encode()], "<i4")
@@ -175,14 +179,14 @@ class Coder:
 _coders: dict[tuple, Coder] = {}  # per worker process
 
 
-def coder(path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4) -> Coder:
+def coder(path: str, dropout: float = 0.0, seed: int = 0, variants: int = 2) -> Coder:
     key = (path, dropout, seed, variants)
     if key not in _coders:
         _coders[key] = Coder(path, dropout, seed, variants)
     return _coders[key]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0, seed: int = 0, variants: int = 4, out: str = "pieces") -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0, seed: int = 0, variants: int = 2, out: str = "pieces") -> DataFrame:
     """`docs` with the array column `out` of piece ids."""
     place = docs.columns.index(text)
     schema = widened(docs, f"`{out}` array<int>")
@@ -218,7 +222,7 @@ def decode(docs: DataFrame, model: str, pieces: str = "pieces", out: str = "deco
     return docs.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 2) -> DataFrame:
     """Per row: key, n_chars, n_pieces, n_bytes (byte pieces), pieces_crc32, lossless."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
