@@ -21,12 +21,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import cut, mix64, utf8
+from sensorweave.llm.common import mix64, utf8
 
 LEAF_WORDS = 6
 SECTION_PARAGRAPHS = 8
@@ -128,61 +128,66 @@ def _edited(row: _Row, after: _Row) -> tuple:
     )
 
 
+def _placed(docs: DataFrame, key: str, count: int) -> tuple[np.ndarray, list[tuple]]:
+    """Bounds that deal the keys out evenly, and per non-empty part its largest key and the part before it.
+
+    Only keys are read; a number per partition comes back.
+    """
+    share = [i / count for i in range(1, count)]
+    found = docs.agg(F.percentile_approx(key, share, 100 * count)).first()[0] if share else []
+    bounds = np.unique(np.array(found or [], np.int64))
+    heads = docs.select(F.col(key).alias("key")).withColumn("part", _part(bounds)("key"))
+    tops = heads.groupBy("part").agg(F.max("key").alias("top")).orderBy("part").collect()
+    return bounds, [(r.top, tops[i - 1].part) for i, r in enumerate(tops)]
+
+
+def _part(bounds: np.ndarray):
+    """Arrow function: part of a key, by descending keys, NULL last."""
+
+    @F.pandas_udf("int")
+    def part(key: pd.Series) -> pd.Series:
+        missing = key.isna()
+        place = np.searchsorted(bounds, key.fillna(0).to_numpy().astype(np.int64), side="right")
+        return pd.Series(np.where(missing, len(bounds), len(bounds) - place).astype(np.int32))
+
+    return part
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", partitions: int | None = None) -> DataFrame:
     """Per row: key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Texts are range-partitioned by descending key once and read in order; a partition keeps its
-    first and last row for the seams, which a table of two rows a partition closes.
+    Texts are dealt out once, by ranges of the (whole-number) key, and read in descending order. The
+    first row of a part also goes to the part before it, where it is the next document of the last
+    row; that of the first part goes to the last one.
     """
     spark = docs.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    order = [F.col("key").desc_nulls_last(), F.col("text")]
-    ordered = ordered.repartitionByRange(count, F.col("key").desc_nulls_last()).sortWithinPartitions(*order)
-    kind = ordered.schema["key"].dataType
-    done = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    names = [c.split()[0] for c in done.split(", ")]
-    types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    key_type = kind.simpleString()
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    bounds, tops = _placed(rows.select("key"), "key", count)
+    heads = spark.createDataFrame(tops, "top long, before int")  # a row a part
+    rows = rows.withColumn("part", _part(bounds)("key"))
+    rows = rows.join(F.broadcast(heads), F.col("key").eqNullSafe(F.col("top")), "left")
+    own = F.struct(F.col("part"), F.lit(0).alias("seam"))
+    copy = F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("part"), F.lit(1).alias("seam")))
+    rows = rows.select("key", "text", F.explode(F.array_compact(F.array(own, copy))).alias("at")).select("at.*", "key", "text")
+    rows = rows.repartitionById(len(bounds) + 1, F.col("part"))
+    rows = rows.sortWithinPartitions("seam", F.col("key").desc_nulls_last(), "text").select("seam", "key", "text")
+    names = ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def run(batches):
-        part = TaskContext.get().partitionId()
-        before = first = None
-        arrow_key = None
+        before, closed = None, False
         for batch in batches:
-            arrow_key = batch.schema.field(0).type
             out = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for seam, k, t in zip(*(c.to_pylist() for c in batch.columns)):
+                if closed:  # rows that share the key of the first row of the next part
+                    continue
                 row = _Row(k, t)
-                if before is None:
-                    first = row
-                else:
-                    out.append((*_edited(before, row), None, None, None))
-                before = row
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[i] for o in out], t) for i, t in enumerate([arrow_key, *types, pa.int64(), pa.int32(), pa.string()])],
-                names=["key", *names, "part", "seam", "text"],
-            )
-        if before is not None:
-            blank = [None, None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([first.key, before.key], arrow_key), *[pa.array(blank, t) for t in types], pa.array([part, part], pa.int64()), pa.array([0, 1], pa.int32()), pa.array([first.text, before.text], pa.string())],
-                names=["key", *names, "part", "seam", "text"],
-            )
-
-    def close(batches):
-        for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            out = [_edited(_Row(k, t), _Row(None, after)) for k, t, after in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate([batch.schema.field(0).type, *types])], names=["key", *names])
-
-    table = cut(ordered.mapInArrow(run, f"key {key_type}, {done}, part long, seam int, text string"), "fingerprints")
-    seams = table.where("seam IS NOT NULL").select("key", "part", "seam", "text")
-    heads = seams.where("seam = 0").orderBy("part").select("part").limit(1)
-    ring = Window.orderBy("part", "seam")  # two rows a partition
-    after = seams.withColumn("after", F.lead("text").over(ring)).where("seam = 1")
-    top = seams.where("seam = 0").join(F.broadcast(heads), "part", "left_semi").select(F.col("text").alias("top"))
-    after = after.join(F.broadcast(top), F.lit(True), "left").select("key", "text", F.coalesce("after", "top").alias("after"))
-    closed = after.mapInArrow(close, f"key {key_type}, {done}")
-    whole = table.where("seam IS NULL").select("key", *names).unionByName(closed)
-    return whole.withColumnRenamed("key", key)
+                if before is not None:
+                    out.append(_edited(before, row))
+                before, closed = row, bool(seam)
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names=names)
+
+    schema = "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return rows.mapInArrow(run, schema).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
