@@ -373,3 +373,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     done = rows.join(named, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return done.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def sql(table: str = "documents", words: int = 4, percent: int = 80) -> str:
+    """The same for DuckDB, for small tables: all pairs that share a shingle, then all reachable ids."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - {words - 1}, 1) + 1), lambda i: array_to_string(w[i:i + {words - 1}], ' '))) AS g
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= {percent} * (x.n + y.n - k)),
+r(a, c) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.a, r.c FROM r JOIN l ON l.b = r.a),
+m AS (SELECT a, min(c) AS c FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id, coalesce(m.c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.a = w.doc_id"""

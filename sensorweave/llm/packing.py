@@ -17,10 +17,12 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,37 +32,78 @@ from sensorweave.llm.common import cut, mix64
 LENGTH = 2048
 DIMS, BITS = 4, 12
 HASHED = 1024
-CACHED_WORDS = 600_000
+REMEMBERED = 500_000  # words, and pieces of words, of each of two generations in a worker
 
-_coders: dict[str, tuple] = {}  # per worker process: tokenizer and words seen
+_coders: dict[str, WordCoder] = {}  # per worker process
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")  # the vocabulary's splitter
 
 
-def _coder(path: str):
-    if path not in _coders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Memory(dict):
+    """A bounded memory: what was not asked for during a whole generation is forgotten."""
 
-        _coders[path] = (Tokenizer.from_file(path), {})
-    return _coders[path]
+    def __init__(self, size: int):
+        self.size, self.older = size, {}
 
+    def __missing__(self, word: str) -> bytes:
+        found = self.older[word]
+        self[word] = found
+        return found
 
-def encode(texts: list[str | None], path: str, end: int) -> list[np.ndarray]:
-    """Token ids (uint32) of whole texts, each followed by `end`.
+    def turn(self) -> None:
+        if len(self) > self.size:
+            self.older = dict(self)
+            self.clear()
+
+    def unknown(self, words: set[str]) -> list[str]:
+        return [w for w in words.difference(self) if w not in self.older]
+
+
+class WordCoder:
+    """Ids of whole texts, word by word.
 
     The vocabulary's splitter drops white space, so no token spans a blank: the ids of a text are
-    those of its blank-separated words, which are remembered.
+    those of its blank-separated words, and the ids of a word those of its pieces after the splitter.
+    Both are remembered. Words that the tokenizer might change before splitting go to it whole.
     """
-    tokenizer, known = _coder(path)
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-    new = list(set().union(*words) - known.keys()) if words else []
-    for i in range(0, len(new), 4096):
-        part = new[i : i + 4096]
-        for word, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-    close = np.array([end], "<u4").tobytes()
-    return [np.frombuffer(b"".join(map(known.__getitem__, w)) + close, "<u4") for w in words]
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
+
+    @staticmethod
+    def split(word: str) -> list[str]:
+        low = word.lower()
+        plain = word.isprintable() and "<|" not in word
+        if not plain or not (word.isascii() or (len(low) == len(word) and "Σ" not in word and unicodedata.is_normalized("NFC", low))):
+            return [word]
+        return _PIECES.findall(low)
+
+    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
+        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        self.words.turn()
+        self.pieces.turn()
+        parts = [(w, self.split(w)) for w in self.words.unknown(set().union(*split))]
+        new = self.pieces.unknown({p for _, found in parts for p in found})
+        for i in range(0, len(new), 4096):
+            chunk = new[i : i + 4096]
+            for piece, got in zip(chunk, self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False)):
+                self.pieces[piece] = np.array(got.ids, "<u4").tobytes()
+        known = self.pieces.__getitem__
+        for word, found in parts:
+            self.words[word] = b"".join(map(known, found))
+        close = np.array([end], "<u4").tobytes()
+        known = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(known, w)) + close, "<u4") for w in split]
+
+
+def encode(texts: list[str | None], path: str, end: int) -> list[np.ndarray]:
+    """Token ids (uint32) of whole texts, each followed by `end`."""
+    if path not in _coders:
+        _coders[path] = WordCoder(path)
+    return _coders[path].encode(texts, end)
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:

@@ -63,7 +63,6 @@ def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", "n_lines", "n_dropped")
 
 
-SQL["op6_lines"] = linededup.sql()
 
 
 @query
@@ -90,3 +89,6 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Links and groups of near-equal embeddings of equal label, cosine 0.98."""
     return vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
+SQL |= {"op2_neardup": neardup.sql(), "op6_lines": linededup.sql(), "op10_vectors": vectors.sql()}

@@ -252,3 +252,15 @@ def near_vectors(
         F.col("id").alias(key), F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )
 
+
+def sql(table: str = "embeddings", cosine: float = 0.98) -> str:
+    """The same for DuckDB, for small tables: all pairs of a label, then all reachable ids."""
+    return f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM {table} WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {cosine}),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r(a, c) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.a, r.c FROM r JOIN l ON l.b = r.a),
+m AS (SELECT a, min(c) AS c FROM r GROUP BY a)
+SELECT t.vec_id, coalesce(n.n, 0) AS n_links, coalesce(m.c, t.vec_id) AS component_id, coalesce(m.c, t.vec_id) = t.vec_id AS kept
+FROM {table} t LEFT JOIN n ON n.a = t.vec_id LEFT JOIN m ON m.a = t.vec_id"""
