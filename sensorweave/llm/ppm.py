@@ -24,7 +24,6 @@ table.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -38,32 +37,37 @@ from sensorweave.llm.common import cut, utf8, widened
 ORDER = 5  # 6 symbols of 9 bits; 6 is one too many for 63 bits
 ENTRIES = 1_500_000  # bound of (context, symbol) pairs kept per order
 FREQUENT = 200_000  # bound of words whose counts travel to the scorers
-END, START, RADIX = 256, 257, 512
+END, START, RADIX, DIGIT = 256, 257, 512, 9
 SYMBOLS = 257  # bytes and the end; the start only pads
-CHUNK = 4_000_000
-_WORD = re.compile("[^\x20\x09-\x0d]+")
-_LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
-TEXT_END = " "  # cannot be a word
+CHUNK = 2_000_000  # symbols in hand at once
+TEXT_END = b" "  # cannot be a word
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").translate(_LOWER))
+def words(text: str | None) -> list[bytes]:
+    """Words as UTF-8 bytes. On bytes, folding touches A-Z alone and splitting the six blanks alone."""
+    return utf8(text).lower().split()
 
 
-def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all (context, symbol) of the texts, and where each text's codes begin."""
-    pad = np.full(order, START, np.int64)
+def grams(texts: list[str | None], order: int):
+    """Codes of all (context, symbol) of the texts with the number of each one's text, in windows of
+    at most `CHUNK` symbols, whatever the lengths of the texts."""
+    pad, end = np.full(order, START, np.uint16), np.array([END], np.uint16)
     parts, starts, at = [], [], 0
     for t in texts:
         raw = np.frombuffer(utf8(t), np.uint8)
-        parts += [pad, raw, [END]]
+        parts += [pad, raw, end]
         starts.append(at)
-        at += len(raw) + 1
-    line = np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64)
-    code = np.zeros(max(0, len(line) - order), np.int64)
-    for i in range(order + 1):
-        code = code * RADIX + line[i : len(line) - order + i]
-    return code[code % RADIX != START], np.array(starts, np.int64)
+        at += order + len(raw) + 1
+    line = np.concatenate(parts, dtype=np.uint16) if parts else np.empty(0, np.uint16)
+    for begin in range(order, len(line), CHUNK):
+        part = line[begin - order : begin + CHUNK].astype(np.int64)
+        size = len(part) - order
+        code = np.zeros(size, np.int64)
+        for i in range(order + 1):
+            code = (code << DIGIT) | part[i : i + size]
+        real = np.flatnonzero(part[order:] != START)
+        owner = np.searchsorted(starts, begin + real, side="right") - 1
+        yield code[real], owner
 
 
 def _tally(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,13 +86,11 @@ def count(docs: DataFrame, text: str, order: int) -> DataFrame:
             for t in texts:
                 seen.update(words(t))
             seen[TEXT_END] += len(texts)
-            for i in range(0, len(texts), 256):
-                code, _ = grams(texts[i : i + 256], order)
-                for j in range(0, len(code), CHUNK):
-                    part = pd.Series(code[j : j + CHUNK]).value_counts(sort=False)
-                    codes.append(part.index.to_numpy())
-                    counts.append(part.to_numpy())
-                    held += len(part)
+            for code, _ in grams(texts, order):
+                part = pd.Series(code).value_counts(sort=False)
+                codes.append(part.index.to_numpy())
+                counts.append(part.to_numpy())
+                held += len(part)
             if held > CHUNK:
                 merged = _tally(codes, counts)
                 codes, counts, held = [merged[0]], [merged[1]], 0
@@ -102,14 +104,14 @@ def count(docs: DataFrame, text: str, order: int) -> DataFrame:
         size = len(codes)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(found + [None] * size, pa.string()),
+                pa.array(found + [None] * size, pa.binary()),
                 pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(codes, pa.int64())]),
                 pa.array(np.concatenate([np.array(n, np.int64), np.array(counts, np.int64)])),
             ],
             names=["word", "code", "n"],
         )
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, code long, n long")
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "word binary, code long, n long")
     return cut(rows.groupBy("word", "code").agg(F.sum("n").alias("n")), "counts")
 
 
@@ -162,7 +164,7 @@ class Model:
             edge_index, context_index = self._tables()[j]
             if not len(n):
                 continue
-            here = code[open_] % RADIX ** (j + 1)
+            here = code[open_] & ((1 << DIGIT * (j + 1)) - 1)
             edge = edge_index.get_indexer(here)
             hit = edge >= 0
             if hit.any():
@@ -173,7 +175,7 @@ class Model:
             open_, here, beyond, known = open_[miss], here[miss], beyond[miss], known[miss]
             if not len(open_):
                 return out
-            node = context_index.get_indexer(here // RADIX)
+            node = context_index.get_indexer(here >> DIGIT)
             met = node >= 0
             place = node[met]
             fresh = distinct[place] - known[met]
@@ -190,8 +192,11 @@ class Model:
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        code, starts = grams(texts, self.order)
-        return np.add.reduceat(self.logs(code), starts) if len(starts) else np.empty(0)
+        total = np.zeros(len(texts))
+        for code, owner in grams(texts, self.order):
+            place, different = pd.factorize(code)  # each symbol in context is looked up once
+            total += np.bincount(owner, self.logs(different)[place], len(texts))
+        return total
 
 
 def fit(counts: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
@@ -235,7 +240,7 @@ def score(
     least = _threshold(vocabulary.select("n", F.lit(1).alias("entries")), frequent)
     top = vocabulary.where(F.col("n") >= least).toArrow()  # at most `frequent` rows
     known = dict(zip(top.column(0).to_pylist(), np.log10(top.column(1).to_numpy() + 1.0).tolist()))
-    last = vocabulary.where(F.col("word") == TEXT_END).first()
+    last = vocabulary.where(F.col("word") == F.lit(bytearray(TEXT_END))).first()
     ends = float(np.log10((last.n if last else 0) + 1))
     has_end = int(last is not None)
     known.pop(TEXT_END, None)
@@ -256,18 +261,18 @@ def score(
                         found.append(w)
                         n.append(c)
                 place.append(i)  # marks the row; a blank is in no word
-                found.append(f" {h1[i] % 100_003}")
-                n.append(1)
+                found.append(b" %d" % (h1[i] % 100_003))
+                n.append(0)
             at = np.array(place, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[at]), pa.array(h2[at]), pa.array(found, pa.string()), pa.array(n, pa.int64())], names=["h1", "h2", "word", "tf"]
+                [pa.array(h1[at]), pa.array(h2[at]), pa.array(found, pa.binary()), pa.array(n, pa.int64())], names=["h1", "h2", "word", "tf"]
             )
 
-    looked = rows.select("h1", "h2", "text").mapInArrow(rare, "h1 long, h2 int, word string, tf long").join(vocabulary, "word", "left")
+    looked = rows.select("h1", "h2", "text").mapInArrow(rare, "h1 long, h2 int, word binary, tf long").join(vocabulary, "word", "left")
     looked = looked.groupBy("h1", "h2").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf") * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rare_sum"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"),
-        F.count_if(F.col("word").startswith(" ")).alias("copies"),
+        F.count_if(F.col("tf") == 0).alias("copies"),
     )
 
     schema = widened(rows.drop("text"), "n_tokens long, top_known long, top_sum double, score double")
@@ -282,7 +287,7 @@ def score(
                 n.append(len(got) + 1)
                 seen.append(len(values) + has_end)
                 sums.append(sum(values) + ends)
-            scores = np.concatenate([model.score(texts[i : i + 256]) for i in range(0, len(texts), 256)]) if texts else np.empty(0)
+            scores = model.score(texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)], names=schema.names
             )

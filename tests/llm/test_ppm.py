@@ -124,3 +124,17 @@ def test_empty_and_untrained(docs):
 def test_clashing_names(docs):
     frame = docs([(1, "a b"), (2, "b")]).withColumns({c: F.lit(1) for c in ("h1", "h2", "key", "word", "n", "score", "tf", "code")})
     assert ppm.score(frame, order=2).count() == 2
+
+
+def test_windows_do_not_matter(docs, monkeypatch):
+    """Long texts are read in windows; counts and scores are those of one piece."""
+    texts = ["abracadabra " * 40, "", None, "x", "abra é" * 9]
+    frame = docs(list(enumerate(texts)))
+    whole = ppm.fit(ppm.count(frame, "text", 3), order=3)
+    want = whole.score(texts)
+    monkeypatch.setattr(ppm, "CHUNK", 7)
+    seen = Counter()
+    for code, _ in ppm.grams(texts, 3):
+        seen.update(code.tolist())
+    assert np.allclose(whole.score(texts), want)
+    assert dict(zip(whole.levels[3][0].tolist(), whole.levels[3][1].astype(int).tolist())) == dict(seen)
