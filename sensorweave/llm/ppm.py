@@ -94,7 +94,7 @@ def count(docs: DataFrame, text: str, order: int) -> DataFrame:
             if held > CHUNK:
                 merged = _tally(codes, counts)
                 codes, counts, held = [merged[0]], [merged[1]], 0
-            if len(seen) > 1_000_000:
+            if len(seen) > 500_000:
                 yield table(list(seen), list(seen.values()), [], [])
                 seen = Counter()
         merged = _tally(codes, counts) if codes else ([], [])
