@@ -36,6 +36,8 @@ REMEMBERED = 500_000  # words, and pieces of words, of each of two generations i
 
 _coders: dict[str, WordCoder] = {}  # per worker process
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")  # the vocabulary's splitter
+_CLOSE = "</w>"  # the vocabulary's mark of a piece's last token
+_SIGNS = "!#$%&()*+,-./:;=?@[]^_{|}~"
 
 
 class Memory(dict):
@@ -72,14 +74,29 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a piece
+        self.closing[[i for token, i in vocabulary.items() if token.endswith(_CLOSE)]] = True
+
+    @staticmethod
+    def single(piece: str) -> bool:
+        """Whether the splitter is certain to leave it whole."""
+        if piece.isalpha():
+            return piece.isascii() or (piece == piece.lower() and unicodedata.is_normalized("NFC", piece))
+        return bool(piece) and not piece.strip(_SIGNS)
 
     @staticmethod
     def split(word: str) -> list[str]:
+        """Pieces that the splitter makes of a word; the word itself where that is not certain."""
         low = word.lower()
-        plain = word.isprintable() and "<|" not in word
-        if not plain or not (word.isascii() or (len(low) == len(word) and "Σ" not in word and unicodedata.is_normalized("NFC", low))):
-            return [word]
-        return _PIECES.findall(low)
+        # what the tokenizer does before splitting is known for these: it folds case letter by letter
+        if word.isascii() or (len(low) == len(word) and "Σ" not in word and unicodedata.is_normalized("NFC", low)):
+            core = low.rstrip(_SIGNS)
+            if core.isalpha():  # letters, then signs: the common case
+                return [core, low[len(core) :]] if len(core) < len(low) else [core]
+            if word.isprintable() and "<|" not in word:
+                return _PIECES.findall(low)
+        return [word]
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
@@ -87,10 +104,18 @@ class WordCoder:
         self.pieces.turn()
         parts = [(w, self.split(w)) for w in self.words.unknown(set().union(*split))]
         new = self.pieces.unknown({p for _, found in parts for p in found})
-        for i in range(0, len(new), 4096):
-            chunk = new[i : i + 4096]
-            for piece, got in zip(chunk, self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False)):
-                self.pieces[piece] = np.array(got.ids, "<u4").tobytes()
+        single = [p for p in new if self.single(p)]
+        for i in range(0, len(single), 4096):
+            # one text of many pieces costs less than many texts; a piece ends with its closing token
+            chunk = single[i : i + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(chunk), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.closing[ids]) + 1
+            if len(stops) != len(chunk):
+                raise ValueError("the vocabulary splits pieces in a way that is not known here")
+            for piece, got in zip(chunk, np.split(ids, stops[:-1])):
+                self.pieces[piece] = got.tobytes()
+        for piece in [p for p in new if not self.single(p)]:
+            self.pieces[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.pieces.__getitem__
         for word, found in parts:
             self.words[word] = b"".join(map(known, found))
@@ -138,10 +163,12 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 def _projector(dims: int, seed: int):
     """Function from token ids to coordinates."""
     plane = np.random.default_rng(seed).standard_normal((HASHED, dims))
+    hashes = mix64(np.arange(1 << 18, dtype=np.uint64) + np.uint64(seed))
+    cells, signs = (hashes % np.uint64(HASHED)).astype(np.int64), np.where(hashes >> np.uint64(63), 1.0, -1.0)
 
     def place(ids: np.ndarray) -> np.ndarray:
-        h = mix64(ids.astype(np.uint64) + np.uint64(seed))
-        counts = np.bincount((h % np.uint64(HASHED)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0), HASHED)
+        ids = ids % len(cells)  # no known vocabulary is larger
+        counts = np.bincount(cells[ids], signs[ids], HASHED)
         v = np.sign(counts) * np.log1p(np.abs(counts))
         norm = np.sqrt(v @ v)
         return (v / norm if norm else v) @ plane
