@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sensorweave.llm.common import GOLDEN, mix64, utf8, widened
 
 MARK = "▁"
-REMEMBERED, LONGEST = 600_000, 64  # words of a generation in a worker, and the longest remembered
+REMEMBERED, LONGEST = 1_000_000, 64  # words of a generation in a worker, and the longest remembered
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MASK = (1 << 64) - 1
 
@@ -44,7 +44,7 @@ class Vocabulary:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
+        self.costs: dict[str, float] = {}  # minus the score: the best is on top of the agenda
         self.bytes = [0] * 256
         self.raw: list[bytes] = []
         for i in range(model.get_piece_size()):
@@ -59,50 +59,47 @@ class Vocabulary:
                 if re.search(f"[^{MARK}]{MARK}", piece):
                     raise ValueError("a piece spans words; words cannot be encoded one by one")
                 self.ids[piece] = i
-                self.scores[piece] = model.get_score(i)
+                self.costs[piece] = -model.get_score(i)
                 self.raw.append(piece.replace(MARK, " ").encode())
 
     def segment(self, word: str, key: int, dropout: float) -> list[int]:
         """Ids of one word by agenda merging."""
         symbols = list(word)
         n = len(symbols)
-        scores = self.scores
+        cost = self.costs.get
         ahead, behind = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
         limit = int(dropout * (1 << 64))
-
-        def offer(left: int) -> None:
-            right = ahead[left]
-            if left >= 0 and right < n:
-                joined = symbols[left] + symbols[right]
-                score = scores.get(joined)
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, right, joined))
-
         for i in range(n - 1):
             joined = symbols[i] + symbols[i + 1]
-            score = scores.get(joined)
-            if score is not None:
-                agenda.append((-score, i, i + 1, joined))
+            price = cost(joined)
+            if price is not None:
+                agenda.append((price, i, i + 1, joined))
         heapq.heapify(agenda)
         while agenda:
             _, left, right, joined = heapq.heappop(agenda)
+            first, second = symbols[left], symbols[right]
             # out of date when one side has been merged meanwhile
-            if symbols[left] is None or symbols[right] is None or ahead[left] != right or len(symbols[left]) + len(symbols[right]) != len(joined):
+            if first is None or second is None or ahead[left] != right or len(first) + len(second) != len(joined):
                 continue
             if limit:
-                h = (key ^ (left * 0x9E3779B97F4A7C15) ^ (len(joined) << 40)) & _MASK
-                h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & _MASK
-                h = ((h ^ (h >> 29)) * 0xD6E8FEB86659FD93) & _MASK
-                if h ^ (h >> 32) < limit:
+                h = ((key ^ (left * 0x9E3779B97F4A7C15) ^ (len(joined) << 40)) * 0xD6E8FEB86659FD93) & _MASK
+                if ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & _MASK < limit:
                     continue
             symbols[left], symbols[right] = joined, None
-            ahead[left] = ahead[right]
-            if ahead[left] < n:
-                behind[ahead[left]] = left
-            if behind[left] >= 0:
-                offer(behind[left])
-            offer(left)
+            after = ahead[left] = ahead[right]
+            before = behind[left]
+            if after < n:
+                behind[after] = left
+                wider = joined + symbols[after]
+                price = cost(wider)
+                if price is not None:
+                    heapq.heappush(agenda, (price, left, after, wider))
+            if before >= 0:
+                wider = symbols[before] + joined
+                price = cost(wider)
+                if price is not None:
+                    heapq.heappush(agenda, (price, before, left, wider))
         out = []
         for s in symbols:
             if s is not None:
