@@ -11,6 +11,8 @@ What a worker holds is bounded: per order the contexts above a count threshold,
 histogram so that at most `ENTRIES` (context, symbol) pairs remain; thresholds never rise towards
 shorter contexts, so a kept context's shorter ones are kept too. Because seen sets are nested,
 exclusion needs one number per context, and scoring is a handful of array lookups per byte.
+Symbols whose contexts are not all held, though they may have been seen, are looked up in the full
+tables by shuffle joins; so every score is that of the whole trie, whatever the bound.
 
 Next to it stands a unigram base score over words with add-one smoothing. Counts of frequent words
 (bounded in number, chosen by the same histogram rule) travel to the scorers, all other words are
@@ -29,13 +31,14 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.functions.skew import SALT, spread_hot_keys
 from sensorweave.llm.common import cut, utf8, widened
 
 ORDER = 5  # 6 symbols of 9 bits; 6 is one too many for 63 bits
-ENTRIES = 1_500_000  # bound of (context, symbol) pairs kept per order
+ENTRIES = 1_500_000  # bound of (context, symbol) pairs held by a worker per order
 FREQUENT = 200_000  # bound of words whose counts travel to the scorers
 END, START, RADIX, DIGIT = 256, 257, 512, 9
 SYMBOLS = 257  # bytes and the end; the start only pads
@@ -128,9 +131,10 @@ def _threshold(sizes: DataFrame, most: int) -> int:
 class Model:
     """The bounded trie of one worker: per order, sorted codes and the numbers of each context."""
 
-    def __init__(self, edges: list[tuple[np.ndarray, np.ndarray]]):
-        """`edges[j]`: codes (context of j symbols, symbol) and counts."""
+    def __init__(self, edges: list[tuple[np.ndarray, np.ndarray]], least: list[int]):
+        """`edges[j]`: codes (context of j symbols, symbol) and counts of the contexts seen `least[j]` times."""
         self.order = len(edges) - 1
+        self.least = least
         self.levels = []
         lower = None
         for j, (code, n) in enumerate(edges):
@@ -153,6 +157,20 @@ class Model:
             self.index = [(pd.Index(level[0]), pd.Index(level[3])) for level in self.levels]
         return self.index
 
+    def held(self, code: np.ndarray) -> np.ndarray:
+        """Where the longest context that was seen, and so the probability, is sure to be known here."""
+        sure = np.ones(len(code), bool)
+        open_ = np.arange(len(code))  # contexts of all orders so far not held
+        for j in range(self.order, -1, -1):
+            met = self._tables()[j][1].get_indexer((code[open_] >> DIGIT) & ((1 << DIGIT * j) - 1)) >= 0
+            if self.least[j] <= 1:  # held whole: a context not met here was never seen, nor were longer ones
+                sure[open_[~met]] = True
+                break
+            if j == self.order:
+                sure[open_[~met]] = False
+            open_ = open_[~met]
+        return sure
+
     def logs(self, code: np.ndarray) -> np.ndarray:
         """log10 probability of each coded symbol."""
         out = np.zeros(len(code))
@@ -191,30 +209,100 @@ class Model:
         out[open_] -= np.log10(np.maximum(left, 1.0))
         return out
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
+    def score(self, texts: list[str | None], only_held: bool = False) -> np.ndarray:
+        """Sums by this trie alone; `only_held` leaves out the symbols that `missed` gives."""
         total = np.zeros(len(texts))
         for code, owner in grams(texts, self.order):
             place, different = pd.factorize(code)  # each symbol in context is looked up once
-            total += np.bincount(owner, self.logs(different)[place], len(texts))
+            logs = self.logs(different)
+            if only_held and self.least[-1] > 1:
+                logs[~self.held(different)] = 0.0
+            total += np.bincount(owner, logs[place], len(texts))
         return total
 
+    def missed(self, texts: list[str | None]):
+        """(text, code, times) of what is not `held`, a window at a time."""
+        for code, owner in grams(texts, self.order):
+            place, different = pd.factorize(code)
+            out = ~self.held(different)[place]
+            pairs = pd.DataFrame({"owner": owner[out], "code": code[out]}).groupby(["owner", "code"], sort=False).size()
+            yield pairs.index.get_level_values(0).to_numpy(), pairs.index.get_level_values(1).to_numpy(), pairs.to_numpy()
 
-def fit(counts: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
-    """The trie from the counts of `count`."""
+
+def tables(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
+    """The whole trie from the counts of `count`: (code, n) of every order."""
     levels = [cut(counts.where("code IS NOT NULL").select("code", "n"), "grams")]
     for j in range(order - 1, -1, -1):  # marginal sums: drop the oldest symbol
         shorter = levels[0].select((F.col("code") % F.lit(RADIX ** (j + 1))).alias("code"), "n")
         levels.insert(0, cut(shorter.groupBy("code").agg(F.sum("n").alias("n")), "grams"))
-    kept, least = [], 1
+    return levels
+
+
+def _context() -> Column:
+    return F.shiftright("code", DIGIT)
+
+
+def _frequent(levels: list[DataFrame], entries: int) -> Model:
+    kept, lowest, least = [], [], 1
     for level in levels:
-        by_context = level.groupBy(F.floor(F.col("code") / RADIX).cast("long").alias("context")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("entries"))
+        by_context = level.groupBy(_context().alias("context")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("entries"))
         least = max(least, _threshold(by_context, entries))
         if least > 1:
             chosen = by_context.where(F.col("n") >= least).select("context")
-            level = level.withColumn("context", F.floor(F.col("code") / RADIX).cast("long")).join(chosen, "context", "left_semi")
+            level = level.withColumn("context", _context()).join(chosen, "context", "left_semi")
         got = level.select("code", "n").toArrow()  # at most `entries` rows
         kept.append((got.column(0).to_numpy(), got.column(1).to_numpy()))
-    return Model(kept)
+        lowest.append(least)
+    return Model(kept, lowest)
+
+
+def fit(counts: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
+    """The worker's part of the trie from the counts of `count`."""
+    return _frequent(tables(counts, order), entries)
+
+
+def looked_up(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(code, log) of different codes of the longest order, from the whole trie.
+
+    From the shortest order up: `log` is the probability with nothing excluded, `tail` that of a symbol
+    not seen in its context. Both of one order follow from those of the order below, which at most 258
+    codes share, as at most 257 share a context; so no key is hot.
+    """
+    wanted = [asked.select("code")]
+    for j in range(len(levels) - 2, -1, -1):
+        wanted.insert(0, cut(wanted[0].select((F.col("code") % F.lit(RADIX ** (j + 1))).alias("code")).distinct(), "asked"))
+    state = None
+    for j, (codes, level) in enumerate(zip(wanted, levels)):
+        edges = level.withColumn("context", _context())
+        codes = codes.withColumn("context", _context())
+        edges = edges.join(codes.select("context").distinct(), "context", "left_semi")
+        if j:
+            lower = levels[j - 1].select(F.col("code").alias("below"), F.col("n").alias("below_n"))
+            edges = edges.withColumn("below", F.col("code") % F.lit(RADIX**j)).join(lower, "below")
+        else:
+            edges = edges.withColumn("below_n", F.lit(0))
+        contexts = edges.groupBy("context").agg(
+            F.sum("n").cast("double").alias("total"), F.count(F.lit(1)).cast("double").alias("different"), F.sum("below_n").cast("double").alias("excluded")
+        )
+        codes = codes.join(contexts, "context", "left").join(level.select("code", F.col("n").cast("double").alias("n")), "code", "left")
+        if j:
+            codes = codes.withColumn("below", F.col("code") % F.lit(RADIX**j)).join(state, "below")
+            fresh = F.col("b_different") - F.col("different")
+            weight = F.col("b_total") - F.col("excluded") + fresh
+            # the weight is 0 only where the symbol was seen in the longer context, and no tail is needed
+            escaped = F.when(fresh > 0, F.log10(F.try_divide(fresh, weight))).otherwise(0.0) + F.col("b_tail")
+            tail = F.when(F.col("b_n").isNotNull(), F.log10(F.try_divide(F.col("b_n"), weight))).otherwise(escaped)
+            unmet = F.col("b_log")
+        else:
+            tail = -F.log10(F.greatest(SYMBOLS - F.col("different"), F.lit(1.0)))
+            unmet = F.lit(-float(np.log10(SYMBOLS)))
+        codes = codes.withColumn("tail", tail)
+        weight = F.col("total") + F.col("different")
+        met = F.when(F.col("n").isNotNull(), F.log10(F.col("n") / weight)).otherwise(F.log10(F.col("different") / weight) + F.col("tail"))
+        codes = codes.withColumn("log", F.when(F.col("total").isNull(), unmet).otherwise(met))
+        state = codes.select(F.col("code").alias("below"), *[F.col(c).alias(f"b_{c}") for c in ("total", "different", "n", "tail", "log")])
+        state = cut(state, "looked-up")
+    return state.select(F.col("below").alias("code"), F.col("b_log").alias("log"))
 
 
 def score(
@@ -232,7 +320,8 @@ def score(
     `train` is the SQL condition of the rows that are learnt from.
     """
     counts = count(docs.where(train), text, order)
-    model = fit(counts, order, entries)
+    levels = tables(counts, order)
+    model = _frequent(levels, entries)
 
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     sizes = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -269,10 +358,27 @@ def score(
             )
 
     looked = rows.select("h1", "h2", "text").mapInArrow(rare, "h1 long, h2 int, word binary, tf long").join(vocabulary, "word", "left")
+    looked = looked.withColumn("log", F.lit(0.0))
+    if model.least[-1] > 1:
+
+        def far(batches):
+            for batch in batches:
+                h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for at, code, n in model.missed(batch.column(2).to_pylist()):
+                    yield pa.RecordBatch.from_arrays([pa.array(h1[at]), pa.array(h2[at]), pa.array(code), pa.array(n, pa.int64())], names=["h1", "h2", "code", "tf"])
+
+        missed = cut(rows.select("h1", "h2", "text").mapInArrow(far, "h1 long, h2 int, code long, tf long"), "missed")
+        asked = cut(missed.groupBy("code").agg(F.count(F.lit(1)).alias("n")), "asked")
+        values = looked_up(asked, levels).join(asked, "code")
+        missed, values = spread_hot_keys(missed, values, ["code"], by="h1")
+        missed = missed.join(values.drop("n"), ["code", SALT])
+        found = missed.select("h1", "h2", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("tf"), F.lit(None).cast("long").alias("n"), (F.col("tf") * F.col("log")).alias("log"))
+        looked = looked.select("h1", "h2", "word", "tf", "n", "log").unionByName(found)
     looked = looked.groupBy("h1", "h2").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf") * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rare_sum"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"),
         F.count_if(F.col("tf") == 0).alias("copies"),
+        F.sum("log").alias("far_sum"),
     )
 
     schema = widened(rows.drop("text"), "n_tokens long, top_known long, top_sum double, score double")
@@ -287,7 +393,7 @@ def score(
                 n.append(len(got) + 1)
                 seen.append(len(values) + has_end)
                 sums.append(sum(values) + ends)
-            scores = model.score(texts)
+            scores = model.score(texts, only_held=True)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)], names=schema.names
             )
@@ -301,5 +407,5 @@ def score(
         (F.col("top_known") + (F.col("rare_known") / F.col("copies")).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("score") + F.col("far_sum") / F.col("copies")).alias("score"),
     )

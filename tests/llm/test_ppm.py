@@ -107,6 +107,18 @@ def test_bounded_trie(docs):
     assert np.allclose(model.score([*texts, "new"]), want) and least[0] >= 1
 
 
+@pytest.mark.parametrize("entries", [0, 4, 20, 60])
+def test_scores_of_the_whole_trie(frame, entries):
+    """What a worker does not hold is looked up: the bound does not change a score."""
+    train = [t for i, t in enumerate(TEXTS) if i % 3 != 1] + [TEXTS[0]]
+    got = ppm.score(frame, train="doc_id % 3 <> 1", order=3, entries=entries).collect()
+    trie = Trie(train, 3)
+    assert len(got) == len(TEXTS) + 2
+    for row in got:
+        text = TEXTS[row.doc_id] if row.doc_id is not None else "the cat"
+        assert row.score == pytest.approx(trie.score(text), abs=1e-9)
+
+
 def test_probabilities_sum_to_one(docs):
     model = ppm.fit(ppm.count(docs([(1, "abracadabra"), (2, "abrab")]), "text", 2), order=2)
     for context in [(ppm.START, ppm.START), (97, 98), (98, 114), (120, 97), (120, 121)]:
