@@ -1,13 +1,14 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 A merge-type model joins neighbouring symbols, best score first, from an agenda. With dropout each
-candidate that comes up is skipped when a keyed hash of (seed, variant, word, place, length) falls
-below the dropout rate. So a seed gives one segmentation whatever the partitions or retries, other
-seeds give others, and occurrences of a word within a seed differ by `variants`, dealt by a keyed
-hash of the text and the word's place. Without dropout the ids are those of the library.
+candidate that comes up is skipped when a keyed hash of (seed, text, place of the word in it, place
+and length in the word) falls below the dropout rate. So every occurrence of a word is drawn anew,
+and a seed gives one segmentation whatever the partitions or retries, other seeds give others.
+Without dropout the ids are those of the library.
 
 No piece of such a vocabulary holds a space mark after another character (checked on loading), so a
-text is encoded word by word, and a word and variant only once per worker while it is remembered.
+text is encoded word by word. A worker remembers words with the places that pieces can take, and
+segmentations by the set of places skipped: what an occurrence draws decides, memory only saves work.
 
 Lossless: characters without a piece become byte pieces; so does the space mark itself where a text
 contains it. Decoding joins the pieces and takes the one mark away that encoding put in front.
@@ -22,6 +23,8 @@ import hashlib
 import heapq
 import re
 import zlib
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +34,10 @@ from pyspark.sql import functions as F
 from sensorweave.llm.common import GOLDEN, mix64, utf8, widened
 
 MARK = "▁"
-REMEMBERED, LONGEST = 1_000_000, 64  # words of a generation in a worker, and the longest remembered
+REMEMBERED, LONGEST = 200_000, 64  # words, or segmentations, of a generation in a worker; the longest remembered
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MASK = (1 << 64) - 1
+_LENGTH = 32  # a place and a length in a word are one number: place << _LENGTH | length
 
 
 class Vocabulary:
@@ -61,15 +65,15 @@ class Vocabulary:
                 self.ids[piece] = i
                 self.costs[piece] = -model.get_score(i)
                 self.raw.append(piece.replace(MARK, " ").encode())
+        self.longest = max(map(len, self.costs), default=0)
 
-    def segment(self, word: str, key: int, dropout: float) -> list[int]:
-        """Ids of one word by agenda merging."""
+    def segment(self, word: str, skipped: Callable[[int], bool] | None = None) -> list[int]:
+        """Ids of one word by agenda merging; `skipped` tells of place << _LENGTH | length."""
         symbols = list(word)
         n = len(symbols)
         cost = self.costs.get
         ahead, behind = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
-        limit = int(dropout * (1 << 64))
         for i in range(n - 1):
             joined = symbols[i] + symbols[i + 1]
             price = cost(joined)
@@ -82,10 +86,8 @@ class Vocabulary:
             # out of date when one side has been merged meanwhile
             if first is None or second is None or ahead[left] != right or len(first) + len(second) != len(joined):
                 continue
-            if limit:
-                h = ((key ^ (left * 0x9E3779B97F4A7C15) ^ (len(joined) << 40)) * 0xD6E8FEB86659FD93) & _MASK
-                if ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & _MASK < limit:
-                    continue
+            if skipped is not None and skipped(left << _LENGTH | len(joined)):
+                continue
             symbols[left], symbols[right] = joined, None
             after = ahead[left] = ahead[right]
             before = behind[left]
@@ -110,62 +112,119 @@ class Vocabulary:
                     out.append(found)
         return out
 
+    def spans(self, word: str) -> list[int]:
+        """All places and lengths in a word that a merge can come up for."""
+        n, priced = len(word), self.costs
+        return [i << _LENGTH | (j - i) for i in range(n - 1) for j in range(i + 2, min(n, i + self.longest) + 1) if word[i:j] in priced]
+
+
+def _ids(found: list[int]) -> bytes:
+    return np.array(found, "<i4").tobytes()
+
 
 class _Memory(dict):
-    """Encoded words of one variant; what a whole generation did not ask for is forgotten."""
+    """What `make` gave for a key; what a whole generation did not ask for is forgotten."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, dropout: float, size: int):
-        self.vocabulary, self.dropout = vocabulary, dropout
-        self.size, self.older = size, {}
-        self.secret = hashlib.blake2b(f"{seed}/{variant}".encode(), digest_size=16).digest()
+    def __init__(self, make: Callable, size: int):
+        self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, word: str) -> bytes:
-        found = self.older.get(word)
+    def __missing__(self, key):
+        found = self.older.get(key)
         if found is None:
-            found = self._encoded(word)
-        if len(word) <= LONGEST:
-            if len(self) >= self.size:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
+            found = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
-    def _encoded(self, word: str) -> bytes:
-        key = int.from_bytes(hashlib.blake2b(utf8(word), digest_size=8, key=self.secret).digest(), "little")
-        ids = self.vocabulary.segment(word, key, self.dropout)
-        return np.array(ids, "<i4").tobytes()
+
+class _Word(NamedTuple):
+    ids: bytes | None  # without dropout; None: not to be remembered
+    spans: bytes  # uint64
+    merged: int  # bits of the spans merged without dropout
 
 
 class Coder:
     """Encoder and decoder of one worker."""
 
-    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 2):
+    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0):
         self.vocabulary = Vocabulary(path)
-        self.seed = seed
-        variants = variants if dropout > 0 else 1
-        self.memories = [_Memory(self.vocabulary, seed, v, dropout, REMEMBERED // variants) for v in range(variants)]
+        self.secret = hashlib.blake2b(str(seed).encode(), digest_size=16).digest()
+        self.limit = int(dropout * (1 << 64))
+        self.words = _Memory(self._word, REMEMBERED)
+        self.drawn = _Memory(self._drawn, REMEMBERED)
+
+    def _word(self, word: str) -> _Word:
+        if len(word) > LONGEST:
+            return _Word(None, b"", 0)
+        if not self.limit:
+            return _Word(_ids(self.vocabulary.segment(word)), b"", 0)
+        spans = self.vocabulary.spans(word)
+        if len(spans) > 64:
+            return _Word(None, b"", 0)
+        merged: list[int] = []
+        ids = self.vocabulary.segment(word, merged.append)  # append tells nothing: none is skipped
+        came = set(merged)
+        return _Word(_ids(ids), np.array(spans, "<u8").tobytes(), sum(1 << i for i, s in enumerate(spans) if s in came))
+
+    def _drawn(self, key: tuple[str, int]) -> bytes:
+        word, mask = key
+        spans = np.frombuffer(self.words[word].spans, "<u8").tolist()
+        return _ids(self.vocabulary.segment(word, {s for i, s in enumerate(spans) if mask >> i & 1}.__contains__))
+
+    def _alone(self, word: str, key: int) -> bytes:
+        """A word too long to be remembered."""
+        if not self.limit:
+            return _ids(self.vocabulary.segment(word))
+        limit = self.limit
+
+        def skipped(span: int) -> bool:
+            x = key ^ (span * GOLDEN & _MASK)  # mix64 of one number
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _MASK
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
+            return x ^ x >> 31 < limit
+
+        return _ids(self.vocabulary.segment(word, skipped))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, "<i4")
+        base = int.from_bytes(hashlib.blake2b(utf8(text), digest_size=8, key=self.secret).digest(), "little") if self.limit else 0
         if MARK in text:  # marks that are text become bytes, what lies between is encoded as it is
             parts = text.split(MARK)
-            mark = np.array([self.vocabulary.bytes[b] for b in MARK.encode()], "<i4")
-            coded = [self._words(MARK + parts[0].replace(" ", MARK), text)]
+            mark = _ids([self.vocabulary.bytes[b] for b in MARK.encode()])
+            found = _WORD.findall(MARK + parts[0].replace(" ", MARK))
+            ends = [len(found)]
             for part in parts[1:]:
-                coded += [mark, self._words(part.replace(" ", MARK), text)]
-            return np.concatenate(coded)
-        return self._words(MARK + text.replace(" ", MARK), text)
-
-    def _words(self, marked: str, text: str) -> np.ndarray:
-        found = _WORD.findall(marked)
-        if len(self.memories) == 1:
-            return np.frombuffer(b"".join(map(self.memories[0].__getitem__, found)), "<i4")
-        base = np.uint64(zlib.crc32(utf8(text), self.seed & 0xFFFFFFFF))
+                found += _WORD.findall(part.replace(" ", MARK))
+                ends.append(len(found))
+            coded = self._words(found, base)
+            starts = [0, *ends[:-1]]
+            return np.frombuffer(mark.join(b"".join(coded[i:j]) for i, j in zip(starts, ends)), "<i4")
+        return np.frombuffer(b"".join(self._words(_WORD.findall(MARK + text.replace(" ", MARK)), base)), "<i4")
+
+    def _words(self, found: list[str], base: int) -> list[bytes]:
+        """Ids of the words of a text, each drawn by its place in it."""
+        known = [self.words[w] for w in found]
+        out = [k.ids for k in known]
+        if not self.limit:
+            return [self._alone(w, 0) if ids is None else ids for w, ids in zip(found, out)]
         with np.errstate(over="ignore"):
-            deal = mix64(base * np.uint64(GOLDEN) + np.arange(len(found), dtype=np.uint64)) % np.uint64(len(self.memories))
-        memories = self.memories
-        return np.frombuffer(b"".join([memories[v][w] for w, v in zip(found, deal.tolist())]), "<i4")
+            keys = mix64(np.uint64(base) + np.uint64(GOLDEN) * np.arange(1, len(found) + 1, dtype=np.uint64))
+            spans = np.frombuffer(b"".join([k.spans for k in known]), "<u8")
+            sizes = np.array([len(k.spans) for k in known], np.int64) // 8
+            h = mix64(np.repeat(keys, sizes) ^ spans * np.uint64(GOLDEN))
+        hits = np.flatnonzero(h < np.uint64(self.limit)) if self.limit <= _MASK else np.arange(len(h))
+        ends = np.cumsum(sizes)
+        owner = np.searchsorted(ends, hits, side="right")
+        masks = np.zeros(len(found), np.uint64)
+        np.bitwise_or.at(masks, owner, np.uint64(1) << (hits - (ends - sizes)[owner]).astype(np.uint64))
+        merged = np.array([k.merged for k in known], np.uint64)
+        drawn = self.drawn
+        for i, mask in zip(np.flatnonzero(masks & merged).tolist(), masks[(masks & merged) != 0].tolist()):
+            out[i] = drawn[found[i], mask]
+        return [self._alone(w, key) if ids is None else ids for w, ids, key in zip(found, out, keys.tolist())] if None in out else out
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.vocabulary.raw
@@ -176,20 +235,20 @@ class Coder:
 _coders: dict[tuple, Coder] = {}  # per worker process
 
 
-def coder(path: str, dropout: float = 0.0, seed: int = 0, variants: int = 2) -> Coder:
-    key = (path, dropout, seed, variants)
+def coder(path: str, dropout: float = 0.0, seed: int = 0) -> Coder:
+    key = (path, dropout, seed)
     if key not in _coders:
-        _coders[key] = Coder(path, dropout, seed, variants)
+        _coders[key] = Coder(path, dropout, seed)
     return _coders[key]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0, seed: int = 0, variants: int = 2, out: str = "pieces") -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0, seed: int = 0, out: str = "pieces") -> DataFrame:
     """`docs` with the array column `out` of piece ids."""
     place = docs.columns.index(text)
     schema = widened(docs, f"`{out}` array<int>")
 
     def run(batches):
-        own = coder(model, dropout, seed, variants)
+        own = coder(model, dropout, seed)
         for batch in batches:
             ids = [None if t is None else own.encode(t) for t in batch.column(place).to_pylist()]
             kept = [c for c, name in zip(batch.columns, batch.schema.names) if name != out]
@@ -219,13 +278,13 @@ def decode(docs: DataFrame, model: str, pieces: str = "pieces", out: str = "deco
     return docs.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 2) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """Per row: key, n_chars, n_pieces, n_bytes (byte pieces), pieces_crc32, lossless."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches):
-        own = coder(model, dropout, seed, variants)
+        own = coder(model, dropout, seed)
         first, last = min(own.vocabulary.bytes), max(own.vocabulary.bytes)
         for batch in batches:
             out = []

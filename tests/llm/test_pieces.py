@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 import sentencepiece
@@ -51,6 +53,33 @@ def test_seeds_vary_and_repeat():
     assert len(letters) == 6  # every merge skipped: the mark and five letters
 
 
+def test_every_occurrence_is_drawn():
+    """Occurrences of one word are segmented as often in each way as free draws would; texts differ."""
+    coder, n, draw = pieces.Coder(PATH, 0.1, seed=3), 10_000, np.random.default_rng(8)
+    ids = coder.encode("international " * n)[:-1]  # without the last mark
+    first = [i for p, i in coder.vocabulary.ids.items() if p.startswith(pieces.MARK)]
+    got = Counter(tuple(w) for w in np.split(ids, np.flatnonzero(np.isin(ids, first))[1:]))
+    spans = coder.vocabulary.spans("▁international")
+    want = Counter()
+    for _ in range(n):
+        off = {s for s in spans if draw.random() < 0.1}
+        want[tuple(coder.vocabulary.segment("▁international", off.__contains__))] += 1
+    assert sum(got.values()) == n and len(got) > 20
+    assert sum(abs(got[k] - want[k]) for k in got | want) / n < 0.1
+    assert len({tuple(coder.encode(f"{i} international")[-9:]) for i in range(200)}) > 20
+
+
+def test_memory_does_not_draw(monkeypatch):
+    """Remembered words and words encoded alone give the same ids."""
+    texts = ["international communication of words " * 30, "a▁b international▁international", "x" * 70 + " the"]
+    want = [pieces.Coder(PATH, 0.2, seed=5).encode(t).tolist() for t in texts]
+    monkeypatch.setattr(pieces, "LONGEST", 0)
+    assert [pieces.Coder(PATH, 0.2, seed=5).encode(t).tolist() for t in texts] == want
+    monkeypatch.setattr(pieces, "LONGEST", 64)
+    monkeypatch.setattr(pieces, "REMEMBERED", 2)
+    assert [pieces.Coder(PATH, 0.2, seed=5).encode(t).tolist() for t in texts] == want
+
+
 def test_frames(corpus, docs):
     rows = [(1, "the cat"), (1, "the cat"), (2, None), (3, ""), (None, "x" * 5000), (4, "é " * 20000)]
     frame = docs(rows).withColumn("decoded", F.lit(7)).withColumn("pieces", F.lit("p"))
