@@ -40,6 +40,7 @@ from sensorweave.llm.common import cut, utf8, widened
 ORDER = 5  # 6 symbols of 9 bits; 6 is one too many for 63 bits
 ENTRIES = 1_500_000  # bound of (context, symbol) pairs held by a worker per order
 FREQUENT = 200_000  # bound of words whose counts travel to the scorers
+STEPS = 16  # of a histogram of counts, to a doubling
 END, START, RADIX, DIGIT = 256, 257, 512, 9
 SYMBOLS = 257  # bytes and the end; the start only pads
 CHUNK = 2_000_000  # symbols in hand at once
@@ -119,9 +120,10 @@ def count(docs: DataFrame, text: str, order: int) -> DataFrame:
 
 
 def _threshold(sizes: DataFrame, most: int) -> int:
-    """Smallest count t such that at most `most` of the entries (n, entries) have n >= t."""
-    steps = sizes.select(F.least("n", F.lit(100_000)).alias("n"), "entries").groupBy("n").agg(F.sum("entries").alias("entries"))
-    got = steps.toArrow().to_pandas().sort_values("n", ascending=False)  # at most 100,000 rows
+    """A count t, the lowest found, such that at most `most` of the entries (n, entries) have n >= t."""
+    step = F.floor(F.log2("n") * STEPS)  # logarithmic, so that no count is too large to be told apart
+    steps = sizes.groupBy(step.alias("step")).agg(F.min("n").alias("n"), F.sum("entries").alias("entries"))
+    got = steps.toArrow().to_pandas().sort_values("n", ascending=False)  # at most 63 * STEPS rows
     fits = got[got.entries.cumsum() <= most]
     if len(fits) == len(got):
         return 1

@@ -119,6 +119,12 @@ def test_scores_of_the_whole_trie(frame, entries):
         assert row.score == pytest.approx(trie.score(text), abs=1e-9)
 
 
+def test_threshold_of_large_counts(corpus):
+    """The most frequent are kept, however often all were seen."""
+    sizes = corpus.createDataFrame([(10**12, 4), (3 * 10**6, 3), (200_000, 3), (150_000, 5), (7, 2), (1, 9)], "n long, entries long")
+    assert [ppm._threshold(sizes, most) for most in (3, 4, 9, 10, 15, 17, 25, 26)] == [1 << 62, 10**12, 3 * 10**6, 200_000, 150_000, 7, 7, 1]
+
+
 def test_probabilities_sum_to_one(docs):
     model = ppm.fit(ppm.count(docs([(1, "abracadabra"), (2, "abrab")]), "text", 2), order=2)
     for context in [(ppm.START, ppm.START), (97, 98), (98, 114), (120, 97), (120, 121)]:
