@@ -4,10 +4,10 @@ Vectors are scaled to length one and cut in halves. Each half has its own codebo
 bounded sample; the pairs of code words form a grid of cells, and every vector lies in one cell.
 For a query, the distance to the bisector between its own code word and another bounds from below
 how far any vector of that other word must be. The two sorted lists of bounds are walked together,
-nearest cells first, until the summed bound leaves the reach; the reach is where `recall` of
-vectors at exactly the threshold similarity were found when the sample was perturbed
-(`recall=1.0`: the full radius, nothing can be missed). All pairs met are verified in double
-precision.
+nearest cells first, until the summed bound leaves the reach: the full radius, so that nothing can
+be missed. (`recall` below 1 shortens the reach to where that share was found when the sample was
+perturbed alike in all directions; real neighbours of vectors near few dimensions are missed more
+often than that.) All pairs met are verified in double precision.
 
 Equal vectors are one class with a multiplicity. The rows of a cell are dealt out in blocks of at
 most `BLOCK` queries and `BLOCK` vectors; a block returns counts and a spanning forest of its
@@ -163,7 +163,7 @@ def near_vectors(
     vector: str = "embedding",
     label: str = "label",
     cosine: float = 0.98,
-    recall: float = 0.99999,
+    recall: float = 1.0,
     block: int = BLOCK,
     sample: int = SAMPLE,
     words: int | None = None,

@@ -59,6 +59,18 @@ def test_recall_of_the_calibrated_reach(corpus):
     assert total > 1000 and found / total > 0.99 and all(got[i].n_links <= n for i, (n, _) in want.items())
 
 
+def test_vectors_near_few_dimensions(corpus):
+    """Neighbours that differ along the directions that part the code words are all linked by default."""
+    draw = np.random.default_rng(11)
+    n, dims = 6000, 64
+    x = (draw.normal(size=(n, 4)) @ draw.normal(size=(4, dims))).astype(np.float32)
+    unit = vectors.unit(x.astype(float))
+    want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.98).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    frame = corpus.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], SCHEMA)
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame, words=9).collect()}
+    assert want.sum() > 10_000 and [got[i] for i in range(n)] == want.tolist()
+
+
 def test_traversal_is_complete():
     """With the full radius every vector within it lies in a visited cell."""
     draw = np.random.default_rng(5)
