@@ -8,6 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from fixtures import at  # noqa: E402
+
 from sensorweave.session import local_session  # noqa: E402
 
 # sizes small enough that the fixtures are cut into several chunks, blocks and salts
@@ -33,10 +35,6 @@ def sizes(request, spark):
         spark.conf.unset(f"spark.sensorweave.{name}")
 
 
-def at(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(f"2024-01-{text}")
-
-
 @pytest.fixture(scope="session")
 def readings(spark):
     """readings([(time, variable, value), ...]) -> frame of one deployment, ids in list order."""

@@ -7,7 +7,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import at
+from fixtures import at
 from pyspark.sql import functions as F
 
 from sensorweave.functions.quantiles import exact_quantiles

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import at
+from fixtures import at
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from conftest import at
+from fixtures import at
 from pyspark.sql import functions as F
 
 from sensorweave.operators import learn

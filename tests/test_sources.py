@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import at
+from fixtures import at
 from pyspark.sql import functions as F
 
 from sensorweave import schema

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import at
+from fixtures import at
 from pyspark.sql import functions as F
 
 from sensorweave.operators import dedupe, grid, temporal
