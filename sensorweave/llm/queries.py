@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import htmltext, langid, linededup, merkle, neardup, packing, pieces, ppm, quality, vectors
+from sensorweave.llm import htmltext, langid, linededup, manifest, merkle, neardup, packing, pieces, ppm, quality, vectors
 from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,4 +91,15 @@ def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(read(spark, folder, "embeddings"))
 
 
-SQL |= {"op2_neardup": neardup.sql(), "op6_lines": linededup.sql(), "op10_vectors": vectors.sql()}
+@query
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle manifest of all documents, and the proof of each against the root, some after tampering."""
+    docs = read(spark, folder, "documents")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    leaf, altered = (manifest.row_digest([F.col(c) for c in ("doc_id", "source", "lang")] + [n, F.col("text")]) for n in (F.col("n_chars"), more))
+    claim = F.when((fold("doc_id", 7) == 0) & F.col("n_chars").isNotNull(), altered).otherwise(leaf)
+    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), F.unhex(claim).alias("claim"))
+    return manifest.build(rows, "leaf", "lang", ["doc_id"]).proofs("claim", keep=["doc_id"])
+
+
+SQL |= {"op2_neardup": neardup.sql(), "op6_lines": linededup.sql(), "op10_vectors": vectors.sql(), "op11_manifest": manifest.sql()}
