@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import htmltext, langid, linededup, manifest, merkle, neardup, packing, pieces, ppm, quality, vectors
+from sensorweave.llm import bytebpe, htmltext, langid, linededup, manifest, merkle, neardup, packing, phrases, pieces, ppm, quality, vectors
 from sensorweave.llm.common import fold, public_tokenizer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,4 +102,18 @@ def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.build(rows, "leaf", "lang", ["doc_id"]).proofs("claim", keep=["doc_id"])
 
 
-SQL |= {"op2_neardup": neardup.sql(), "op6_lines": linededup.sql(), "op10_vectors": vectors.sql(), "op11_manifest": manifest.sql()}
+@query
+def op12_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded as byte-level BPE and decoded again."""
+    import public_tokenizers
+
+    return bytebpe.round_trip(read(spark, folder, "documents"), public_tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of two to five words of each language."""
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+SQL |= {"op2_neardup": neardup.sql(), "op6_lines": linededup.sql(), "op10_vectors": vectors.sql(), "op11_manifest": manifest.sql(), "op13_phrases": phrases.sql()}
