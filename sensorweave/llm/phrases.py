@@ -1,21 +1,24 @@
 """Phrase collocations by set-oriented relational mining (SETM).
 
-The relation R_k holds every occurrence of a phrase of k words that may be frequent: (piece, position,
-phrase), sorted by piece and position. It is persisted, and each length follows from the one before:
+The relation R_k holds every occurrence of a frequent phrase of k words: (piece, position, phrase),
+sorted by piece and position. It is persisted, and each length follows from the one before:
 
-1. group-count: occurrences are counted per chunk of the corpus and the counts summed over chunks,
-2. semi-join: occurrences of phrases below the support are dropped,
-3. merge-join: two occurrences of k words at adjacent positions of a piece (which share k - 1 words)
+1. merge-join: two occurrences of k words at adjacent positions of a piece (which share k - 1 words)
    make an occurrence of k + 1 words. A phrase is frequent only if both its parts are, so no other
    occurrence can count.
+2. group-count: the occurrences are counted per chunk of the corpus, and the counts summed over chunks.
+3. semi-join: occurrences of phrases below the support are dropped before the next length.
 
 Storage. A chunk holds whole documents of one language, about `CHUNK` words; piece and position are
 one number in it, its slot: slots count words, and a gap stands between pieces. A relation is a row
-per chunk with the sorted slots and, for each, the place of its phrase among the chunk's different
-phrases. Every chunk sends one row per different phrase into the count, not one per occurrence, so a
-phrase that a third of all words belong to is a row per chunk; what comes back to a chunk are its
-frequent phrases. Nothing is broadcast, no group grows with the data but the rows of one phrase, one
-per chunk, which a window sums by streaming.
+per chunk with the sorted slots and, for each, the place of its phrase in the sorted list of the
+chunk's different phrases.
+
+Counting. Every chunk sends its different phrases with their counts, not its occurrences, so a
+phrase that a third of all words belong to is one entry per chunk. Entries are dealt out by a hash
+over slices of about `SLICE` entries (their number follows the size of the relation) and travel packed,
+a row per chunk and slice. A slice is summed in one task and gives each chunk its frequent phrases
+back. Nothing is broadcast, and no group grows with the data.
 
 Scores are exact: counts are longs, products decimals of 38 digits. Ranks are given by a range
 shuffle (`ranks`), so no language lies in one task.
@@ -31,25 +34,29 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import reduce
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import cut, utf8
+from sensorweave.llm.common import cut, mix64, utf8
 from sensorweave.llm.ranks import ranked
 
 CHUNK = 2_000_000  # words of a chunk, about
 HELD = 4_000_000  # words of unfinished chunks in a task
+SLICE = 1_000_000  # entries that are counted in one task, about
 BREAKS = re.compile(rb"[.,;:!?\n-\r]+")
 BREAK = b"."  # cannot be a word
 EXACT = "decimal(19,0)"
 
-ROW = pa.schema({"chunk": pa.int64(), "local": pa.int32(), "left": pa.int64(), "right": pa.int64(), "n": pa.int64(), "size": pa.int32(), "relation": pa.binary()})
-ROW_DDL = "chunk long, local int, left long, right long, n long, size int, relation binary"
+RELATION = "chunk long, lang string, size long, names binary, relation binary"
+KEPT = pa.schema({"chunk": pa.int64(), "local": pa.int32(), "id": pa.int64(), "first": pa.bool_(), "lang": pa.string(), "word": pa.binary(), "left": pa.int64(), "right": pa.int64(), "a": pa.int64()})
+KEPT_DDL = "chunk long, local int, id long, first boolean, lang string, word binary, left long, right long, a long"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -57,15 +64,28 @@ def tokens(text: str | None) -> list[bytes]:
     return BREAKS.sub(b" . ", utf8(text).lower()).split()
 
 
-def _packed(slots: np.ndarray, items: np.ndarray) -> bytes:
-    """A sorted relation: steps from slot to slot, then items."""
-    raw = np.concatenate([np.diff(slots, prepend=0), items]).astype("<i4").tobytes()
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length, as small as they go; the first one is sorted and kept as steps."""
+    parts = []
+    for i, c in enumerate(columns):
+        c = np.diff(c, prepend=0) if i == 0 else c
+        wide = "<i4" if not len(c) or -(1 << 31) <= c.min() and c.max() < 1 << 31 else "<i8"
+        # bytes of like weight side by side
+        parts.append(wide[2:].encode() + np.ascontiguousarray(c, wide).view(np.uint8).reshape(-1, int(wide[2])).T.tobytes())
+    raw = b"".join([len(columns[0]).to_bytes(8, "little"), *parts])
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
-def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<i4").reshape(2, -1)
-    return np.cumsum(both[0]), both[1]
+def _unpacked(packed: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n, at, columns = int.from_bytes(raw[:8], "little"), 8, []
+    while at < len(raw):
+        wide = int(raw[at : at + 1])
+        body = np.frombuffer(raw, np.uint8, n * wide, at + 1).reshape(wide, n)
+        columns.append(np.ascontiguousarray(body.T).view(f"<i{wide}").ravel().astype(np.int64))
+        at += 1 + n * wide
+    columns[0] = np.cumsum(columns[0])
+    return columns
 
 
 class _Chunk:
@@ -83,107 +103,187 @@ class _Chunk:
         self.codes.append(np.fromiter(map(self.index.__getitem__, found), np.int32, len(found)))
         self.size += len(found)
 
-    def rows(self, chunk: int, lang: str) -> pa.RecordBatch | None:
-        """One row per different word, and the relation."""
+    def row(self, chunk: int, lang: str) -> pa.RecordBatch:
         line = np.concatenate(self.codes)
         slots = np.flatnonzero(line)
-        if not len(slots):
-            return None
-        items = line[slots] - 1
-        words = list(self.index)[1:]
-        m = len(words)
-        blank = np.r_[np.zeros(m, bool), True]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(m + 1, chunk, np.int64)),
-                pa.array([lang] * (m + 1), pa.string()),
-                pa.array(np.r_[np.arange(m), -1].astype(np.int32)),
-                pa.array([*words, None], pa.binary()),
-                pa.array(np.r_[np.bincount(items, minlength=m), 0], mask=blank),
-                pa.array(np.full(m + 1, m, np.int32)),
-                pa.array([None] * m + [_packed(slots, items)], pa.binary()),
-            ],
-            names=["chunk", "lang", "local", "word", "n", "size", "relation"],
-        )
+        names = zstandard.ZstdCompressor(level=1).compress(b"\n".join(list(self.index)[1:]))  # a word holds no line end
+        columns = [[chunk], [lang], [len(slots)], [names], [_packed(slots, line[slots] - 1)]]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, STORED.types)], schema=STORED)
+
+
+STORED = pa.schema({"chunk": pa.int64(), "lang": pa.string(), "size": pa.int64(), "names": pa.binary(), "relation": pa.binary()})
 
 
 def first_relation(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """R_1 by chunk: rows of words (chunk, lang, local, word, n, size) and of the relation (local -1)."""
+    """All words, a row per chunk: `names` are its different words, `relation` slots and words, `size` their number."""
 
     def run(batches):
-        task = TaskContext.get().partitionId() << 32
+        task, made, held = TaskContext.get().partitionId() << 32, 0, 0
         open_: dict[str, _Chunk] = {}
-        made = held = 0
         for batch in batches:
             for where, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 chunk = open_.setdefault(where, _Chunk())
                 held -= chunk.size
                 chunk.add(tokens(found))
                 held += chunk.size
-                full = [where] if chunk.size >= CHUNK else list(open_) if held >= HELD else []
-                for name in full:
-                    done = open_.pop(name)
+                full = where if chunk.size >= CHUNK else max(open_, key=lambda k: open_[k].size) if held >= HELD else None
+                if full is not None:
+                    done = open_.pop(full)
                     held -= done.size
                     made += 1
-                    if (rows := done.rows(task + made, name)) is not None:
-                        yield rows
+                    yield done.row(task + made, full)
         for name, done in open_.items():
             made += 1
-            if (rows := done.rows(task + made, name)) is not None:
-                yield rows
+            yield done.row(task + made, name)
 
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return cut(rows.mapInArrow(run, "chunk long, lang string, local int, word binary, n long, size int, relation binary"), "words")
+    return cut(rows.mapInArrow(run, RELATION), "words")
 
 
-def frequent(items: DataFrame, by: list[str], least: int) -> DataFrame:
-    """Group-count: rows (chunk, local, id, first, `by`, a) of the phrases seen at least `least` times.
+def _slices(relation: DataFrame) -> int:
+    total = relation.agg(F.sum("size")).first()[0] or 0
+    return -(-total // SLICE) or 1
 
-    `id` names a phrase, `first` marks one of its rows. Sums and ids come in one shuffle.
-    """
-    same = Window.partitionBy(*by)
-    rows = items.select("chunk", "local", *by, "n", F.monotonically_increasing_id().alias("_at"))
-    rows = rows.withColumns({"a": F.sum("n").over(same), "id": F.min("_at").over(same)}).where(F.col("a") >= least)
-    return cut(rows.select("chunk", "local", "id", (F.col("_at") == F.col("id")).alias("first"), *by, "a"), "frequent")
 
+def _dealt(keys: np.ndarray, slices: int) -> list[np.ndarray]:
+    """Places of the keys of each slice, in order."""
+    home = (mix64(keys.astype(np.uint64)) % np.uint64(slices)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    return np.split(order, np.searchsorted(home[order], np.arange(1, slices)))
 
-def longer(relation: DataFrame, kept: DataFrame) -> DataFrame:
-    """R_(k+1) by chunk from R_k: semi-join with the frequent phrases, merge-join of adjacent slots.
 
-    Rows of phrases (chunk, local, left, right, n, size) and of the relation (local -1).
-    """
+def _rows(names: list[str], columns: list[list], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+ENTRIES = "slice long, chunk long, lang string, entries binary, words binary"
+_ENTRIES = (["slice", "chunk", "lang", "entries", "words"], [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()])
+
 
-    def extend(stored: pa.Table, known: pa.Table) -> pa.Table:
+def _kept(slice_: int, chunks: np.ndarray, locals_: np.ndarray, group: np.ndarray, n: np.ndarray, least: int, base: int, describe) -> pa.Table | None:
+    """Entries of the groups with a sum of at least `least`. Groups are named by slice and number."""
+    total = np.zeros(int(group.max()) + 1, np.int64)
+    np.add.at(total, group, n)
+    often = total >= least
+    number = np.cumsum(often) - 1
+    at = np.flatnonzero(often[group])
+    if not len(at):
+        return None
+    ids = (slice_ << 32) + base + number[group[at]]
+    first = np.zeros(len(at), bool)
+    first[np.unique(ids, return_index=True)[1]] = True
+    lang, word, left, right = describe(at)
+    return pa.Table.from_arrays(
+        [pa.array(chunks[at]), pa.array(locals_[at].astype(np.int32)), pa.array(ids), pa.array(first), lang, word, left, right, pa.array(total[group[at]])], schema=KEPT
+    )
+
+
+def frequent_words(relation: DataFrame, least: int) -> DataFrame:
+    """Group-count of the words of R_1: a row (chunk, local, id, first, lang, word, a) per frequent word
+    of a chunk; `first` marks one of the rows of a word."""
+    slices = _slices(relation)
+
+    def deal(batches):
+        for batch in batches:
+            for chunk, lang, size, names, stored in zip(*[c.to_pylist() for c in batch.columns]):
+                if not size:
+                    continue
+                words = zstandard.ZstdDecompressor().decompress(names).split(b"\n")
+                n = np.bincount(_unpacked(stored)[1], minlength=len(words))
+                keys = np.fromiter(map(crc32, words), np.int64, len(words))
+                parts = [(s, at) for s, at in enumerate(_dealt(keys, slices)) if len(at)]
+                picked = [zstandard.ZstdCompressor(level=1).compress(b"\n".join([words[i] for i in at.tolist()])) for _, at in parts]
+                columns = [[s for s, _ in parts], [chunk] * len(parts), [lang] * len(parts), [_packed(at, n[at]) for _, at in parts], picked]
+                yield _rows(_ENTRIES[0], columns, _ENTRIES[1])
+
+    def count(table: pa.Table) -> pa.Table:
+        done, base = [], 0
+        langs = table.column("lang").to_pylist()
+        for lang in sorted(set(langs)):
+            part = table.filter(pa.array([x == lang for x in langs]))
+            entries = [_unpacked(e) for e in part.column("entries").to_pylist()]
+            words = [w for blob in part.column("words").to_pylist() for w in zstandard.ZstdDecompressor().decompress(blob).split(b"\n")]
+            chunks = np.repeat(part.column("chunk").to_numpy(), [len(e[0]) for e in entries])
+            group, different = pd.factorize(np.array(words, object))
+
+            def describe(at):
+                none = pa.nulls(len(at), pa.int64())
+                return pa.array([lang] * len(at), pa.string()), pa.array([words[i] for i in at.tolist()], pa.binary()), none, none
+
+            local, n = (np.concatenate(c) for c in zip(*entries))
+            done.append(_kept(table.column("slice")[0].as_py(), chunks, local, group, n, least, base, describe))
+            base += len(different)
+        done = [d for d in done if d is not None]
+        return pa.concat_tables(done) if done else KEPT.empty_table()
+
+    return cut(relation.mapInArrow(deal, ENTRIES).groupBy("slice").applyInArrow(count, KEPT_DDL), "frequent")
+
+
+def _adjacent(names: bytes, stored: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Merge-join of a chunk's relation with itself, one position on: left and right phrase of each
+    different pair, in order, its count, and the slots and pairs of the occurrences."""
+    ids = _unpacked(names)[0]
+    slots, items = _unpacked(stored)
+    at = np.flatnonzero(np.diff(slots) == 1)
+    pairs, item, n = np.unique(items[at] * len(ids) + items[at + 1], return_inverse=True, return_counts=True)
+    return ids[pairs // len(ids)], ids[pairs % len(ids)], n, slots[at], item, pairs
+
+
+def frequent_pairs(relation: DataFrame, least: int) -> DataFrame:
+    """Group-count of the adjacent pairs of R_k: a row (chunk, local, id, first, left, right, a) per
+    frequent pair of a chunk."""
+    slices = _slices(relation)
+
+    def deal(batches):
+        for batch in batches:
+            for chunk, lang, size, names, stored in zip(*[c.to_pylist() for c in batch.columns]):
+                left, right, n, *_ = _adjacent(names, stored)
+                if not len(left):
+                    continue
+                parts = [(s, at) for s, at in enumerate(_dealt(mix64(left.astype(np.uint64)) + right.astype(np.uint64), slices)) if len(at)]
+                entries = [_packed(at, n[at], np.diff(left[at], prepend=0), right[at] >> 32, right[at] & 0xFFFFFFFF) for _, at in parts]
+                columns = [[s for s, _ in parts], [chunk] * len(parts), [lang] * len(parts), entries, [None] * len(parts)]
+                yield _rows(_ENTRIES[0], columns, _ENTRIES[1])
+
+    def count(table: pa.Table) -> pa.Table:
+        entries = [_unpacked(e) for e in table.column("entries").to_pylist()]
+        chunks = np.repeat(table.column("chunk").to_numpy(), [len(e[0]) for e in entries])
+        local, n = (np.concatenate([e[i] for e in entries]) for i in (0, 1))
+        left = np.concatenate([np.cumsum(e[2]) for e in entries])
+        right = np.concatenate([(e[3] << 32) + e[4] for e in entries])
+        order = np.lexsort((right, left))
+        new = np.r_[False, (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new)
+
+        def describe(at):
+            return pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.binary()), pa.array(left[at]), pa.array(right[at])
+
+        done = _kept(table.column("slice")[0].as_py(), chunks, local, group, n, least, 0, describe)
+        return KEPT.empty_table() if done is None else done
+
+    return cut(relation.mapInArrow(deal, ENTRIES).groupBy("slice").applyInArrow(count, KEPT_DDL), "frequent")
+
+
+def semi_joined(relation: DataFrame, kept: DataFrame, words: bool) -> DataFrame:
+    """The occurrences of frequent phrases: R_1 from all words, or R_(k+1) from the pairs of R_k."""
+
+    def keep(stored: pa.Table, known: pa.Table) -> pa.Table:
         if not (stored.num_rows and known.num_rows):
-            return ROW.empty_table()
-        slots, items = _unpacked(stored.column("relation")[0].as_py())
+            return STORED.empty_table()
+        row = stored.to_pylist()[0]
+        slots, items = _unpacked(row["relation"]) if words else _adjacent(row["names"], row["relation"])[3:5]
         ids = known.column("id").to_numpy()
-        place = np.full(stored.column("size")[0].as_py(), -1, np.int64)
-        place[known.column("local").to_numpy()] = np.arange(len(ids))
+        order = np.argsort(ids)
+        place = np.full(int(items.max()) + 1, -1, np.int64)
+        place[known.column("local").to_numpy()[order]] = np.arange(len(ids))
         items = place[items]
         slots, items = slots[items >= 0], items[items >= 0]
-        at = np.flatnonzero(np.diff(slots) == 1)
-        if not len(at):
-            return ROW.empty_table()
-        pairs, item, n = np.unique(items[at] * len(ids) + items[at + 1], return_inverse=True, return_counts=True)
-        m = len(pairs)
-        blank = np.r_[np.zeros(m, bool), True]
-        return pa.Table.from_arrays(
-            [
-                pa.array(np.full(m + 1, stored.column("chunk")[0].as_py(), np.int64)),
-                pa.array(np.r_[np.arange(m), -1].astype(np.int32)),
-                pa.array(np.r_[ids[pairs // len(ids)], 0], mask=blank),
-                pa.array(np.r_[ids[pairs % len(ids)], 0], mask=blank),
-                pa.array(np.r_[n, 0].astype(np.int64), mask=blank),
-                pa.array(np.full(m + 1, m, np.int32)),
-                pa.array([None] * m + [_packed(slots[at], item)], pa.binary()),
-            ],
-            schema=ROW,
-        )
-
-    left = relation.where("local = -1").select("chunk", "size", "relation")
-    right = kept.select("chunk", "local", "id")
-    return cut(left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(extend, ROW_DDL), "relation")
+        columns = [[row["chunk"]], [row["lang"]], [len(slots)], [_packed(ids[order])], [_packed(slots, items)]]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, STORED.types)], schema=STORED)
+
+    sides = relation.groupBy("chunk").cogroup(kept.select("chunk", "local", "id").groupBy("chunk"))
+    return cut(sides.applyInArrow(keep, RELATION), "relation")
 
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5) -> tuple[list[DataFrame], DataFrame]:
@@ -194,14 +294,16 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     phrase without its last and without its first word.
     """
     relation = first_relation(docs, text, lang)
-    sizes = relation.where("local >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    kept = frequent(relation.where("local >= 0"), ["lang", "word"], least)
+    sizes = relation.groupBy("lang").agg(F.sum("size").alias("n"))
+    kept = frequent_words(relation, least)
+    relation = semi_joined(relation, kept, words=True)
     none = F.lit(None).cast("long")
     own = kept.where("first").select("id", "lang", F.array(F.col("word").cast("string")).alias("words"), "a")
     found = [cut(own.withColumns({"heads": F.array("a"), "tails": F.array("a"), "left": none, "right": none}), "phrases")]
-    for _ in range(longest - 1):
-        relation = longer(relation, kept)
-        kept = frequent(relation.where("local >= 0"), ["left", "right"], least)
+    for k in range(2, longest + 1):
+        kept = frequent_pairs(relation, least)
+        if k < longest:
+            relation = semi_joined(relation, kept, words=False)
         left = found[-1].select(F.col("id").alias("left"), "lang", "words", "heads")
         right = found[-1].select(F.col("id").alias("right"), F.element_at("words", -1).alias("last"), "tails")
         new = kept.where("first").select("id", "left", "right", "a").join(left, "left").join(right, "right")

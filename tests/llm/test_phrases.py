@@ -53,9 +53,10 @@ def texts(seed: int, n: int):
 @pytest.mark.parametrize("chunk", [60, 2_000_000])
 @pytest.mark.parametrize("percent", [100, 90])
 def test_against_plain_count(docs, corpus, monkeypatch, chunk, percent):
-    """Chunks of one document and of many; a chunk size must not change a thing."""
+    """Chunks of few documents and of many, counted in many slices and in one: no size changes a thing."""
     monkeypatch.setattr(phrases, "CHUNK", chunk)
     monkeypatch.setattr(phrases, "HELD", 3 * chunk)
+    monkeypatch.setattr(phrases, "SLICE", 700 if chunk < 1000 else phrases.SLICE)
     rows = [*texts(1, 250), (None, "en"), ("", "de"), ("same same", "en"), ("same same", "en")]
     table = docs([(i % 50, t, lang) for i, (t, lang) in enumerate(rows)]).withColumns({c: F.lit("clash") for c in ("chunk", "word", "n", "phrase")})
     got = phrases.collocations(table, least=4, percent=percent)
@@ -80,9 +81,13 @@ def test_large_counts_stay_exact(corpus):
     n, a, left, right = 9 * 10**17 + 7, 10**15 + 3, 10**16 + 9, 10**16 + 61
     row = corpus.sql(f"SELECT (1000 * CAST({a} AS decimal(19,0)) * CAST({n} AS decimal(19,0))) div (CAST({left} AS decimal(19,0)) * CAST({right} AS decimal(19,0))) AS s").first()
     assert row.s == 1000 * a * n // (left * right)
-    slots, items = np.array([0, 1, 5, 1_000_000]), np.array([3, 0, 2, 1])
-    back = phrases._unpacked(phrases._packed(slots, items))
-    assert (back[0] == slots).all() and (back[1] == items).all()
+
+
+def test_packing():
+    columns = [np.array([0, 1, 5, 1 << 40]), np.array([3, 0, -2, 1 << 33]), np.array([7, -8, 9, 0])]
+    for got, want in zip(phrases._unpacked(phrases._packed(*columns)), columns, strict=True):
+        assert got.tolist() == want.tolist()
+    assert [c.tolist() for c in phrases._unpacked(phrases._packed(np.zeros(0, np.int64), np.zeros(0, np.int64)))] == [[], []]
 
 
 def test_nothing_frequent_and_empty(docs, corpus):
