@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contract.inputs import VARIABLES, machine_frame, readings, table
 from contract.registry import query, r6, sql_floor, sql_grid, sql_quality, sql_r6, sql_readings, us
+from sensorweave import catalog
 from sensorweave.operators import frames, grid, impute, quality, windows
-from sensorweave.session import materialise
+from sensorweave.session import materialise, shared_folder
 
 K, WINDOW_S, EXPECTED_S = 4, 28_800, 7_200
 WINDOW_US = WINDOW_S * 1_000_000
@@ -141,3 +144,30 @@ def standardise(spark, folder):
     columns = ["l_quantity", "l_extendedprice", "constant"]
     scaled = frames.apply_scaler(items, frames.fit_scaler(items, columns))
     return scaled.withColumns({c: r6(c) for c in columns})
+
+
+@query("standardise_reused", f"""WITH s AS (SELECT avg(l_quantity) AS am, stddev_pop(l_quantity) AS asd, avg(l_extendedprice) AS bm, stddev_pop(l_extendedprice) AS bsd FROM lineitem WHERE l_orderkey % 2 = 0)
+SELECT l_orderkey, l_linenumber, {sql_r6('(l_quantity - am) / asd')} AS l_quantity, {sql_r6('(l_extendedprice - bm) / bsd')} AS l_extendedprice FROM lineitem, s WHERE l_orderkey % 2 = 1""")
+def standardise_reused(spark, folder):
+    """A scaler fitted to half of the orders, stored, loaded and applied to the others."""
+    columns = ["l_quantity", "l_extendedprice"]
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *columns)
+    path = f"{shared_folder(spark)}/scaler-{uuid.uuid4().hex}"
+    frames.save_scaler(spark, frames.fit_scaler(items.where("l_orderkey % 2 = 0"), columns), path)
+    scaled = frames.apply_scaler(items.where("l_orderkey % 2 = 1"), frames.load_scaler(spark, path))
+    return scaled.withColumns({c: r6(c) for c in columns})
+
+
+def _average(column: str, rows: int) -> str:
+    frame = f"(PARTITION BY deployment_id ORDER BY slot_us ROWS BETWEEN {rows // 2} PRECEDING AND {rows - 1 - rows // 2} FOLLOWING)"
+    return f"CASE WHEN count({column}) OVER {frame} = {rows} THEN avg({column}) OVER {frame} END"
+
+
+WIDTHS = {c: w for c, w in catalog.SMOOTH_ROWS.items() if c in (*VIB_COLUMNS, "skin_temp")}
+
+
+@query("smooth_widths", f"""WITH {MACHINE}, x AS (SELECT deployment_id, slot_us, {', '.join(f'{_average(c, w)} AS {c}_SMOOTH' for c, w in WIDTHS.items())} FROM m)
+SELECT deployment_id, slot_us, {_rounded([f'{c}_SMOOTH' for c in WIDTHS])} FROM x""")
+def smooth_widths(spark, folder):
+    """Centred averages of the widths that the catalogue gives each column."""
+    return _show(frames.smooth(machine_frame(spark, folder), width=None), [f"{c}_SMOOTH" for c in WIDTHS])

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from contract.feature_queries import EXPECTED_S, NAMES, WINDOWS, WINDOW_S
+from contract.feature_queries import K as FEATURE_K
 from contract.inputs import VARIABLES, readings
-from contract.registry import query, r6, sql_floor, sql_grid, sql_quality, sql_r6, sql_readings, sql_slot, us
+from contract.registry import SQL, query, r6, sql_floor, sql_grid, sql_quality, sql_r6, sql_readings, sql_slot, sql_steps, us
+from contract.time_queries import K as TIME_K
 from sensorweave.plans import flows
 
 K = 2
 SEVERE = "(is_invalid_physical OR is_invalid_category OR is_invalid_monotonic OR is_outlier OR is_missing)"
 STEP = 900
+FLAGS = ["is_gap", "is_small_delta", "is_missing", "is_invalid_physical", "is_outlier", "is_high", "is_invalid_category", "is_invalid_monotonic"]
 LINE = "pvalue + (nvalue - pvalue) * ((slot - pslot)::DOUBLE / (nslot - pslot))"
 RUN = f"((coalesce(nslot, hi + {STEP * 1_000_000}) - pslot) // {STEP * 1_000_000} - 1)"
 BACK = f"((slot - pslot) // {STEP * 1_000_000})"
@@ -46,6 +50,48 @@ def flow_rounded(spark, folder):
     return clean.select("deployment_id", "variable", us("ts_slot").alias("slot_us"), r6("value").alias("value"), "is_imputed", "is_missing_general")
 
 
+@query("flow_standard_readings", f"""WITH {sql_quality(K)} SELECT reading_id, {sql_r6('delta_s')} AS delta_s, {', '.join(FLAGS)}, quality_code FROM q""")
+def flow_standard_readings(spark, folder):
+    """The deduplicated readings with their time steps, flags and quality codes."""
+    rows = flows.standard(readings(spark, folder, K)).readings
+    return rows.select("reading_id", r6("delta_s").alias("delta_s"), *FLAGS, "quality_code")
+
+
+@query("flow_standard_features", f"WITH {WINDOWS} " + " UNION ALL ".join(
+    f"SELECT deployment_id, ts_us, '{n}' AS feature, {sql_r6(n)} AS value, quality_code FROM ft" for n in NAMES))
+def flow_standard_features(spark, folder):
+    """Time-domain and spectral features of the main signal, as the flow gives them."""
+    rows = flows.standard(readings(spark, folder, FEATURE_K), window_s=WINDOW_S, expected_s=EXPECTED_S).features
+    return rows.select("deployment_id", us("ts_utc").alias("ts_us"), "feature", r6("value").alias("value"), "quality_code")
+
+
+# flags of the second rule set: gaps before rounding, counters in the order of rounded times
+ROUNDED_QUALITY = f"""{sql_readings(K)}, {sql_steps()}, rr AS (SELECT r.*, {sql_slot('us', STEP)} AS slot FROM r),
+s AS (SELECT deployment_id, variable, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM r WHERE variable IN ('acc_rms_radial', 'overall_vibration') AND value IS NOT NULL GROUP BY ALL),
+p AS (SELECT *, lag(value) OVER (PARTITION BY deployment_id, variable ORDER BY slot, reading_id) AS prev FROM rr),
+f AS (SELECT p.reading_id, p.slot, p.variable, p.value, coalesce(d.delta_s > 900 * 1.5, false) AS is_gap, p.value IS NULL AS is_missing,
+  coalesce(variable <> 'bearing_condition' AND value < 0, false) AS is_invalid_physical,
+  coalesce(q3 - q1 > 0 AND (value < q1 - 3 * (q3 - q1) OR value > q3 + 3 * (q3 - q1)), false) AS is_outlier,
+  coalesce(variable = 'bearing_condition' AND trunc(value) NOT IN (0, 1, 2, 3, 4), false) AS is_invalid_category,
+  coalesce(variable = 'total_run_time' AND value - prev < -1e-6, false) AS is_invalid_monotonic
+  FROM p JOIN d USING (deployment_id, us) LEFT JOIN s USING (deployment_id, variable))"""
+
+
+@query("flow_rounded_quality", f"""WITH {ROUNDED_QUALITY} SELECT reading_id, slot AS slot_us, {sql_r6('CASE WHEN NOT is_outlier THEN value END')} AS value, is_gap, is_invalid_monotonic, is_outlier,
+  CASE WHEN is_invalid_monotonic THEN 6 WHEN is_invalid_physical THEN 5 WHEN is_invalid_category THEN 4 WHEN is_outlier THEN 3 WHEN is_gap THEN 2 WHEN is_missing THEN 1 ELSE 0 END AS quality_code FROM f""")
+def flow_rounded_quality(spark, folder):
+    """Readings at rounded times with the flags of the second rule set."""
+    rows = flows.rounded(readings(spark, folder, K)).quality
+    return rows.select("reading_id", us("ts_utc").alias("slot_us"), r6("value").alias("value"), "is_gap", "is_invalid_monotonic", "is_outlier", "quality_code")
+
+
+@query("flow_rounded_steps", SQL["delta_comparison"].replace(f"user_id % {TIME_K} AS", f"user_id % {K} AS"))
+def flow_rounded_steps(spark, folder):
+    """Time steps before and after rounding, as the flow gives them."""
+    steps = flows.rounded(readings(spark, folder, K)).steps
+    return steps.select("deployment_id", "stat", r6("before").alias("before"), r6("after").alias("after"))
+
+
 RESAMPLE_S = 3600
 WIDE = ", ".join(f"max(value) FILTER (variable = '{v}') AS {v}" for v in VARIABLES)
 

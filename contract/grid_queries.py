@@ -135,6 +135,18 @@ def unpivot_codes(spark, folder):
     return _long(grid.unpivot_pairs(wide, VARIABLES, "_code", "processing_code", default=0), "processing_code")
 
 
+@query("unpivot_flags", f"""WITH {LAST}, k AS (SELECT DISTINCT deployment_id, slot FROM o),
+c AS (SELECT k.deployment_id, k.slot, v.variable FROM k, (SELECT unnest({VARIABLES}) AS variable) v)
+SELECT c.deployment_id, c.variable, c.slot AS slot_us, {sql_r6('o.value')} AS value,
+  c.variable <> 'output_power' AND coalesce(o.value < 100, false) AS is_imputed
+FROM c LEFT JOIN o USING (deployment_id, slot, variable)""")
+def unpivot_flags(spark, folder):
+    """Values with their imputed flags; a flag that is missing, in one cell or a whole column, is False."""
+    wide = grid.pivot_wide(_observed(spark, folder), columns=VARIABLES)
+    flags = {f"{v}_is_imputed": F.lit(None).cast("boolean") if v == "output_power" else F.col(v) < 100 for v in VARIABLES}
+    return _long(grid.unpivot_pairs(wide.withColumns(flags), VARIABLES, "_is_imputed", "is_imputed", default=False), "is_imputed")
+
+
 @query("row_any_null", f"""WITH {LAST}, w AS (SELECT deployment_id, slot AS slot_us, {WIDE} FROM o GROUP BY deployment_id, slot)
 SELECT deployment_id, slot_us, {' OR '.join(f'{v} IS NULL' for v in VARIABLES)} AS is_missing_general FROM w""")
 def row_any_null(spark, folder):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contract.feature_queries import EXPECTED_S, K, NAMES, WINDOW_S, WINDOWS, _windows, flagged
 from contract.registry import query, r6, sql_quality, sql_r6, us
 from contract.source_queries import _folder
-from sensorweave.operators import learn, windows
+from sensorweave.operators import learn, linear, windows
 from sensorweave.session import materialise
 
 # measurements of the main signal with the following one, joined to the windows ending there
@@ -134,29 +134,125 @@ def stratified_split(spark, folder):
     return rows.select("reading_id", "label", "is_test")
 
 
-# --- models: rows only -------------------------------------------------------------
+# --- models ------------------------------------------------------------------------
 
-def _regression(spark, folder, pipeline):
-    data = materialise(learn.ordered_split(_dataset(spark, folder)), "dataset")
-    scores = []
-    for scenario, rows in (("dirty", data), ("clean", learn.clean_rows(data))):
-        model = pipeline.fit(rows.where("is_train"))
-        errors = learn.regression_error(model.transform(rows.where("NOT is_train")), "y_next", "prediction")
-        scores.append(errors.withColumn("scenario", F.lit(scenario)))
-    return scores[0].unionByName(scores[1])
+# the data set with its split; `clean` rows have a good current and next measurement
+SPLIT_DATASET = f"""{DATASET},
+dt AS (SELECT *, row_number() OVER (PARTITION BY deployment_id ORDER BY ts_us) <= floor(0.7 * count(*) OVER (PARTITION BY deployment_id)) AS is_train,
+  quality_code = 0 AND quality_next = 0 AS clean FROM ds)"""
 
 
-@query("linreg")
+def _swept(matrix: str, k: int, name: str) -> str:
+    """CTEs `name`_sweep: a system of `k` unknowns, in `matrix` (m: k rows of k + 1), after elimination."""
+    pivot = "m[step][step]"
+    row = f"CASE WHEN i = step THEN list_transform(r, lambda x: x / {pivot}) ELSE list_transform(r, lambda x, j: x - r[step] * m[step][j] / {pivot}) END"
+    return f"""{name}_sweep(step, m) AS (SELECT 1, m FROM {matrix} UNION ALL
+  SELECT step + 1, CASE WHEN {pivot} > {linear.DEPENDENT!r} THEN list_transform(m, lambda r, i: {row}) ELSE m END FROM {name}_sweep WHERE step <= {k})"""
+
+
+def _least_squares(name: str, condition: str) -> str:
+    """CTEs up to `name`_pr: test rows of a scenario with the prediction of the line fitted to its training rows."""
+    k = len(NAMES)
+    deviation = [f"coalesce(nullif(stddev_pop({c}), 0), 1)" for c in NAMES]
+    rows = [", ".join([*[f"covar_pop({a}, {b}) / ({da} * {db})" for b, db in zip(NAMES, deviation)], f"covar_pop({a}, y_next) / {da}"]) for a, da in zip(NAMES, deviation)]
+    terms = " + ".join(f"w[{i}] * ({c} - mean_of[{i}]) / dev[{i}]" for i, c in enumerate(NAMES, 1))
+    return f"""{name}_m AS (SELECT [{', '.join(f'[{r}]' for r in rows)}] AS m, [{', '.join(f'avg({c})' for c in NAMES)}] AS mean_of,
+  [{', '.join(deviation)}] AS dev, avg(y_next) AS level FROM dt WHERE is_train AND {condition}),
+{_swept(f'{name}_m', k, name)},
+{name}_w AS (SELECT list_transform(m, lambda r, i: CASE WHEN r[i] > 0.5 THEN r[{k + 1}] ELSE 0 END) AS w FROM {name}_sweep WHERE step = {k + 1}),
+{name}_pr AS (SELECT '{name}' AS scenario, value, y_next, level + {terms} AS prediction FROM dt, {name}_m, {name}_w WHERE NOT is_train AND {condition})"""
+
+
+LINES = f"{SPLIT_DATASET}, {_least_squares('dirty', 'true')}, {_least_squares('clean', 'clean')}, pr AS (FROM dirty_pr UNION ALL FROM clean_pr)"
+
+
+def _split_dataset(spark, folder):
+    return materialise(learn.ordered_split(_dataset(spark, folder)), "dataset")
+
+
+SCENARIOS = (("dirty", lambda rows: rows), ("clean", learn.clean_rows))
+
+
+def _predicted(data, pipeline):
+    """Test rows of both scenarios with the predictions of a model fitted to their training rows."""
+    done = []
+    for scenario, chosen in SCENARIOS:
+        rows = chosen(data)
+        columns = learn.feature_columns(rows.drop("is_train", "prediction"))
+        model = pipeline(columns).fit(learn.complete_rows(rows.where("is_train"), columns))
+        done.append(model.transform(rows.where("NOT is_train")).select(F.lit(scenario).alias("scenario"), "value", "y_next", "prediction"))
+    return done[0].unionByName(done[1])
+
+
+def _scored(rows, *keys):
+    errors = learn.regression_error(rows, "y_next", "prediction", ["scenario", *keys])
+    return errors.withColumns({"mae": r6("mae"), "rmse": r6("rmse")})
+
+
+def _scores_of(source: str, prediction: str, more: str = "") -> str:
+    return f"""SELECT scenario, {more} count({prediction} - y_next) AS n, {sql_r6(f'avg(abs({prediction} - y_next))')} AS mae,
+  {sql_r6(f'sqrt(avg(pow({prediction} - y_next, 2)))')} AS rmse FROM {source} GROUP BY scenario"""
+
+
+@query("linreg", f"WITH RECURSIVE {LINES} {_scores_of('pr', 'prediction')}")
 def linreg(spark, folder):
-    return _regression(spark, folder, learn.linear_regression(NAMES))
+    return _scored(_predicted(_split_dataset(spark, folder), learn.linear_regression))
+
+
+@query("model_table", f"""WITH RECURSIVE {LINES} {_scores_of('pr', 'prediction', "'line' AS model,")}
+UNION ALL {_scores_of('pr', 'value', "'persistence' AS model,")}""")
+def model_table(spark, folder):
+    """The fitted line next to 'the next value equals this one', on the same test rows."""
+    line = _predicted(_split_dataset(spark, folder), learn.linear_regression).withColumn("model", F.lit("line"))
+    return _scored(line.unionByName(learn.persistence(line).withColumn("model", F.lit("persistence"))), "model")
 
 
-@query("rf_reg")
+@query("rf_reg", f"""WITH {SPLIT_DATASET}, te AS (SELECT 'dirty' AS scenario FROM dt WHERE NOT is_train UNION ALL SELECT 'clean' FROM dt WHERE NOT is_train AND clean)
+SELECT scenario, count(*) AS n, 0::BIGINT AS n_outside, true AS beats_persistence FROM te GROUP BY scenario""")
 def rf_reg(spark, folder):
-    return _regression(spark, folder, learn.forest_regression(NAMES))
+    """What must hold of any forest: it predicts every test row, between the smallest and the largest
+    label it was shown, and errs less than persistence does."""
+    data = _split_dataset(spark, folder)
+    shown = []
+    for scenario, chosen in SCENARIOS:
+        shown.append(chosen(data).where("is_train").agg(F.min("y_next").alias("low"), F.max("y_next").alias("high")).withColumn("scenario", F.lit(scenario)))
+    rows = _predicted(data, learn.forest_regression).join(F.broadcast(shown[0].unionByName(shown[1])), "scenario")  # two rows
+    error, before = F.col("prediction") - F.col("y_next"), F.col("value") - F.col("y_next")
+    outside = ~F.coalesce(F.col("prediction").between(F.col("low") - 1e-9, F.col("high") + 1e-9), F.lit(False))
+    return rows.groupBy("scenario").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(outside).alias("n_outside"), (F.avg(error * error) < F.avg(before * before)).alias("beats_persistence")
+    )
 
 
 CLASS_FEATURES = ["value", "variable_cat"]
+LABELLED_SPLIT = f"""{LABELLED}, cd AS (SELECT *, dense_rank() OVER (ORDER BY variable) - 1 AS variable_cat,
+  row_number() OVER (PARTITION BY label ORDER BY md5('{learn.SEED}:' || reading_id), reading_id) <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM lb)"""
+PAIRS = [(i, j) for i in range(3) for j in range(i, 3)]
+
+
+def _newton(steps: int = 30) -> str:
+    """CTEs up to `lg`: test rows with the score of a logistic regression by Newton's method, C = 1.
+
+    Each step solves three equations by Cramer's rule."""
+    x = ["1.0::DOUBLE", "(value - mv) / dv", "(variable_cat - mc) / dc"]
+    z = "b0 + b1 * x1 + b2 * x2"
+    h = {(i, j): f"h{min(i, j)}{max(i, j)}" for i in range(3) for j in range(3)}
+
+    def det(m) -> str:
+        return " + ".join(f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3))
+
+    matrix = [[h[i, j] for j in range(3)] for i in range(3)]
+    steps_of = [det([[f"g{i}" if j == c else matrix[i][j] for j in range(3)] for i in range(3)]) for c in range(3)]
+    sums = ", ".join([*[f"sum((p - label) * x{i}){f' + b{i}' if i else ''} AS g{i}" for i in range(3)],
+                      *[f"sum(p * (1 - p) * x{i} * x{j}){' + 1' if i == j and i else ''} AS h{i}{j}" for i, j in PAIRS]])
+    return f"""{LABELLED_SPLIT},
+sc AS (SELECT avg(value) AS mv, stddev_pop(value) AS dv, avg(variable_cat) AS mc, stddev_pop(variable_cat) AS dc FROM cd WHERE NOT is_test),
+xs AS (SELECT reading_id, label, is_test, {', '.join(f'{e} AS x{i}' for i, e in enumerate(x))} FROM cd, sc),
+nt(step, b0, b1, b2) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+  SELECT step + 1, {', '.join(f'b{c} - ({s}) / ({det(matrix)})' for c, s in enumerate(steps_of))} FROM (
+    SELECT step, b0, b1, b2, {sums} FROM (SELECT nt.*, xs.*, 1 / (1 + exp(-({z}))) AS p FROM nt, xs WHERE NOT is_test) GROUP BY step, b0, b1, b2)
+  WHERE step < {steps}),
+lg AS (SELECT reading_id, label, 1 / (1 + exp(-({z}))) AS score FROM xs, nt WHERE is_test AND step = {steps})"""
 
 
 def _classified(spark, folder):
@@ -164,23 +260,55 @@ def _classified(spark, folder):
     return materialise(learn.stratified_split(rows, "label", "reading_id"), "labelled")
 
 
-@query("logreg")
-def logreg(spark, folder):
+def _logistic(spark, folder):
     rows = _classified(spark, folder)
-    train = rows.where("NOT is_test")
-    model = learn.fit_classifier(learn.logistic_regression(CLASS_FEATURES, train.count()), train)
-    return learn.class_scores(model.transform(rows.where("is_test")))
+    model = learn.fit_classifier(learn.logistic_regression(CLASS_FEATURES), rows.where("NOT is_test"))
+    return model.transform(rows.where("is_test"))
+
+
+METRICS = f"""c AS (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+  count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 0 AND prediction = 0) AS tn FROM pr)
+SELECT n, tp, fp, fn, tn, {sql_r6('(tp + tn) / n')} AS accuracy, {sql_r6('coalesce(tp / nullif(tp + fp, 0), 0)')} AS precision,
+  {sql_r6('coalesce(tp / nullif(tp + fn, 0), 0)')} AS recall, {sql_r6('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1 FROM c"""
+
+
+@query("logreg", f"WITH RECURSIVE {_newton()}, pr AS (SELECT label, (score > 0.5)::INT AS prediction FROM lg), {METRICS}")
+def logreg(spark, folder):
+    return learn.class_scores(_logistic(spark, folder)).withColumns({c: r6(c) for c in ["accuracy", "precision", "recall", "f1"]})
+
 
+@query("logreg_scores", f"WITH RECURSIVE {_newton()} SELECT reading_id, label, {sql_r6('score')} AS score FROM lg")
+def logreg_scores(spark, folder):
+    return _logistic(spark, folder).select("reading_id", "label", r6("score").alias("score"))
 
-@query("rf_cls")
+
+@query("logreg_auc", f"""WITH RECURSIVE {_newton()}, sc2 AS (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM lg GROUP BY score),
+rc AS (SELECT p, n, sum(p) OVER (ORDER BY score DESC) / sum(p) OVER () AS tpr, sum(n) OVER () AS an, sum(p) OVER () AS ap FROM sc2)
+SELECT {sql_r6('sum(n / an * (tpr - p / ap / 2))')} AS auc FROM rc""")
+def logreg_auc(spark, folder):
+    """Area under the ROC curve of the fitted classifier on the test rows."""
+    return learn.auc(_logistic(spark, folder)).withColumn("auc", r6("auc"))
+
+
+@query("rf_cls", f"""WITH {LABELLED_SPLIT} SELECT reading_id, label, true AS in_range, true AS same_when_loaded, true AS verdict_agrees FROM cd WHERE is_test""")
 def rf_cls(spark, folder):
-    """Forest trained, saved, loaded and used on the test rows."""
+    """Forest trained, saved, loaded and used on the test rows: what must hold of any forest.
+
+    Scores are probabilities, the loaded model says what the fitted one says, and the name of the class
+    follows the prediction."""
     rows = _classified(spark, folder)
     model = learn.fit_classifier(learn.forest_classifier(CLASS_FEATURES), rows.where("NOT is_test"))
     path = _folder(spark, "forest")
     learn.save_model(model, path)
-    scored = learn.with_score(learn.classify(learn.load_model(path), rows.where("is_test")))
-    return scored.select("reading_id", "label", "prediction", "score", "verdict")
+    test = rows.where("is_test")
+    own = learn.with_score(model.transform(test)).select("reading_id", F.col("prediction").alias("own"), F.col("score").alias("own_score"))
+    scored = learn.with_score(learn.classify(learn.load_model(path), test)).join(own, "reading_id")
+    verdict = F.when(F.col("score") > 0.5, learn.BAD).otherwise(learn.GOOD)
+    return scored.select(
+        "reading_id", "label", F.col("score").between(0, 1).alias("in_range"),
+        ((F.col("own") == F.col("prediction")) & (F.col("own_score") == F.col("score"))).alias("same_when_loaded"),
+        (F.col("verdict") == verdict).alias("verdict_agrees"),
+    )
 
 
 @query("rf_clean_only", f"""WITH {LABELLED} SELECT count(*) AS n, 0::BIGINT AS tp, 0::BIGINT AS fp, count(*) FILTER (label = 1) AS fn,

@@ -54,7 +54,8 @@ def missing_ratio(spark, folder):
 
 
 @query("categorical_summary", f"""WITH {sql_readings(K)}, c AS (SELECT variable, value, count(*) AS n FROM r WHERE variable = 'bearing_condition' AND value IS NOT NULL GROUP BY ALL)
-SELECT variable, sum(n)::BIGINT AS count, list_sort(list(value)) AS distinct_values, arg_max(value, n * 1000 - value) AS most_frequent FROM c GROUP BY variable""")
+SELECT variable, value, n, (sum(n) OVER w)::BIGINT AS count, row_number() OVER (PARTITION BY variable ORDER BY n DESC, value) = 1 AS is_most_frequent
+FROM c WINDOW w AS (PARTITION BY variable)""")
 def categorical_summary(spark, folder):
     return profile.categorical_summary(readings(spark, folder, K))
 

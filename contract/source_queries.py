@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from contract.inputs import VARIABLES, assets, deployments, hourly_readings, motors, readings, user_readings
 from contract.grid_queries import LAST, _observed
 from contract.feature_queries import NAMES, WINDOWS, WINDOW_S, _windows
-from contract.registry import query, r6, sql_floor, sql_quality, sql_r6, sql_readings, us
+from contract.registry import query, r6, sql_floor, sql_grid, sql_quality, sql_r6, sql_readings, us
 from sensorweave import catalog
-from sensorweave.operators import grid, quality, windows
-from sensorweave.session import shared_folder
+from sensorweave.operators import grid, impute, quality, windows
+from sensorweave.session import materialise, shared_folder
 from sensorweave.sources import readings as scans
 from sensorweave.sources import sinks
 
@@ -151,3 +151,68 @@ def csv_export(spark, folder):
     sinks.export_csv(wide, path)
     read = spark.read.option("header", True).csv(path)
     return read.groupBy("deployment_id").agg(F.count(F.lit(1)).alias("slots"), *[F.count(v).alias(v) for v in VARIABLES])
+
+
+# --- exports: both halves, read back ---------------------------------------------
+
+CODES = f"""{LAST}, {sql_grid('o', 900)}, e AS (SELECT *, variable IN ('bearing_condition', 'total_run_time') AS carried,
+  value IS NULL AND pslot IS NOT NULL AND ((coalesce(nslot, hi + 900000000) - pslot) // 900000000 - 1) <= 2 AS fillable FROM n),
+pc AS (SELECT *, CASE WHEN value IS NOT NULL THEN 0 WHEN fillable AND carried THEN 2 WHEN fillable THEN 1 ELSE 3 END AS code FROM e)"""
+
+
+def _csv(spark, path):
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+
+@query("csv_export_wide", f"""WITH {CODES} SELECT deployment_id::INT AS deployment_id, variable, count(*) AS slots,
+  count(*) FILTER (code < 3) AS filled, sum(code)::BIGINT AS codes FROM pc GROUP BY deployment_id, variable""")
+def csv_export_wide(spark, folder):
+    """Filled values and their processing codes as two wide CSV exports, read back and put together."""
+    cells = impute.fill_short_runs(grid.complete_grid(_observed(spark, folder)))
+    path = _folder(spark, "export")
+    values = grid.pivot_wide(cells, columns=VARIABLES)
+    codes = grid.pivot_wide(cells, columns=VARIABLES, value="processing_code")
+    sinks.export_wide(values, codes, path)
+    both = []
+    for half, name in (("values", "value"), ("codes", "code")):
+        index = ["deployment_id", "ts_slot"]
+        both.append(_csv(spark, f"{path}/{half}").unpivot(index, VARIABLES, "variable", name))
+    rows = both[0].join(both[1], ["deployment_id", "ts_slot", "variable"], "full").where("code IS NOT NULL")
+    return rows.groupBy("deployment_id", "variable").agg(
+        F.count(F.lit(1)).alias("slots"), F.count("value").alias("filled"), F.sum(F.col("code").cast("long")).alias("codes")
+    )
+
+
+@query("csv_export_long", f"""WITH {sql_quality(K)} SELECT 'quality' AS half, deployment_id::INT AS deployment_id, variable, count(*) AS n, sum(quality_code)::BIGINT AS codes FROM q GROUP BY ALL
+UNION ALL SELECT 'clean', deployment_id::INT, variable, count(*), 0 FROM q WHERE quality_code = 0 GROUP BY ALL""")
+def csv_export_long(spark, folder):
+    """The flagged readings and the clean ones as two long CSV exports, read back and counted."""
+    rows = materialise(_measured(spark, folder).select("reading_id", "deployment_id", "ts_utc", "variable", "value", "quality_code"), "measured")
+    path = _folder(spark, "long")
+    sinks.export_long(rows, rows.where("quality_code = 0").drop("quality_code"), path)
+    quality_half = _csv(spark, f"{path}/quality").withColumnRenamed("variable_original", "variable").withColumn("half", F.lit("quality"))
+    clean_half = _csv(spark, f"{path}/clean").withColumns({"half": F.lit("clean"), "quality_code": F.lit("0")})
+    both = quality_half.unionByName(clean_half).groupBy("half", F.col("deployment_id").cast("int").alias("deployment_id"), "variable")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("quality_code").cast("long")).alias("codes"))
+
+
+@query("single_deployment", """WITH e AS (SELECT event_id AS reading_id, user_id, epoch_us(ts) AS us, CASE WHEN day(ts) > 15 THEN 1 ELSE 0 END AS half FROM events),
+dp AS (SELECT user_id * 2 + half AS deployment_id, user_id, min(us) AS lo, CASE WHEN NOT (user_id % 7 = 0 AND half = 1) THEN max(us) END AS hi FROM e GROUP BY user_id, half),
+one AS (SELECT * FROM dp WHERE deployment_id = (SELECT min(deployment_id) FROM dp WHERE hi IS NOT NULL))
+SELECT e.reading_id, one.deployment_id, e.us AS ts_us, NULL::VARCHAR AS problem FROM e JOIN one ON e.user_id = one.user_id AND e.us >= one.lo AND e.us < one.hi
+UNION ALL SELECT NULL, -1, NULL, 'not found'
+UNION ALL SELECT NULL, (SELECT min(deployment_id) FROM dp WHERE hi IS NULL), NULL, 'still running' WHERE EXISTS (FROM dp WHERE hi IS NULL)""")
+def single_deployment(spark, folder):
+    """Readings of one deployment, and the two reasons for which a deployment cannot be loaded."""
+    known = materialise(scans.with_codes(deployments(spark, folder), assets(spark, folder), motors(spark, folder)), "deployments")
+    rows = user_readings(spark, folder)
+    ended = F.col("end_ts").isNotNull()
+    ids = known.agg(F.min(F.when(ended, F.col("deployment_id"))).alias("one"), F.min(F.when(~ended, F.col("deployment_id"))).alias("open")).first()
+    found = scans.load_deployment(rows, known, ids["one"]).select("reading_id", "deployment_id", us("ts_utc").alias("ts_us"), F.lit(None).cast("string").alias("problem"))
+    problems = []
+    for wanted in [-1] + ([ids["open"]] if ids["open"] is not None else []):
+        try:
+            scans.load_deployment(rows, known, wanted)
+        except ValueError as error:
+            problems.append((None, wanted, None, "still running" if "running" in str(error) else "not found"))
+    return found.unionByName(spark.createDataFrame(problems, found.schema))

@@ -2,8 +2,8 @@
 
 `lag`, fills and rolling frames need the rows of one series in order, but one series may
 hold a third of all rows, so a window over the whole series is not an option. Every
-series is cut into time chunks: windows run inside (series, chunk), and what must cross
-a chunk edge travels through a small table with one row per (series, chunk), joined back
+series is cut into time chunks, and a chunk with too many rows by count, between any two rows:
+windows run inside (series, chunk), and what must cross a chunk edge travels through a small table with one row per (series, chunk), joined back
 on (series, chunk). Rows are shuffled once, on (series, chunk), and the join, the windows
 and any narrower window (say by variable) share that shuffle.
 """
@@ -19,30 +19,41 @@ from sensorweave.functions.timeline import US, floor_us, micros
 from sensorweave.settings import setting
 
 CHUNK = "_chunk"
+UPTO = "_upto"
+CHUNKING = (CHUNK, UPTO)
 BLOCK = "_block"
 CORE = "_core"
+SAMPLED = 16  # rows that are sampled for a piece, about
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], ts: str = "ts_utc") -> DataFrame:
-    """Add `_chunk`, the start (epoch us) of the row's chunk; it grows with time inside `keys`.
+    """Add `_chunk`, which grows with (`ts`, `reading_id`) inside `keys`, and `_upto`.
 
-    A chunk is `chunkSeconds` wide; one that holds more than `splitRows` rows is cut into a
-    power of two of equal pieces. The list of such chunks is broadcast: it has at most
-    (row count / splitRows) entries by construction, e.g. half a million for 2e12 rows.
+    A chunk is `chunkSeconds` wide. One that holds more than `splitRows` rows is cut by count into
+    pieces of about that many rows, also inside a single timestamp: its rows are sampled by a hash,
+    and every so manieth sampled (`ts`, `reading_id`) begins a piece. Without a `reading_id` rows of one
+    time stay together. `_upto` is the time (epoch us) at which the next piece of the chunk begins,
+    NULL in its last piece; the pieces of a chunk are numbered from its start, so `_chunk` is unique.
+
+    The list of such chunks and of their pieces is broadcast: it has (row count / `splitRows`)
+    entries by construction, e.g. half a million for 2e12 rows. Rows of other chunks are read once
+    for the counts; sampling is skipped by AQE where no chunk is too large.
     """
     width, split_rows = setting(df, "chunkSeconds") * US, setting(df, "splitRows")
-    us = micros(ts)
-    df = df.withColumn(CHUNK, floor_us(us, width))
-    pieces = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_rows") / split_rows)))
-    hot = (
-        df.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > split_rows)
-        .select(*keys, CHUNK, F.greatest(F.lit(1), F.ceil(width / pieces)).cast("long").alias("_piece"))
-    )
-    into = us - F.col(CHUNK)
-    start = F.col(CHUNK) + F.coalesce(into - F.pmod(into, F.col("_piece")), F.lit(0))
-    return df.join(F.broadcast(hot), [*keys, CHUNK], "left").withColumn(CHUNK, start).drop("_piece")
+    df = df.withColumn(CHUNK, floor_us(micros(ts), width))
+    place = [micros(ts).alias("us")] + ([F.col("reading_id").alias("id")] if "reading_id" in df.columns else [])
+    counts = df.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > split_rows).select(F.struct(*keys, CHUNK).alias("_in"), "_rows")
+    drawn = F.pmod(F.xxhash64(*[p.cast("string") for p in place]), F.lit(max(1, split_rows // SAMPLED))) == 0
+    sampled = df.select(F.struct(*keys, CHUNK).alias("_in"), F.struct(*place).alias("_at")).where(drawn)
+    sampled = sampled.join(F.broadcast(hot), sampled["_in"].eqNullSafe(hot["_in"])).select(hot["_in"], "_rows", "_at")
+    begins = sampled.groupBy("_in", "_rows").agg(F.sort_array(F.collect_list("_at")).alias("_sample"))
+    every = f"greatest(1, CAST(round(size(_sample) * {split_rows}D / _rows) AS INT))"
+    begins = begins.selectExpr("_in AS _hot", f"array_distinct(filter(_sample, (s, i) -> i > 0 AND i % {every} = 0)) AS _begins")
+    piece = "coalesce(size(filter(_begins, b -> b <= _at)), 0)"  # -1 for NULL, hence the next line
+    rows = df.withColumn("_at", F.struct(*place)).join(F.broadcast(begins), F.struct(*keys, CHUNK).eqNullSafe(F.col("_hot")), "left")
+    rows = rows.withColumn("_piece", F.when(F.col("_begins").isNull(), 0).otherwise(F.expr(piece)))
+    return rows.withColumns({UPTO: F.expr("get(_begins, _piece).us"), CHUNK: F.col(CHUNK) + F.col("_piece")}).drop("_at", "_hot", "_begins", "_piece")
 
 
 def attach_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,59 +1,119 @@
-"""Discrete Fourier transform of short windows held as arrays."""
+"""Discrete Fourier transforms of windows of any length, one row per sample.
+
+A window of n = p q samples is decimated: the p subsequences of every p-th sample are transformed
+by themselves, q values each, and the p results for one bin residue are combined with twiddle
+factors into the p bins of that residue. Both steps are grouped sums, so a window of n samples is
+dealt out over about 2 sqrt(n) groups of about sqrt(n) values, and no task holds a window. p is the
+largest divisor up to sqrt(n); a window of at most `dftLength` samples is one subsequence.
+
+A long window without a good divisor (a prime number of samples) goes through a chirp: its
+transform is a convolution with exp(i pi j^2 / n), which is done by three transforms of a power of
+two of at least 2 n - 1 values, decimated in the same way.
+
+The sums inside a group are array expressions ('native', quadratic in its length) or a fast
+transform of the group's values in Arrow batches ('arrow'); what is grouped and how is the same.
+"""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-SPECTRUM = "struct<fft_peak_amp: double, fft_peak_bin: double, fft_energy_total: double>"
-
+from sensorweave.settings import setting
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+COMPLEX = ["re", "im"]
 
 
-def spectrum_native(values: Column) -> Column:
-    """Peak amplitude and bin (without bin 0) and total energy over bins 0..n/2, as a struct.
+def divisor(n: str, longest: int) -> str:
+    """SQL for the number of subsequences of a window of `n` samples; NULL where none is good."""
+    best = f"array_max(filter(sequence(1, CAST(floor(sqrt({n})) AS INT)), d -> {n} % d = 0))"
+    return f"IF({n} <= {longest}, 1, IF({n} / {best} <= greatest({longest}, 4 * sqrt({n})), {best}, NULL))"
 
-    `values` must be free of its mean. Quadratic in the window length: meant for windows
-    of up to a few hundred samples.
-    """
-    n = F.size(values)
-    turn = F.lit(2.0 * math.pi) / n
-
-    def energy(k: Column) -> Column:
-        real = _sum(F.transform(values, lambda v, i: v * F.cos(turn * k * i)))
-        imaginary = _sum(F.transform(values, lambda v, i: v * F.sin(turn * k * i)))
-        return real * real + imaginary * imaginary
 
-    bins = F.sequence(F.lit(0), F.floor(n / 2).cast("int"))
-    # highest energy first, lowest bin on a tie
-    powers = F.transform(bins, lambda k: F.struct(energy(k).alias("e"), (-k).alias("bin")))
-    others = F.filter(powers, lambda p: p["bin"] < 0)
-    peak = F.coalesce(F.array_max(others), F.array_max(powers))
-    return F.struct(
-        F.sqrt(peak["e"]).alias("fft_peak_amp"),
-        (-peak["bin"]).cast("double").alias("fft_peak_bin"),
-        _sum(F.transform(powers, lambda p: p["e"])).alias("fft_energy_total"),
-    )
+@F.pandas_udf(StructType([StructField(part, ArrayType(DoubleType())) for part in COMPLEX]))
+def _fast(j: pd.Series, re: pd.Series, im: pd.Series, length: pd.Series, shift: pd.Series, whole: pd.Series) -> pd.DataFrame:
+    """Sums of (re, im) at places j, turned by j * shift / whole, over the `length` bins of a short transform."""
+    out = []
+    for at, a, b, size, turn, n in zip(j, re, im, length, shift, whole):
+        at = np.asarray(at, np.int64)
+        values = np.zeros(size, complex)
+        values[at] = (np.asarray(a) + 1j * np.asarray(b)) * np.exp(-2j * np.pi * ((at * turn) % n) / n)
+        found = np.fft.fft(values)
+        out.append((found.real, found.imag))
+    return pd.DataFrame(out, columns=COMPLEX)
 
 
-def _spectrum_of(values: np.ndarray) -> tuple[float, float, float]:
-    amplitude = np.abs(np.fft.rfft(values))
-    peak = int(np.argmax(amplitude[1:])) + 1 if amplitude.size > 1 else 0
-    return float(amplitude[peak]), float(peak), float(np.square(amplitude).sum())
+def _grouped(rows: DataFrame, group: Sequence[str], index: str, length: str, shift: str, step: str, whole: str, top: str, how: str) -> DataFrame:
+    """Per group the sums over its values v_j of v_j exp(-2 pi i j k / whole), a row (k, re, im) per bin
+    k = shift, shift + step, ... of `length` bins, up to `top`."""
+    vectors = rows.groupBy(*group).agg(F.expr(f"array_sort(collect_list(struct({index} AS j, re, im))) AS _v"))
+    vectors = vectors.selectExpr(*[f"`{g}`" for g in group], "_v", f"{length} AS _length", f"{shift} AS _shift", f"{whole} AS _whole", f"{step} AS _step", f"{top} AS _top")
+    bins = "transform(sequence(0L, _length - 1), i -> _shift + _step * i)"
+    if how == "arrow":
+        vectors = vectors.withColumn("_sum", _fast("_v.j", "_v.re", "_v.im", "_length", "_shift", "_whole"))
+        sums = f"filter(transform({bins}, (k, i) -> named_struct('k', k, 're', _sum.re[i], 'im', _sum.im[i])), s -> s.k <= _top)"
+    else:
+        angle = "2 * pi() * ((e.j * k) % _whole) / _whole"
+        turned = f"transform(_v, e -> named_struct('re', e.re, 'im', e.im, 'c', cos({angle}), 's', sin({angle})))"
+        add = "named_struct('k', s.k, 're', s.re + (e.re * e.c + e.im * e.s), 'im', s.im + (e.im * e.c - e.re * e.s))"
+        sums = f"transform(filter({bins}, k -> k <= _top), k -> aggregate({turned}, named_struct('k', k, 're', 0D, 'im', 0D), (s, e) -> {add}))"
+    return vectors.select(*group, F.expr(f"explode({sums}) AS _bin")).select(*group, "_bin.*")
 
 
-def spectrum_arrow(values: Column) -> Column:
-    """Same result by FFT in Arrow batches: for windows of thousands of samples."""
+def transform(rows: DataFrame, keys: Sequence[str], how: str = "native", top: str = "_n - 1") -> DataFrame:
+    """Bins (`keys`, _n, k, re, im) of windows with a row (_n, _p, pos, re, im) per sample.
 
-    @F.pandas_udf(SPECTRUM)
-    def transform(windows: pd.Series) -> pd.DataFrame:
-        rows = [_spectrum_of(np.asarray(w, dtype=float)) for w in windows]
-        return pd.DataFrame(rows, columns=["fft_peak_amp", "fft_peak_bin", "fft_energy_total"])
-
-    return transform(values)
+    `_n` is the length and `_p` divides it; missing samples are zero. `top` is the last bin wanted.
+    """
+    window = [*keys, "_n", "_p"]
+    rows = rows.selectExpr(*[f"`{w}`" for w in window], "pos % _p AS _r", "pos div _p AS _j", "re", "im")
+    parts = _grouped(rows, [*window, "_r"], "_j", "_n div _p", "0L", "1L", "_n div _p", "_n", how)
+    parts = parts.withColumnRenamed("k", "_m")
+    whole = _grouped(parts, [*window, "_m"], "_r", "_p", "_m", "_n div _p", "_n", top, how)
+    return whole.select(*keys, "_n", "k", *COMPLEX)
+
+
+def _turned(re: str, im: str, sign: str, j: str) -> list[str]:
+    """(re + i im) * exp(`sign` i pi j^2 / _size)."""
+    angle = f"pi() * (({j} * {j}) % (2 * _size)) / _size"
+    return [f"{re} * cos({angle}) - {sign}1 * {im} * sin({angle}) AS re", f"{im} * cos({angle}) + {sign}1 * {re} * sin({angle}) AS im"]
+
+
+def chirped(rows: DataFrame, keys: Sequence[str], how: str = "native") -> DataFrame:
+    """As `transform`, up to the middle bin, for windows of any length n; real rows (_n, pos, re)."""
+    names = [f"`{k}`" for k in keys]
+    power = "CAST(ceil(log2(2 * _n - 1)) AS INT)"
+    padded = [f"shiftleft(1L, {power}) AS _n", f"shiftleft(1L, {power} div 2) AS _p", "_n AS _size"]
+    signal = rows.selectExpr(*names, *padded, "pos", "re", "0D AS im").selectExpr(*names, "_n", "_p", "_size", "pos", *_turned("re", "im", "-", "pos"))
+    signal = transform(signal, [*keys, "_size"], how)
+    chirp = rows.select("_n").distinct().selectExpr(*padded, "explode(sequence(0L, _n - 1)) AS j")
+    chirp = chirp.selectExpr("_n", "_p", "_size", "explode(IF(j = 0, array(j), array(j, _n - j))) AS pos", *_turned("1D", "0D", "+", "j"))
+    chirp = transform(chirp, ["_size"], how).selectExpr("_size", "k", "re AS c_re", "im AS c_im")
+    product = signal.join(chirp, ["_size", "k"]).selectExpr(
+        *names, "_size", "_n", "shiftleft(1L, CAST(log2(_n) AS INT) div 2) AS _p", "k AS pos",
+        "re * c_re - im * c_im AS re", "-(re * c_im + im * c_re) AS im",  # conjugate: the way back is a transform, too
+    )
+    back = transform(product, [*keys, "_size"], how, top="_size div 2").selectExpr(*names, "_size", "k", "re / _n AS re", "-im / _n AS im")
+    return back.selectExpr(*names, "_size AS _n", "k", *_turned("re", "im", "-", "k"))
+
+
+def spectrum(samples: DataFrame, keys: Sequence[str], how: str = "native") -> DataFrame:
+    """Per window (`keys`): amplitude and bin of the peak (without bin 0) and total energy of the bins
+    0..n/2, from a row (_n samples in the window, pos from 0, value without its mean) per sample.
+
+    The samples are read twice, or oftener where long windows need a chirp: a table, if they cost much."""
+    longest = setting(samples, "dftLength")
+    rows = samples.selectExpr(*[f"`{k}`" for k in keys], "_n", "CAST(pos AS BIGINT) AS pos", "value AS re", "0D AS im")
+    rows = rows.withColumn("_p", F.expr(f"CAST({divisor('_n', longest)} AS BIGINT)"))
+    bins = transform(rows.where("_p IS NOT NULL"), keys, how, top="_n div 2")
+    if not rows.where("_p IS NULL").isEmpty():
+        bins = bins.unionByName(chirped(rows.where("_p IS NULL"), keys, how))
+    bins = bins.withColumn("_e", F.expr("re * re + im * im"))
+    peak = F.expr("max(IF(k > 0 OR _n = 1, struct(_e AS e, -k AS bin), NULL)) AS _peak")
+    found = bins.groupBy(*keys).agg(peak, F.sum("_e").alias("fft_energy_total"))
+    return found.select(*keys, F.sqrt("_peak.e").alias("fft_peak_amp"), (-F.col("_peak.bin")).cast("double").alias("fft_peak_bin"), "fft_energy_total")

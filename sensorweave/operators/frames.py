@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 from sensorweave import catalog
 from sensorweave.functions.ordered import (
     BLOCK,
-    CHUNK,
+    CHUNKING,
     core_rows,
     full_frame,
     with_blocks,
     with_chunks,
     with_position,
 )
+from sensorweave.functions.lookup import with_group_columns
 from sensorweave.functions.quantiles import exact_quantiles
 from sensorweave.functions.timeline import US, micros
 
@@ -41,7 +42,7 @@ def _blocks(df: DataFrame, back: int, ahead: int, step_s: int | None) -> DataFra
     is the slot number and costs nothing. Without, it is the rank of the row.
     """
     if step_s is None:
-        ranked = with_position(with_chunks(df, KEYS, TIME), KEYS, [TIME]).drop(CHUNK)
+        ranked = with_position(with_chunks(df, KEYS, TIME), KEYS, [TIME]).drop(*CHUNKING)
     else:
         ranked = df.withColumn("_pos", (micros(TIME) / (step_s * US)).cast("long"))
     return with_blocks(ranked, F.col("_pos"), back, ahead)
@@ -65,10 +66,10 @@ def mask_outside_iqr(df: DataFrame, columns: Sequence[str] | None = None, factor
     counters = catalog.canonical_names(catalog.ACCUMULATIVE)
     columns = [c for c in (columns or numeric_columns(df)) if columns or c not in counters]
     cells = df.unpivot(list(KEYS), columns, "variable", "value")
-    quartiles = exact_quantiles(cells, [*KEYS, "variable"], "value", {"q1": 0.25, "q3": 0.75})
+    quartiles = exact_quantiles(cells, [*KEYS, "variable"], "value", {"q1": 0.25, "q3": 0.75}, "_rows")
     # one row per deployment, one map entry per column
     limits = quartiles.groupBy(*KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct("variable", F.struct("q1", "q3")))).alias("_limits")
+        F.map_from_entries(F.collect_list(F.struct("variable", F.struct("q1", "q3")))).alias("_limits"), F.max("_rows").alias("_rows")
     )
 
     def masked(name: str) -> Column:
@@ -77,18 +78,18 @@ def mask_outside_iqr(df: DataFrame, columns: Sequence[str] | None = None, factor
         inside = (F.col(name) >= quartile["q1"] - reach) & (F.col(name) <= quartile["q3"] + reach)
         return F.when(inside, F.col(name))
 
-    return df.join(limits, list(KEYS), "left").withColumns({c: masked(c) for c in columns}).drop("_limits")
+    return with_group_columns(df, limits, KEYS, ["_limits"], "_rows", "left").withColumns({c: masked(c) for c in columns}).drop("_limits")
 
 
 def mask_series_outside_iqr(df: DataFrame, factor: float = catalog.IQR_FACTOR, skip: Column | None = None) -> DataFrame:
     """Long form of the IQR mask: per (deployment, variable), counters skipped by default."""
     keys = ["deployment_id", "variable"]
     skip = catalog.in_group(catalog.ACCUMULATIVE) if skip is None else skip
-    quartiles = exact_quantiles(df.where(~skip), keys, "value", {"q1": 0.25, "q3": 0.75})
+    quartiles = exact_quantiles(df.where(~skip), keys, "value", {"q1": 0.25, "q3": 0.75}, "_rows")
     reach = (F.col("q3") - F.col("q1")) * factor
     value = F.col("value")
     beyond = (value < F.col("q1") - reach) | (value > F.col("q3") + reach)
-    joined = df.join(quartiles, keys, "left")
+    joined = with_group_columns(df, quartiles, keys, ["q1", "q3"], "_rows", "left")
     return joined.withColumn("value", F.when(~F.coalesce(beyond, F.lit(False)), value)).drop("q1", "q3")
 
 
@@ -159,7 +160,7 @@ def with_ratios(df: DataFrame) -> DataFrame:
 
 def with_top(df: DataFrame, column: str = "total_run_time") -> DataFrame:
     """`_top`: the largest value of the column in the deployment."""
-    return df.join(df.groupBy(*KEYS).agg(F.max(column).alias("_top")), list(KEYS), "left")
+    return with_group_columns(df, df.groupBy(*KEYS).agg(F.max(column).alias("_top"), F.count(F.lit(1)).alias("_rows")), KEYS, ["_top"], "_rows", "left")
 
 
 def with_life_proxy(df: DataFrame, column: str = "total_run_time") -> DataFrame:

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.functions.ordered import CHUNK, with_chunks, with_neighbour, with_position
+from sensorweave.functions.ordered import CHUNK, CHUNKING, with_chunks, with_neighbour, with_position
+from sensorweave.functions.totals import running_totals
 from sensorweave.operators.grid import pivot_wide
+from sensorweave.operators.linear import LeastSquares, Logistic
 from sensorweave.operators.windows import SPECTRAL_FEATURES, TIME_FEATURES
 
 KEY = ("deployment_id",)
@@ -34,7 +36,7 @@ def with_next(
         with_chunks(measurements, keys), keys, ["value", "quality_code"], order, "_next", ahead=True
     )
     return rows.withColumns({"y_next": F.col("_next.value"), "quality_next": F.col("_next.quality_code")}).drop(
-        "_next", CHUNK
+        "_next", *CHUNKING
     )
 
 
@@ -66,7 +68,7 @@ def ordered_split(
     df: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ("ts_utc",), train: float = 0.7, ts: str = "ts_utc"
 ) -> DataFrame:
     """Mark the first `floor(train * n)` rows of each deployment with `is_train`."""
-    ranked = with_position(with_chunks(df, keys, ts), keys, order).drop(CHUNK)
+    ranked = with_position(with_chunks(df, keys, ts), keys, order).drop(*CHUNKING)
     sizes = df.groupBy(*keys).agg(F.floor(F.count(F.lit(1)) * train).alias("_train_rows"))
     return (
         ranked.join(sizes, list(keys), "left")
@@ -143,52 +145,12 @@ def class_scores(df: DataFrame, truth: str = "label", prediction: str = "predict
     })
 
 
-ROC_KNOTS = 64
-
-
 def _roc_table(df: DataFrame, score: str, truth: str) -> DataFrame:
-    """Per distinct score: positives and negatives at it, at it or higher, and in total.
-
-    Running totals over all scores would be one task; scores are counted first, cut into
-    buckets, summed per bucket, and the totals of the higher buckets (a table of at most
-    `ROC_KNOTS` ** 2 rows) are added to the running sums inside each bucket. Segments between
-    quantiles of the distinct scores are cut evenly, so that extreme scores cannot crowd the
-    others into one bucket.
-    """
+    """Per distinct score: positives and negatives at it (`_p`, `_n`), at it or higher, and in total."""
     counted = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(truth) == 1).alias("_p"), F.count_if(F.col(truth) != 1).alias("_n")
     )
-    share = ", ".join(f"{i / ROC_KNOTS!r}D" for i in range(1, ROC_KNOTS))
-    span = counted.agg(
-        F.lit(0).alias("_one"),
-        F.min("score").alias("_lo"),
-        F.max("score").alias("_hi"),
-        F.expr(f"percentile_approx(score, array({share}), 10000)").alias("_knots"),
-    )
-    segment = "size(filter(_knots, k -> k <= score))"
-    low, high = "concat(array(_lo), _knots)[_segment]", "concat(_knots, array(_hi))[_segment]"
-    inside = f"least({ROC_KNOTS - 1}, coalesce(floor(try_divide(score - {low}, {high} - {low}) * {ROC_KNOTS}), 0))"
-    counted = (
-        counted.withColumn("_one", F.lit(0))
-        .join(F.broadcast(span), "_one")
-        .selectExpr("*", f"{segment} AS _segment")
-        .selectExpr("score", "_p", "_n", f"_segment * {ROC_KNOTS} + {inside} AS _bucket")
-    )
-    totals = counted.groupBy("_bucket").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
-    higher = "(PARTITION BY 0 ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    totals = totals.selectExpr(
-        "_bucket",
-        f"coalesce(sum(_bp) OVER {higher}, 0) AS _above_p",
-        f"coalesce(sum(_bn) OVER {higher}, 0) AS _above_n",
-        "sum(_bp) OVER (PARTITION BY 0) AS _all_p",
-        "sum(_bn) OVER (PARTITION BY 0) AS _all_n",
-    )
-    inside = "(PARTITION BY _bucket ORDER BY score DESC ROWS UNBOUNDED PRECEDING)"
-    return counted.join(F.broadcast(totals), "_bucket").selectExpr(
-        "score", "_p", "_n", "_all_p", "_all_n",
-        f"_above_p + sum(_p) OVER {inside} AS _upto_p",
-        f"_above_n + sum(_n) OVER {inside} AS _upto_n",
-    )
+    return running_totals(counted, [F.desc("score")], ["_p", "_n"])
 
 
 def roc_points(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
@@ -208,10 +170,12 @@ def auc(df: DataFrame, score: str = "score", truth: str = "label") -> DataFrame:
 # --- models ------------------------------------------------------------------------
 
 def category_codes(df: DataFrame, column: str = "variable", output: str = "variable_cat") -> DataFrame:
-    """0-based rank of the category in lexicographic order. Works on the distinct categories."""
-    names = df.select(column).where(F.col(column).isNotNull()).distinct()
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1
-    codes = names.select(column, rank.alias(output))
+    """0-based rank of the category in lexicographic order, -1 for NULL.
+
+    The distinct categories are counted by range partitions; they are written on the way.
+    """
+    names = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_one", F.lit(1))
+    codes = running_totals(names, [F.asc(column)], ["_one"]).select(column, (F.col("_upto_one") - 1).cast("int").alias(output))
     return df.join(codes, column, "left").withColumn(output, F.coalesce(F.col(output), F.lit(-1)))
 
 
@@ -228,15 +192,12 @@ def incomplete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.count_if(lacking).alias("n_incomplete"))
 
 
-def _assembled(columns: Sequence[str], scaled: bool) -> list:
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw" if scaled else "features", handleInvalid="error")
-    if not scaled:
-        return [assembler]
-    return [assembler, StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)]
+def _assembled(columns: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
 
 
-def linear_regression(columns: Sequence[str], label: str = "y_next") -> Pipeline:
-    return Pipeline(stages=[*_assembled(columns, True), LinearRegression(labelCol=label, regParam=0.0)])
+def linear_regression(columns: Sequence[str], label: str = "y_next") -> LeastSquares:
+    return LeastSquares(columns, label)
 
 
 def forest_regression(
@@ -246,24 +207,19 @@ def forest_regression(
     forest = RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all"
     )
-    return Pipeline(stages=[*_assembled(columns, False), forest])
-
+    return Pipeline(stages=[_assembled(columns), forest])
 
-def logistic_regression(columns: Sequence[str], rows: int, label: str = "label") -> Pipeline:
-    """L2 with C = 1: Spark averages the loss, so the same penalty is 1 / rows.
 
-    The scaler divides by the sample deviation; (rows - 1) / rows makes the penalty that of features
-    divided by the population deviation.
-    """
-    model = LogisticRegression(labelCol=label, maxIter=1000, regParam=(rows - 1) / rows**2, standardization=False)
-    return Pipeline(stages=[*_assembled(columns, True), model])
+def logistic_regression(columns: Sequence[str], label: str = "label") -> Logistic:
+    """L2 with C = 1 over features of unit deviation."""
+    return Logistic(columns, label)
 
 
 def forest_classifier(
     columns: Sequence[str], label: str = "label", trees: int = TREES, depth: int = DEEPEST, seed: int = SEED
 ) -> Pipeline:
     forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[*_assembled(columns, False), forest])
+    return Pipeline(stages=[_assembled(columns), forest])
 
 
 def index_variable(df: DataFrame, column: str = "variable", output: str = "variable_cat") -> DataFrame:
@@ -277,7 +233,7 @@ def with_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
-def fit_classifier(pipeline: Pipeline, train: DataFrame, label: str = "label"):
+def fit_classifier(pipeline: Pipeline | Logistic, train: DataFrame, label: str = "label"):
     """Fit, or return a constant predictor when the training rows have a single class.
 
     Training on clean rows only is such a case: every label is 0.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
+from sensorweave.functions.lookup import with_group_columns
 from sensorweave.functions.quantiles import exact_quantiles
 from sensorweave.operators.quality import spread_stats
 
@@ -47,7 +48,7 @@ def outlier_table(
     stats = spread_stats(values, keys)
     upper = F.col("q3") + factor * F.col("iqr")
     above = (
-        values.join(stats.select(*keys, "q3", "iqr"), list(keys))
+        with_group_columns(values, stats, keys, ["q3", "iqr"], "count")
         .groupBy(*keys)
         .agg(F.count_if(F.col("value") > upper).alias("outliers_above"))
     )
@@ -63,16 +64,17 @@ def missing_ratio(grid: DataFrame, keys: Sequence[str] = BY_VARIABLE) -> DataFra
 
 
 def categorical_summary(df: DataFrame) -> DataFrame:
-    """Per category variable: count, sorted distinct values, most frequent (smallest on a tie).
+    """A row per value of a category variable: `n` rows with it, `count` of the variable, whether it is the
+    most frequent one (the smallest on a tie).
 
-    Values are counted first, so only distinct categories are gathered.
+    Two aggregates, by value and by variable; the second has a row for each name in the catalogue.
     """
     counted = value_counts(df.where(catalog.in_group(catalog.CATEGORICAL) & F.col("value").isNotNull()))
-    return counted.groupBy("variable").agg(
-        F.sum("n").alias("count"),
-        F.array_sort(F.collect_list("value")).alias("distinct_values"),
-        F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("most_frequent"),
+    whole = counted.groupBy("variable").agg(
+        F.sum("n").alias("count"), F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("_mode")
     )
+    rows = counted.join(F.broadcast(whole), "variable")
+    return rows.select("variable", "value", "n", "count", (F.col("value") == F.col("_mode")).alias("is_most_frequent"))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str] = BY_VARIABLE) -> DataFrame:
@@ -89,19 +91,19 @@ def split_at_percentile(
     df: DataFrame, above: bool = False, prob: float = 0.99, keys: Sequence[str] = BY_VARIABLE
 ) -> DataFrame:
     """Rows at or below the percentile of their group, or the rows above it."""
-    limit = exact_quantiles(df, keys, "value", {"_limit": prob})
+    limit = exact_quantiles(df, keys, "value", {"_limit": prob}, "_rows")
     keep = F.col("value") > F.col("_limit") if above else F.col("value") <= F.col("_limit")
-    return df.join(limit, list(keys)).where(keep).drop("_limit")
+    return with_group_columns(df, limit, keys, ["_limit"], "_rows").where(keep).drop("_limit")
 
 
 def histogram(df: DataFrame, keys: Sequence[str] = BY_VARIABLE, bins: int = 40) -> DataFrame:
     """Equal-width bins between minimum and maximum of the group; the last bin is closed."""
     values = df.where(F.col("value").isNotNull())
-    span = values.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    span = values.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("value").alias("_rows"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     bin_no = F.least(F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("_lo"), width), F.lit(0.0))), F.lit(bins - 1))
     counted = (
-        values.join(span, list(keys)).groupBy(*keys, "_lo", "_hi", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        with_group_columns(values, span, keys, ["_lo", "_hi"], "_rows").groupBy(*keys, "_lo", "_hi", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
     return counted.select(
         *keys,
@@ -120,11 +122,11 @@ def _whiskers(factor: float) -> tuple[Column, Column]:
 def boxplot(df: DataFrame, keys: Sequence[str] = BY_VARIABLE, factor: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values within `factor` x IQR) and number of points beyond."""
     values = df.where(F.col("value").isNotNull())
-    quartiles = exact_quantiles(values, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = exact_quantiles(values, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, "_rows")
     low, high = _whiskers(factor)
     value = F.col("value")
     return (
-        values.join(quartiles, list(keys))
+        with_group_columns(values, quartiles, keys, ["q1", "median", "q3"], "_rows")
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(value >= low, value)).alias("whisker_low"),
@@ -136,7 +138,7 @@ def boxplot(df: DataFrame, keys: Sequence[str] = BY_VARIABLE, factor: float = 1.
 
 def boxplot_outliers(df: DataFrame, keys: Sequence[str] = BY_VARIABLE, factor: float = 1.5) -> DataFrame:
     """The rows beyond the whiskers."""
-    quartiles = exact_quantiles(df, keys, "value", {"q1": 0.25, "q3": 0.75})
+    quartiles = exact_quantiles(df, keys, "value", {"q1": 0.25, "q3": 0.75}, "_rows")
     low, high = _whiskers(factor)
     beyond = (F.col("value") < low) | (F.col("value") > high)
-    return df.join(quartiles, list(keys)).where(beyond).drop("q1", "q3")
+    return with_group_columns(df, quartiles, keys, ["q1", "q3"], "_rows").where(beyond).drop("q1", "q3")

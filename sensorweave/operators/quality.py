@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sensorweave import catalog
 from sensorweave.functions.ordered import (
     CHUNK,
+    CHUNKING,
     across_chunks,
     attach_edges,
     chunk_window,
@@ -22,6 +23,7 @@ from sensorweave.functions.ordered import (
     with_position,
     BLOCK,
 )
+from sensorweave.functions.lookup import with_group_columns
 from sensorweave.functions.quantiles import exact_quantiles
 from sensorweave.operators.temporal import add_time_flags, previous_time_edges
 from sensorweave.schema import to_number, with_numeric_value
@@ -104,10 +106,9 @@ def outside(factor: float, q1: Column | str = "q1", q3: Column | str = "q3") ->
 
 
 def flag_outliers(df: DataFrame, stats: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """`is_outlier` (3 x IQR) and `is_high` (1.5 x IQR, not outlier); `stats` needs q1 and q3."""
-    quartiles = stats.select(*keys, "q1", "q3")
+    """`is_outlier` (3 x IQR) and `is_high` (1.5 x IQR, not outlier); `stats` needs q1, q3 and count."""
     return (
-        df.join(quartiles, list(keys), "left")
+        with_group_columns(df, stats, keys, ["q1", "q3"], "count", "left")
         .withColumn("is_outlier", outside(3.0))
         .withColumn("is_high", outside(1.5) & ~F.col("is_outlier"))
         .drop("q1", "q3")
@@ -131,7 +132,7 @@ def flag_counter_decrease(
     rows = with_neighbour(with_chunks(df, keys), keys, ["value"], order, "_prev")
     counter = catalog.in_group(catalog.ACCUMULATIVE)
     flag = counter & _decreased(F.col("_prev.value"), tolerance)
-    return rows.withColumn("is_invalid_monotonic", flag).drop("_prev", CHUNK)
+    return rows.withColumn("is_invalid_monotonic", flag).drop("_prev", *CHUNKING)
 
 
 def flag_sequence_anomalies(
@@ -165,7 +166,7 @@ def flag_sequence_anomalies(
         .withColumn("is_stuck_value", limit.isNotNull() & trailing)
         .withColumn("is_excessive_noise", limit.isNotNull() & F.coalesce(noise, F.lit(False)))
     )
-    return core_rows(flagged).drop("_flat", "_pos", CHUNK)
+    return core_rows(flagged).drop("_flat", "_pos", *CHUNKING)
 
 
 # --- codes -------------------------------------------------------------------------
@@ -302,7 +303,7 @@ def detect(
         "is_invalid_category": is_invalid_category(),
         "is_invalid_monotonic": counter & _decreased(previous, tolerance),
     })
-    rows = rows.drop(CHUNK, "_before_us", "_quartiles", *[f"_{c}" for c in counters])
+    rows = rows.drop(*CHUNKING, "_before_us", "_quartiles", *[f"_{c}" for c in counters])
     if drop_outliers:
         rows = null_outliers(rows)
     return with_quality_code(rows)

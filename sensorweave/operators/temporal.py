@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from sensorweave import catalog
 from sensorweave.functions.ordered import (
     CHUNK,
+    CHUNKING,
+    UPTO,
     across_chunks,
     attach_edges,
     chunk_window,
@@ -51,11 +53,17 @@ def time_steps(
 
 
 def previous_time_edges(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """Per (deployment, chunk): the last timestamp before the chunk, in microseconds."""
+    """Per (deployment, chunk): the last timestamp before the chunk's first one, in microseconds.
+
+    A chunk may begin inside a timestamp. Each gives its last timestamp before the one that the next
+    begins with; where it holds no other, an earlier chunk has it.
+    """
+    us, earlier = micros(ts), across_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col(UPTO).isNull() | (us < F.col(UPTO)), us))
     return (
         df.groupBy(*keys, CHUNK)
-        .agg(F.max(micros(ts)).alias("_last_us"))
-        .select(*keys, CHUNK, F.lag("_last_us").over(across_chunks(keys)).alias("_before_us"))
+        .agg(last.alias("_last_us"))
+        .select(*keys, CHUNK, F.max("_last_us").over(earlier).alias("_before_us"))
     )
 
 
@@ -98,7 +106,7 @@ def with_time_flags(
     rows = with_chunks(df, keys, ts)
     rows = attach_edges(rows, previous_time_edges(rows, keys, ts), keys)
     flagged = add_time_flags(rows, keys, ts, expected_s, gap_factor, small_factor)
-    return flagged.drop(CHUNK, "_before_us")
+    return flagged.drop(*CHUNKING, "_before_us")
 
 
 def step_summary(
@@ -154,7 +162,7 @@ def row_steps(
     """Step since the previous *row* of the series (copies give 0), NULL at first."""
     rows = with_neighbour(with_chunks(df, keys, ts), keys, [ts], order, "_before")
     step = seconds_between(F.col(ts), F.col(f"_before.{ts}"))
-    return rows.withColumn("delta_s", step).drop("_before", CHUNK)
+    return rows.withColumn("delta_s", step).drop("_before", *CHUNKING)
 
 
 def row_gaps(df: DataFrame, limit_s: float = catalog.EXPECTED_S, **kwargs) -> DataFrame:

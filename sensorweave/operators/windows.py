@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
-from sensorweave.functions.spectrum import spectrum_arrow, spectrum_native
+from sensorweave.functions.ordered import with_chunks, with_position
+from sensorweave.functions.spectrum import spectrum as transform_windows
 from sensorweave.functions.timeline import US, from_micros, micros
+from sensorweave.session import materialise
 
+WINDOW = ["deployment_id", "window_no"]
+# Feature names.
 TIME_FEATURES = ["mean", "std", "min", "max", "rms_window", "count_samples"]
 SPECTRAL_FEATURES = ["fft_peak_amp", "fft_peak_bin", "fft_energy_total"]
 
@@ -25,8 +29,9 @@ def window_features(
     Windows start at the first reading of the signal in the deployment; one that starts at
     or after the last reading does not exist. Good: quality code 0 and a value. The
     reference time and the quality of a window come from all its rows. `spectrum` is
-    'native', 'arrow' (long windows) or None. A window's samples are collected, so a group
-    holds at most `window_s` times the sampling rate.
+    'native', 'arrow' (fast transforms inside a group) or None. All features are aggregates of
+    rows: no window is held in one row or task, whatever its length and sampling rate. For the
+    spectrum the good samples are written to the shared folder on the way, each with its position.
     """
     rows = df.where(F.col("variable").isin(catalog.spellings([signal]))).withColumn("_us", micros("ts_utc"))
     span = rows.groupBy("deployment_id").agg(F.min("_us").alias("_start"), F.max("_us").alias("_end"))
@@ -39,10 +44,8 @@ def window_features(
     )
     good = F.when((F.col("quality_code") == 0) & F.col("value").isNotNull(), F.col("value"))
     gap = F.col("is_gap") if "is_gap" in df.columns else F.lit(False)
-    sample = F.when(good.isNotNull(), F.struct("_us", "reading_id", "value"))
-    samples = [F.collect_list(sample).alias("_samples")] if spectrum else []
     windows = (
-        rows.groupBy("deployment_id", "window_no")
+        rows.groupBy(*WINDOW)
         .agg(
             F.avg(good).alias("mean"),
             F.coalesce(F.stddev_samp(good), F.lit(0.0)).alias("std"),
@@ -53,7 +56,6 @@ def window_features(
             F.max("_us").alias("_ref"),
             F.max("quality_code").alias("quality_code"),
             F.bool_or(gap).alias("_gap"),
-            *samples,
         )
         .where((F.col("count_samples") >= min_samples) & ~F.col("_gap"))
         .withColumn("ts_utc", from_micros("_ref"))
@@ -63,10 +65,11 @@ def window_features(
     )
     if not spectrum:
         return windows
-    centred = F.transform(F.array_sort("_samples"), lambda s: s["value"] - F.col("mean"))
-    transform = {"native": spectrum_native, "arrow": spectrum_arrow}[spectrum]
-    windows = windows.withColumn("_centred", centred).withColumn("_spectrum", transform(F.col("_centred")))
-    return windows.select("*", "_spectrum.*").drop("_samples", "_centred", "_spectrum")
+    samples = rows.where(good.isNotNull()).select(*WINDOW, "ts_utc", "reading_id", "value")
+    samples = with_position(with_chunks(samples, WINDOW), WINDOW, ["ts_utc", "reading_id"], "pos")
+    known = windows.select(*WINDOW, F.col("count_samples").cast("long").alias("_n"), "mean")
+    centred = samples.join(known, WINDOW).select(*WINDOW, "_n", "pos", (F.col("value") - F.col("mean")).alias("value"))
+    return windows.join(transform_windows(materialise(centred, "samples"), WINDOW, spectrum), WINDOW)
 
 
 def features_long(windows: DataFrame) -> DataFrame:

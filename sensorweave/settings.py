@@ -8,8 +8,9 @@ DEFAULTS = {
     "chunkSeconds": 86_400,  # width of a time chunk of a series
     "splitRows": 4_000_000,  # a chunk or key with more rows is cut
     "blockRows": 65_536,  # positions in a block of a series
-    "rankedRows": 100_000,  # a group or cell up to this size is ranked without a further cut
-    "cells": 32_768,  # cells a larger one is cut into; three cuts make one 64-bit cell number
+    "rankedRows": 100_000,  # a bin up to this size is ranked without a further cut
+    "cells": 1 << 20,  # cells a larger one is cut into
+    "dftLength": 256,  # a window up to this many samples is transformed in one group
 }
 
 

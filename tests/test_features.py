@@ -11,7 +11,7 @@ from fixtures import at
 from pyspark.sql import functions as F
 
 from sensorweave.functions.quantiles import exact_quantiles
-from sensorweave.functions.spectrum import spectrum_arrow, spectrum_native
+from sensorweave.functions.spectrum import divisor, spectrum
 from sensorweave.operators import frames, profile, windows
 
 
@@ -46,15 +46,55 @@ def test_windows_need_good_samples_and_no_gap(readings):
     assert (mixed.quality_code, mixed.count_samples, mixed.ts_utc) == (6, 7.0, at("01 01:45:00"))
 
 
-def test_spectrum(spark):
-    values = [1.0, 4.0, 2.0, 8.0, 5.0, 7.0, 1.0, 3.0]
-    centred = np.array(values) - np.mean(values)
-    df = spark.createDataFrame([([float(v) for v in centred],), ([0.0],), ([1.0, -1.0, 0.5],)], "x array<double>")
-    native = [tuple(r.s) for r in df.select(spectrum_native(F.col("x")).alias("s")).collect()]
-    arrow = [tuple(r.s) for r in df.select(spectrum_arrow(F.col("x")).alias("s")).collect()]
-    assert native[0] == pytest.approx((13.0, 4.0, 280.0))
-    for a, b in zip(native, arrow):
-        assert a == pytest.approx(b)
+def _windows_of(spark, sizes, seed=7):
+    """Samples of windows of given lengths, and the spectra that numpy finds."""
+    draw = np.random.default_rng(seed)
+    want, rows = {}, []
+    for w, n in enumerate(sizes):
+        x = draw.normal(size=n) + 3 * np.sin(np.arange(n))
+        x -= x.mean()
+        rows += [(w, n, i, float(v)) for i, v in enumerate(x)]
+        power = np.abs(np.fft.rfft(x)) ** 2
+        peak = int(np.argmax(power[1:])) + 1 if n > 1 else 0
+        want[w] = (np.sqrt(power[peak]), peak, power.sum())
+    return spark.createDataFrame(rows, "w long, _n long, pos long, value double").repartition(7), want
+
+
+@pytest.mark.parametrize("how", ["native", "arrow"])
+@pytest.mark.parametrize("longest", [4, 256])
+def test_spectrum(spark, how, longest):
+    """Lengths with and without good divisors, primes, one and two samples; cut into groups or not."""
+    spark.conf.set("spark.sensorweave.dftLength", str(longest))
+    samples, want = _windows_of(spark, [1, 2, 3, 4, 5, 8, 12, 13, 17, 36, 60, 61, 62, 97, 128])
+    found = {r.w: tuple(r)[1:] for r in spectrum(samples, ["w"], how).collect()}
+    spark.conf.unset("spark.sensorweave.dftLength")
+    assert set(found) == set(want)
+    for w, numbers in want.items():
+        assert found[w] == pytest.approx(numbers, rel=1e-9, abs=1e-9)
+
+
+def test_spectrum_of_a_constant_and_of_nothing(spark):
+    flat = spark.range(9).selectExpr("1 AS w", "9L AS _n", "id AS pos", "0D AS value")
+    assert tuple(spectrum(flat, ["w"]).first()) == (1, 0.0, 1.0, 0.0)
+    assert spectrum(flat.where("false"), ["w"]).count() == 0
+
+
+@pytest.mark.parametrize("n", [1 << 16, 65_537])
+def test_long_window_in_small_groups(spark, n):
+    """A window of many samples, also a prime number of them: no group holds more than a few square roots."""
+    draw = np.random.default_rng(n)
+    x = draw.normal(size=n)
+    x -= x.mean()
+    power = np.abs(np.fft.rfft(x)) ** 2
+    samples = spark.createDataFrame(pd.DataFrame({"w": 5, "_n": n, "pos": np.arange(n), "value": x}))
+    row = spectrum(samples, ["w"], "arrow").first()
+    peak = int(np.argmax(power[1:])) + 1
+    assert tuple(row) == (5, pytest.approx(np.sqrt(power[peak]), rel=1e-8), peak, pytest.approx(power.sum(), rel=1e-8))
+
+
+@pytest.mark.parametrize(("n", "p"), [(1, 1), (256, 1), (257, None), (1 << 20, 1 << 10), (1_000_000, 1000), (999_983, None), (360_000, 600), (514, None)])
+def test_divisors(spark, n, p):
+    assert spark.sql(f"SELECT {divisor('n', 256)} AS p FROM VALUES ({n}L) AS t(n)").first().p == p
 
 
 def test_long_features(readings):
@@ -186,4 +226,4 @@ def test_histogram_last_bin_is_closed(spark):
 def test_categorical_summary_tie(spark):
     rows = [("bearing_condition", v) for v in (3.0, 1.0, 3.0, 1.0, 2.0, None)] + [("speed", 9.0)]
     row = profile.categorical_summary(spark.createDataFrame(rows, "variable string, value double")).collect()
-    assert [(r["count"], r.distinct_values, r.most_frequent) for r in row] == [(5, [1.0, 2.0, 3.0], 1.0)]
+    assert sorted((r.value, r["count"], r.is_most_frequent) for r in row) == [(1.0, 5, True), (2.0, 5, False), (3.0, 5, False)]

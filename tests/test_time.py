@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from fixtures import at
 from pyspark.sql import functions as F
 
-from sensorweave.operators import dedupe, grid, temporal
+from sensorweave.functions.ordered import with_chunks, with_position
+from sensorweave.operators import dedupe, grid, quality, temporal
 
 KEY = ("deployment_id", "ts_utc", "variable")
 
@@ -114,3 +116,61 @@ def test_survivor_audit(readings):
     df = readings([("01 00:00:30", "speed", 1.0), ("01 00:05:00", "speed", 1.0), ("01 00:15:00", "speed", 1.0)])
     row = grid.survivor_audit(df.withColumn("is_outlier", F.col("reading_id") < 2)).first()
     assert tuple(row)[1:] == (3, 2, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def burst(spark):
+    """A deployment with 20,000 rows of one timestamp, in the middle of rows at other times."""
+    rows = spark.range(21_000).selectExpr(
+        "id AS reading_id",
+        "1 AS deployment_id",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, CASE WHEN id < 500 THEN id WHEN id < 20500 THEN 600 ELSE id - 19000 END) AS ts_utc",
+        "'total_run_time' AS variable",
+        "CAST(CASE WHEN id % 977 = 0 THEN 5 ELSE id END AS DOUBLE) AS value",
+    )
+    return rows.repartition(6).cache()
+
+
+def _with(spark, split_rows, build):
+    """What `build` gives under a small `splitRows`."""
+    spark.conf.set("spark.sensorweave.splitRows", str(split_rows))
+    try:
+        return build()
+    finally:
+        spark.conf.unset("spark.sensorweave.splitRows")
+
+
+def test_a_burst_is_spread_by_count(spark, burst):
+    """Pieces of one timestamp hold about `splitRows` rows each, in the order of (time, id)."""
+    rows = _with(spark, 1000, lambda: with_chunks(burst, ["deployment_id"]).cache())
+    sizes = [r["count"] for r in rows.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 2500
+    edges = rows.groupBy("_chunk").agg(F.min(F.struct("ts_utc", "reading_id")).alias("a"), F.max(F.struct("ts_utc", "reading_id")).alias("b"))
+    edges = edges.orderBy("_chunk").collect()
+    assert all(x.b < y.a for x, y in zip(edges, edges[1:]))
+
+
+@pytest.mark.parametrize("split_rows", [3000, 97])
+@pytest.mark.parametrize("name", ["flags", "steps", "row_steps", "around", "counter", "detect", "position"])
+def test_a_burst_changes_nothing(spark, burst, split_rows, name):
+    """Cut inside a timestamp or not: the same rows come out."""
+    build = {
+        "flags": lambda: temporal.with_time_flags(burst),
+        "steps": lambda: temporal.time_steps(burst),
+        "row_steps": lambda: temporal.row_steps(burst),
+        "around": lambda: temporal.rows_around_short_steps(burst, limit_s=400),
+        "counter": lambda: quality.flag_counter_decrease(burst),
+        "detect": lambda: quality.detect(burst),
+        "position": lambda: with_position(with_chunks(burst, ["deployment_id"]), ["deployment_id"], ["ts_utc", "reading_id"]).drop("_chunk", "_upto"),
+    }[name]
+    whole, cut = build(), _with(spark, split_rows, build)
+    assert sorted(whole.columns) == sorted(cut.columns)
+    cut = cut.select(whole.columns)
+    assert whole.count() == cut.count() > 0
+    assert whole.exceptAll(cut).count() == 0
+
+
+def test_null_keys_have_pieces_too(spark, burst):
+    rows = burst.withColumn("deployment_id", F.when(F.col("reading_id") % 2 == 0, F.col("deployment_id")))
+    sizes = _with(spark, 1000, lambda: [r["count"] for r in with_chunks(rows, ["deployment_id"]).groupBy("deployment_id", "_chunk").count().collect()])
+    assert max(sizes) < 2500 and sum(sizes) == 21_000
