@@ -55,8 +55,9 @@ BREAK = b"."  # cannot be a word
 EXACT = "decimal(19,0)"
 
 RELATION = "chunk long, lang string, size long, names binary, relation binary"
-KEPT = pa.schema({"chunk": pa.int64(), "local": pa.int32(), "id": pa.int64(), "first": pa.bool_(), "lang": pa.string(), "word": pa.binary(), "left": pa.int64(), "right": pa.int64(), "a": pa.int64()})
-KEPT_DDL = "chunk long, local int, id long, first boolean, lang string, word binary, left long, right long, a long"
+# what a slice gives back: rows of chunks (places and ids of its frequent phrases) and rows of phrases
+KEPT = pa.schema({"chunk": pa.int64(), "entries": pa.binary(), "id": pa.int64(), "lang": pa.string(), "word": pa.binary(), "left": pa.int64(), "right": pa.int64(), "a": pa.int64()})
+KEPT_DDL = "chunk long, entries binary, id long, lang string, word binary, left long, right long, a long"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -160,27 +161,27 @@ ENTRIES = "slice long, chunk long, lang string, entries binary, words binary"
 _ENTRIES = (["slice", "chunk", "lang", "entries", "words"], [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()])
 
 
-def _kept(slice_: int, chunks: np.ndarray, locals_: np.ndarray, group: np.ndarray, n: np.ndarray, least: int, base: int, describe) -> pa.Table | None:
-    """Entries of the groups with a sum of at least `least`. Groups are named by slice and number."""
+def _kept(base: int, chunks: np.ndarray, locals_: np.ndarray, group: np.ndarray, n: np.ndarray, least: int, describe) -> list[pa.Table]:
+    """The groups with a sum of at least `least`, numbered from `base`: their entries by chunk, and themselves.
+
+    Entries come chunk by chunk; `describe` gives lang, word, left and right of entries."""
     total = np.zeros(int(group.max()) + 1, np.int64)
     np.add.at(total, group, n)
     often = total >= least
-    number = np.cumsum(often) - 1
     at = np.flatnonzero(often[group])
     if not len(at):
-        return None
-    ids = (slice_ << 32) + base + number[group[at]]
-    first = np.zeros(len(at), bool)
-    first[np.unique(ids, return_index=True)[1]] = True
-    lang, word, left, right = describe(at)
-    return pa.Table.from_arrays(
-        [pa.array(chunks[at]), pa.array(locals_[at].astype(np.int32)), pa.array(ids), pa.array(first), lang, word, left, right, pa.array(total[group[at]])], schema=KEPT
-    )
+        return []
+    ids = base + (np.cumsum(often) - 1)[group[at]]
+    start = np.flatnonzero(np.r_[True, np.diff(chunks[at]) != 0])
+    packed = [_packed(local, number) for local, number in zip(np.split(locals_[at], start[1:]), np.split(ids, start[1:]))]
+    named, one = np.unique(ids, return_index=True)
+    phrase = pa.Table.from_arrays([pa.nulls(len(named), pa.int64()), pa.nulls(len(named), pa.binary()), pa.array(named), *describe(at[one]), pa.array(total[group[at[one]]])], schema=KEPT)
+    blank = [pa.nulls(len(start), k) for k in KEPT.types[2:]]
+    return [pa.Table.from_arrays([pa.array(chunks[at][start]), pa.array(packed, pa.binary()), *blank], schema=KEPT), phrase]
 
 
 def frequent_words(relation: DataFrame, least: int) -> DataFrame:
-    """Group-count of the words of R_1: a row (chunk, local, id, first, lang, word, a) per frequent word
-    of a chunk; `first` marks one of the rows of a word."""
+    """Group-count of all words: `KEPT` rows of the frequent ones."""
     slices = _slices(relation)
 
     def deal(batches):
@@ -211,9 +212,8 @@ def frequent_words(relation: DataFrame, least: int) -> DataFrame:
                 return pa.array([lang] * len(at), pa.string()), pa.array([words[i] for i in at.tolist()], pa.binary()), none, none
 
             local, n = (np.concatenate(c) for c in zip(*entries))
-            done.append(_kept(table.column("slice")[0].as_py(), chunks, local, group, n, least, base, describe))
+            done += _kept((table.column("slice")[0].as_py() << 32) + base, chunks, local, group, n, least, describe)
             base += len(different)
-        done = [d for d in done if d is not None]
         return pa.concat_tables(done) if done else KEPT.empty_table()
 
     return cut(relation.mapInArrow(deal, ENTRIES).groupBy("slice").applyInArrow(count, KEPT_DDL), "frequent")
@@ -230,8 +230,7 @@ def _adjacent(names: bytes, stored: bytes) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def frequent_pairs(relation: DataFrame, least: int) -> DataFrame:
-    """Group-count of the adjacent pairs of R_k: a row (chunk, local, id, first, left, right, a) per
-    frequent pair of a chunk."""
+    """Group-count of the adjacent pairs of R_k: `KEPT` rows of the frequent ones."""
     slices = _slices(relation)
 
     def deal(batches):
@@ -259,8 +258,8 @@ def frequent_pairs(relation: DataFrame, least: int) -> DataFrame:
         def describe(at):
             return pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.binary()), pa.array(left[at]), pa.array(right[at])
 
-        done = _kept(table.column("slice")[0].as_py(), chunks, local, group, n, least, 0, describe)
-        return KEPT.empty_table() if done is None else done
+        done = _kept(table.column("slice")[0].as_py() << 32, chunks, local, group, n, least, describe)
+        return pa.concat_tables(done) if done else KEPT.empty_table()
 
     return cut(relation.mapInArrow(deal, ENTRIES).groupBy("slice").applyInArrow(count, KEPT_DDL), "frequent")
 
@@ -273,16 +272,17 @@ def semi_joined(relation: DataFrame, kept: DataFrame, words: bool) -> DataFrame:
             return STORED.empty_table()
         row = stored.to_pylist()[0]
         slots, items = _unpacked(row["relation"]) if words else _adjacent(row["names"], row["relation"])[3:5]
-        ids = known.column("id").to_numpy()
+        local, ids = (np.concatenate(c) for c in zip(*map(_unpacked, known.column("entries").to_pylist())))
         order = np.argsort(ids)
         place = np.full(int(items.max()) + 1, -1, np.int64)
-        place[known.column("local").to_numpy()[order]] = np.arange(len(ids))
+        place[local[order]] = np.arange(len(ids))
         items = place[items]
         slots, items = slots[items >= 0], items[items >= 0]
         columns = [[row["chunk"]], [row["lang"]], [len(slots)], [_packed(ids[order])], [_packed(slots, items)]]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, STORED.types)], schema=STORED)
 
-    sides = relation.groupBy("chunk").cogroup(kept.select("chunk", "local", "id").groupBy("chunk"))
+    known = kept.where("chunk IS NOT NULL").select("chunk", "entries")
+    sides = relation.groupBy("chunk").cogroup(known.groupBy("chunk"))
     return cut(sides.applyInArrow(keep, RELATION), "relation")
 
 
@@ -298,7 +298,7 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     kept = frequent_words(relation, least)
     relation = semi_joined(relation, kept, words=True)
     none = F.lit(None).cast("long")
-    own = kept.where("first").select("id", "lang", F.array(F.col("word").cast("string")).alias("words"), "a")
+    own = kept.where("chunk IS NULL").select("id", "lang", F.array(F.col("word").cast("string")).alias("words"), "a")
     found = [cut(own.withColumns({"heads": F.array("a"), "tails": F.array("a"), "left": none, "right": none}), "phrases")]
     for k in range(2, longest + 1):
         kept = frequent_pairs(relation, least)
@@ -306,7 +306,7 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
             relation = semi_joined(relation, kept, words=False)
         left = found[-1].select(F.col("id").alias("left"), "lang", "words", "heads")
         right = found[-1].select(F.col("id").alias("right"), F.element_at("words", -1).alias("last"), "tails")
-        new = kept.where("first").select("id", "left", "right", "a").join(left, "left").join(right, "right")
+        new = kept.where("chunk IS NULL").select("id", "left", "right", "a").join(left, "left").join(right, "right")
         grown = [F.concat(c, F.array(e)).alias(c) for c, e in (("words", "last"), ("heads", "a"), ("tails", "a"))]
         found.append(cut(new.select("id", "lang", grown[0], "a", *grown[1:], "left", "right"), "phrases"))
     return found, sizes
