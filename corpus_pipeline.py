@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave.llm import langid, linededup, neardup, packing, quality
-from sensorweave.llm.common import prepare, public_tokenizer
+from sensorweave.llm.common import cut, prepare, public_tokenizer
 from sensorweave.session import shared_folder
 
 MARGIN = 0.001  # a smaller lead of one language over the next is rejected
@@ -34,10 +34,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (five words, 0.8)."""
+    """One document of each group of near duplicates (five words, 0.8).
+
+    Rows are told apart by a number of their own, not by `doc_id`: of identical rows one stays, whatever
+    their ids, and a document that shares its id with a near duplicate is judged by its own text. The
+    row with the smallest `doc_id` of a group stays (NULL last). Documents without words stay.
+    """
     prepare(spark)
-    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = neardup.near_duplicates(rows, key="_row").select("_row", "component_id")
+    found = found.join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first")
+    stay = found.groupBy("component_id").agg(first).select(F.col("first._row").alias("_row"))
+    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
