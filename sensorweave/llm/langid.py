@@ -15,10 +15,9 @@ training text everything is `und`; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ SAMPLE_PER_LANGUAGE = 400  # documented bound: training texts of a language that
 DICTIONARY_BYTES = 64 << 10
 SHORT, PROBES, PROBE_BYTES = 256, 16, 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def has_letter(text: str | None) -> bool:

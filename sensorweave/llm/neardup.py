@@ -42,7 +42,7 @@ CHUNKS, WIDTH, SYMBOL_BITS = 16, 8, 16
 SYMBOLS = CHUNKS * WIDTH
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000  # what one block of a cluster holds about
 FAR = 54  # at similarity 0.8 a signature distance beyond this has a chance below 1e-8
-LOCAL_ROWS = 16384  # signatures whose keys are combined before the shuffle
+LOCAL_ROWS = 8192  # signatures whose keys are combined before the shuffle
 
 _draw = np.random.default_rng(20240229)
 _BYTES = _draw.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,16 +153,18 @@ def buckets(nodes: DataFrame, errors: int) -> DataFrame:
     """
 
     def combined(ids, parts, signs):
-        found = keys(np.frombuffer(b"".join(signs), np.uint16), errors)
-        n = found.shape[1]
-        key, part, ident = found.ravel(), np.repeat(np.asarray(parts, np.int64), n), np.repeat(np.asarray(ids, np.int64), n)
-        order = np.lexsort((ident, part, key))
-        new = _first(order, key, part)
-        start = np.flatnonzero(new)
-        more = np.diff(np.append(start, len(order))) > 1
-        pick = order[start]
+        ids, parts = np.asarray(ids, np.int64), np.asarray(parts, np.int64)
+        rows = np.lexsort((ids, parts))  # so that one stable sort by key leaves (part, id) in order
+        ids, parts = ids[rows], parts[rows]
+        found = keys(np.frombuffer(b"".join(signs), np.uint16).reshape(len(rows), -1)[rows].ravel(), errors)
+        n, key = found.shape[1], found.ravel()
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], (order // n).astype(np.int32)
+        part = parts[row]
+        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
+        more = np.diff(np.append(start, len(key))) > 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(key[pick]), pa.array(part[pick]), pa.array(ident[pick]), pa.array(more)], names=["key", "part", "id", "more"]
+            [pa.array(key[start]), pa.array(part[start]), pa.array(ids[row[start]]), pa.array(more)], names=["key", "part", "id", "more"]
         )
 
     def run(batches):

@@ -63,3 +63,8 @@ def test_single_language_and_bound(docs):
     assert set(content) == {"en"} and len(content["en"]) <= 3000
     row = langid.predict(docs([(1, "the")]), content).first()
     assert row.lang_pred == "en" and row.score == 1.0
+
+
+@pytest.mark.parametrize(("text", "letter"), [("½", False), ("² Ⅷ 12", False), ("☃", False), ("", False), (None, False), ("ª", True), ("日", True), ("1a", True)])
+def test_letters_are_those_of_unicode(text, letter):
+    assert langid.has_letter(text) == letter
