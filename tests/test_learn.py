@@ -104,3 +104,36 @@ def test_missing_features_are_not_dropped_silently(spark):
     with pytest.raises(Exception):  # noqa: B017
         learn.linear_regression(["x"]).fit(df)
     assert learn.linear_regression(["x"]).fit(learn.complete_rows(df, ["x"])).transform(df.limit(1)).count() == 1
+
+
+def test_dependent_features_and_constants(spark):
+    """A feature that others determine, and a constant, get the weight 0; the fit is that of least squares."""
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(300, 2)) * [1, 1e6] + [0, 1e7]
+    y = 3 * x[:, 0] - 2e-6 * x[:, 1] + draw.normal(size=300)
+    rows = [(float(a), float(b), float(2 * a - 1), 5.0, float(t)) for (a, b), t in zip(x, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y_next double")
+    model = learn.linear_regression(["a", "b", "c", "d"]).fit(df)
+    assert model.weights[2:] == [0.0, 0.0]
+    want = np.linalg.lstsq(np.column_stack([np.ones(300), x]), y, rcond=None)[0]
+    found = np.array([r.prediction for r in model.transform(df).collect()])
+    assert found == pytest.approx(want[0] + x @ want[1:], rel=1e-7, abs=1e-7)
+
+
+def test_logistic_gradient_vanishes(spark):
+    """At the solution the gradient of loss and penalty is 0, in SQL; separable labels do not diverge."""
+    draw = np.random.default_rng(5)
+    a, b = draw.normal(3, 2, 400), draw.normal(size=400)
+    for label in (draw.random(400) < 1 / (1 + np.exp(3 - a)), a > 3):
+        df = spark.createDataFrame([(float(u), float(v), int(t)) for u, v, t in zip(a, b, label)], "a double, b double, label int")
+        model = learn.logistic_regression(["a", "b"]).fit(df)
+        scored = model.transform(df).selectExpr("score - label AS off", f"(a - {model.means[0]}) / {model.deviations[0]} AS x1", f"(b - {model.means[1]}) / {model.deviations[1]} AS x2")
+        row = scored.selectExpr("sum(off) AS g0", f"sum(off * x1) + {model.weights[0]} AS g1", f"sum(off * x2) + {model.weights[1]} AS g2").first()
+        assert tuple(row) == pytest.approx((0, 0, 0), abs=1e-6)
+
+
+def test_missing_label_or_nothing_to_learn(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, 1.0)], "a double, y_next double")
+    for rows in (df, df.where("false")):
+        with pytest.raises(ValueError, match="training rows"):
+            learn.linear_regression(["a"]).fit(rows)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,8 @@ import __spark_entry__ as driver
 from contract import QUERIES, SQL
 from contract.compare import connect, difference
 from contract.inputs import readings as event_readings
-from sensorweave.operators import grid, impute, quality
+from sensorweave.functions.totals import running_totals
+from sensorweave.operators import grid, impute, profile, quality
 from sensorweave.plans import flows
 
 SMALL = "/root/testdata/sf0.001"
@@ -48,6 +50,55 @@ def test_no_python_and_no_single_task_over_rows(spark, name):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("name", ["outlier_table", "histogram", "boxplot", "boxplot_outliers", "split_at_percentile", "flag_outliers"])
+def test_rows_are_not_moved_by_variable(spark, name):
+    """Numbers of a variable reach the rows of catalogue names without a join; other names are salted."""
+    rows = event_readings(spark, SMALL, 4)
+    build = {
+        "flag_outliers": lambda: quality.flag_outliers(rows, quality.vibration_stats(rows, ("variable",)), ("variable",)),
+    }.get(name, lambda: getattr(profile, name)(rows))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(build())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [re.sub(r"^[\s:+*()\d-]*", "", line) for line in plan.splitlines()]
+    moved = [i for i, line in enumerate(lines) if re.match(r"Exchange hashpartitioning\(variable#\d+, \d+\)", line)]
+    assert moved  # of aggregates
+    for i in moved:
+        below = next(line for line in lines[i + 1 :] if not re.match("Project|Filter|Sort |Generate|ColumnarToRow", line))
+        assert "Scan" not in below, plan
+    assert "CartesianProduct" not in plan
+
+
+def test_unknown_names_get_their_numbers(spark):
+    """Names outside the catalogue and NULL take the side road, with and without a hot key."""
+    rows = [(i, name, float(i % 17)) for i in range(200) for name in ("speed", "acc_rms_radial", "own_name", None)]
+    df = spark.createDataFrame(rows, "reading_id long, variable string, value double")
+    for split in ("4000000", "7"):
+        spark.conf.set("spark.sensorweave.splitRows", split)
+        box = {r.variable: r for r in profile.boxplot(df).collect()}
+        beyond = profile.split_at_percentile(df, above=True, prob=0.5)
+        counts = {r.variable: r["count"] for r in beyond.groupBy("variable").count().collect()}
+        spark.conf.unset("spark.sensorweave.splitRows")
+        assert set(box) == {"speed", "acc_rms_radial", "own_name"}
+        assert len({(r.q1, r.median, r.q3) for r in box.values()}) == 1
+        assert counts == {name: sum(1 for i in range(200) if i % 17 > np.median([j % 17 for j in range(200)])) for name in box}
+
+
+def test_running_totals(spark):
+    """Sums over all rows before, with ties, over many partitions and on an empty table."""
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    df = spark.range(1000).selectExpr("id % 90 AS k", "id AS n")
+    rows = running_totals(df, [F.desc("k")], ["n"]).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {r._alln for r in rows} == {sum(range(1000))}
+    by = sorted(rows, key=lambda r: r._upton)
+    assert [r.k for r in by] == sorted((r.k for r in rows), reverse=True)
+    assert all(b._upton - a._upton == b.n for a, b in zip(by, by[1:])) and by[0]._upton == by[0].n
+    assert running_totals(df.where("false"), [F.asc("k")], ["n"]).count() == 0
+
+
 def test_flow_invariants(spark):
     done = flows.standard(event_readings(spark, MEDIUM, 2).limit(4000))
     cells = done.completed
