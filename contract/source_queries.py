@@ -95,6 +95,23 @@ def write_counts(spark, folder):
     )
 
 
+@query("write_after_failure", f"""WITH {sql_quality(K)}, t AS (SELECT DISTINCT deployment_id, {sql_floor('us', 3600)} AS us, variable FROM r)
+SELECT (SELECT count(*) FROM t) AS inserted, (SELECT count(*) FROM r) - (SELECT count(*) FROM t) AS skipped, 0::BIGINT AS failed, (SELECT count(*) FROM t) AS stored""")
+def write_after_failure(spark, folder):
+    """A write that dies half-way stores nothing; the same write again stores every row once."""
+    rows = hourly_readings(spark, folder, K).withColumn("quality_code", F.lit(0))
+    path = _folder(spark, "hourly")
+    dies = F.when(F.col("reading_id") % 997 == 5, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("value"))
+    try:
+        sinks.write_measurements(rows.withColumn("value", dies), path)
+    except Exception as error:  # the error that was put in, and no other
+        if "lost" not in str(error):
+            raise
+    done = sinks.write_measurements(rows, path)
+    stored = spark.read.parquet(path).count()
+    return spark.createDataFrame([(*done, stored)], "inserted long, skipped long, failed long, stored long")
+
+
 @query("load_measurements", f"""WITH {sql_quality(K)} SELECT deployment_id, us AS ts_us, {sql_r6('value')} AS value, quality_code FROM q
 WHERE variable = 'output_power' AND deployment_id IN (1, 3) AND {RANGE} ORDER BY deployment_id, us""")
 def load_measurements(spark, folder):

@@ -56,9 +56,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_written: dict[str, list[str]] = {}  # application -> folders of its cuts
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: a lineage cut that outlives executors."""
+    """Write `df` to the shared folder and read it back: a lineage cut that outlives executors.
+
+    The folder stays until `discard`, as results may be read from it at any time.
+    """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete the lineage cuts of this application, once its results are stored elsewhere. Their number."""
+    folders = _written.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

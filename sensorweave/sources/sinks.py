@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,31 @@ def _stored(spark: SparkSession, path: str, first, last, fields: Sequence[str])
     return stored.where(F.col(DAY).between(F.lit(first), F.lit(last)))
 
 
+@contextmanager
+def only_writer(spark: SparkSession, path: str):
+    """Hold the table's writer mark: a hidden file that the file system creates for one writer alone.
+
+    A second writer is refused, so that two cannot both miss a key in the stored rows and insert it. The
+    mark goes when the write ends, also by an error; one that a killed driver left is removed by hand.
+    """
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_writer")
+    system = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(mark.getParent())
+    if not system.createNewFile(mark):
+        raise RuntimeError(f"another writer holds {path}; if there is none, remove {path}/_writer")
+    try:
+        yield
+    finally:
+        system.delete(mark, False)
+
+
 def _append_new(df: DataFrame, path: str, keys: Sequence[str], table_schema) -> Written:
+    """`_append` as the only writer."""
+    with only_writer(df.sparkSession, path):
+        return _append(df, path, keys, table_schema)
+
+
+def _append(df: DataFrame, path: str, keys: Sequence[str], table_schema) -> Written:
     """Append the rows whose key the table does not hold yet.
 
     Rows without a time fail; of several rows with one key the smallest by content is kept.
@@ -55,7 +80,7 @@ def _append_new(df: DataFrame, path: str, keys: Sequence[str], table_schema) ->
     by deployment, so a deployment is found by row-group statistics however many there
     are; rows go to the writers by ranges of (day, deployment, time), so that the number of
     files is about that of partitions and days together. The counts come from the data (file footers for the table), not from accumulators,
-    and stay right when tasks are run again. One writer at a time. The batch is evaluated
+    and stay right when tasks are run again. The batch is evaluated
     twice; `session.materialise` an expensive one first.
     """
     spark = df.sparkSession

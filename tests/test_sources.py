@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 
 import pytest
 from fixtures import at
 from pyspark.sql import functions as F
 
-from sensorweave import schema
+from sensorweave import schema, session
 from sensorweave.sources import readings as scans
 from sensorweave.sources import sinks
 
@@ -142,3 +143,25 @@ def test_few_files_a_day(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     files = list((tmp_path / "t").glob("day=*/part-*.parquet"))
     assert len(files) <= len(list((tmp_path / "t").glob("day=*"))) + 8
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    """A second writer is refused; the mark goes with the write, also when it fails, and no reader sees it."""
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, at("01 00:00:00"), "speed", 1.0, 0)], "deployment_id long, ts_utc timestamp, variable string, value double, quality_code int")
+    with sinks.only_writer(spark, path), pytest.raises(RuntimeError, match="another writer"):
+        sinks.write_measurements(rows, path)
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_measurements(rows.withColumn("value", F.raise_error(F.lit("lost")).cast("double")), path)
+    assert sinks.write_measurements(rows, path) == (1, 0, 0)
+    assert sinks.write_measurements(rows, path) == (0, 1, 0)
+    assert spark.read.parquet(path).count() == 1 and not (tmp_path / "table" / "_writer").exists()
+
+
+def test_cuts_are_discarded(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", {})  # not those of other tests
+    first, second = (session.materialise(spark.range(3), "cut") for _ in range(2))
+    folders = [f.rsplit("/", 1)[0].removeprefix("file://") for f in (*first.inputFiles(), *second.inputFiles())]
+    assert all(pathlib.Path(f).exists() for f in folders)
+    assert session.discard(spark) == 2 and not any(pathlib.Path(f).exists() for f in folders)
+    assert session.discard(spark) == 0
