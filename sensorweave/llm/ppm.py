@@ -130,8 +130,26 @@ def _threshold(sizes: DataFrame, most: int) -> int:
     return int(fits.n.min()) if len(fits) else 1 << 62
 
 
+def _smallest(n: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the narrowest type that holds them."""
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
+
+
+def _find(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of `wanted` in the sorted `table` without repeats; -1 where it is not there."""
+    if not len(table):
+        return np.full(len(wanted), -1, np.int64)
+    place = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    place[table[place] != wanted] = -1
+    return place
+
+
 class Model:
-    """The bounded trie of one worker: per order, sorted codes and the numbers of each context."""
+    """The bounded trie of one worker: per order, sorted codes and the numbers of each context.
+
+    Sorted arrays are searched by halving, so that a worker holds nothing beside them: no hash table,
+    and each number in the narrowest type.
+    """
 
     def __init__(self, edges: list[tuple[np.ndarray, np.ndarray]], least: list[int]):
         """`edges[j]`: codes (context of j symbols, symbol) and counts of the contexts seen `least[j]` times."""
@@ -141,30 +159,24 @@ class Model:
         lower = None
         for j, (code, n) in enumerate(edges):
             rank = np.argsort(code)
-            code, n = code[rank], n[rank].astype(np.float64)
+            code, n = code[rank], _smallest(n[rank])
             context, start = np.unique(code // RADIX, return_index=True)
-            owner = np.repeat(np.arange(len(context)), np.diff(np.append(start, len(code))))
+            owner = _smallest(np.repeat(np.arange(len(context)), np.diff(np.append(start, len(code)))))
             total = np.bincount(owner, n, len(context))
-            distinct = np.bincount(owner, minlength=len(context)).astype(np.float64)
+            distinct = _smallest(np.bincount(owner, minlength=len(context)))
             excluded = np.zeros(len(context))
             if lower is not None and len(code):
                 place = np.searchsorted(lower[0], code % RADIX**j)  # the same symbol in the next shorter context
                 excluded = np.bincount(owner, lower[1][place], len(context))
             self.levels.append((code, n, owner, context, total, distinct, excluded))
             lower = (code, n)
-        self.index = None
-
-    def _tables(self):
-        if self.index is None:
-            self.index = [(pd.Index(level[0]), pd.Index(level[3])) for level in self.levels]
-        return self.index
 
     def held(self, code: np.ndarray) -> np.ndarray:
         """Where the longest context that was seen, and so the probability, is sure to be known here."""
         sure = np.ones(len(code), bool)
         open_ = np.arange(len(code))  # contexts of all orders so far not held
         for j in range(self.order, -1, -1):
-            met = self._tables()[j][1].get_indexer((code[open_] >> DIGIT) & ((1 << DIGIT * j) - 1)) >= 0
+            met = _find(self.levels[j][3], (code[open_] >> DIGIT) & ((1 << DIGIT * j) - 1)) >= 0
             if self.least[j] <= 1:  # held whole: a context not met here was never seen, nor were longer ones
                 sure[open_[~met]] = True
                 break
@@ -180,12 +192,11 @@ class Model:
         beyond = np.zeros(len(code))  # counts and number of the symbols excluded so far
         known = np.zeros(len(code))
         for j in range(self.order, -1, -1):
-            _, n, owner, _, total, distinct, excluded = self.levels[j]
-            edge_index, context_index = self._tables()[j]
+            edges, n, owner, contexts, total, distinct, excluded = self.levels[j]
             if not len(n):
                 continue
             here = code[open_] & ((1 << DIGIT * (j + 1)) - 1)
-            edge = edge_index.get_indexer(here)
+            edge = _find(edges, here)
             hit = edge >= 0
             if hit.any():
                 at, place = edge[hit], owner[edge[hit]]
@@ -195,7 +206,7 @@ class Model:
             open_, here, beyond, known = open_[miss], here[miss], beyond[miss], known[miss]
             if not len(open_):
                 return out
-            node = context_index.get_indexer(here >> DIGIT)
+            node = _find(contexts, here >> DIGIT)
             met = node >= 0
             place = node[met]
             fresh = distinct[place] - known[met]
@@ -215,7 +226,7 @@ class Model:
         """Sums by this trie alone; `only_held` leaves out the symbols that `missed` gives."""
         total = np.zeros(len(texts))
         for code, owner in grams(texts, self.order):
-            place, different = pd.factorize(code)  # each symbol in context is looked up once
+            place, different = pd.factorize(code, sort=True)  # each symbol in context is looked up once
             logs = self.logs(different)
             if only_held and self.least[-1] > 1:
                 logs[~self.held(different)] = 0.0
@@ -225,7 +236,7 @@ class Model:
     def missed(self, texts: list[str | None]):
         """(text, code, times) of what is not `held`, a window at a time."""
         for code, owner in grams(texts, self.order):
-            place, different = pd.factorize(code)
+            place, different = pd.factorize(code, sort=True)
             out = ~self.held(different)[place]
             pairs = pd.DataFrame({"owner": owner[out], "code": code[out]}).groupby(["owner", "code"], sort=False).size()
             yield pairs.index.get_level_values(0).to_numpy(), pairs.index.get_level_values(1).to_numpy(), pairs.to_numpy()
@@ -324,6 +335,8 @@ def score(
     counts = count(docs.where(train), text, order)
     levels = tables(counts, order)
     model = _frequent(levels, entries)
+    limited = model.least[-1] > 1
+    model = docs.sparkSession.sparkContext.broadcast(model)  # at most `entries` an order; sent once for both uses
 
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     sizes = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -361,12 +374,12 @@ def score(
 
     looked = rows.select("h1", "h2", "text").mapInArrow(rare, "h1 long, h2 int, word binary, tf long").join(vocabulary, "word", "left")
     looked = looked.withColumn("log", F.lit(0.0))
-    if model.least[-1] > 1:
+    if limited:
 
         def far(batches):
             for batch in batches:
                 h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for at, code, n in model.missed(batch.column(2).to_pylist()):
+                for at, code, n in model.value.missed(batch.column(2).to_pylist()):
                     yield pa.RecordBatch.from_arrays([pa.array(h1[at]), pa.array(h2[at]), pa.array(code), pa.array(n, pa.int64())], names=["h1", "h2", "code", "tf"])
 
         missed = cut(rows.select("h1", "h2", "text").mapInArrow(far, "h1 long, h2 int, code long, tf long"), "missed")
@@ -395,7 +408,7 @@ def score(
                 n.append(len(got) + 1)
                 seen.append(len(values) + has_end)
                 sums.append(sum(values) + ends)
-            scores = model.score(texts, only_held=True)
+            scores = model.value.score(texts, only_held=True)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)], names=schema.names
             )
