@@ -222,24 +222,31 @@ class Model:
         out[open_] -= np.log10(np.maximum(left, 1.0))
         return out
 
-    def score(self, texts: list[str | None], only_held: bool = False) -> np.ndarray:
-        """Sums by this trie alone; `only_held` leaves out the symbols that `missed` gives."""
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        """Sums by this trie alone."""
         total = np.zeros(len(texts))
         for code, owner in grams(texts, self.order):
-            place, different = pd.factorize(code, sort=True)  # each symbol in context is looked up once
-            logs = self.logs(different)
-            if only_held and self.least[-1] > 1:
-                logs[~self.held(different)] = 0.0
-            total += np.bincount(owner, logs[place], len(texts))
+            place, different = pd.factorize(code, sort=True)
+            total += np.bincount(owner, self.logs(different)[place], len(texts))
         return total
 
-    def missed(self, texts: list[str | None]):
-        """(text, code, times) of what is not `held`, a window at a time."""
+    def read(self, texts: list[str | None]):
+        """A window at a time: (texts, their sums over what is `held`), (texts, codes, times) of the rest."""
         for code, owner in grams(texts, self.order):
-            place, different = pd.factorize(code, sort=True)
-            out = ~self.held(different)[place]
-            pairs = pd.DataFrame({"owner": owner[out], "code": code[out]}).groupby(["owner", "code"], sort=False).size()
-            yield pairs.index.get_level_values(0).to_numpy(), pairs.index.get_level_values(1).to_numpy(), pairs.to_numpy()
+            if not len(code):  # a window of padding alone
+                continue
+            place, different = pd.factorize(code)  # each symbol in context is looked up once
+            rank = np.argsort(different)  # neighbours lie together in the tables
+            held = self.held(different[rank])
+            sure, logs = np.zeros(len(rank), bool), np.zeros(len(rank))
+            sure[rank] = held
+            logs[rank[held]] = self.logs(different[rank[held]])
+            first, last = owner[0], owner[-1]  # owners ascend
+            sums = np.bincount(owner - first, logs[place], last - first + 1)
+            out = np.flatnonzero(~sure[place])
+            pairs = pd.Series(owner[out] * len(different) + place[out]).value_counts(sort=False)
+            at, spot = np.divmod(pairs.index.to_numpy(np.int64), max(1, len(different)))
+            yield (np.arange(first, last + 1), sums), (at, different[spot], pairs.to_numpy(np.int64))
 
 
 def tables(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
@@ -335,8 +342,7 @@ def score(
     counts = count(docs.where(train), text, order)
     levels = tables(counts, order)
     model = _frequent(levels, entries)
-    limited = model.least[-1] > 1
-    model = docs.sparkSession.sparkContext.broadcast(model)  # at most `entries` an order; sent once for both uses
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most `entries` an order
 
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     sizes = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -374,29 +380,41 @@ def score(
 
     looked = rows.select("h1", "h2", "text").mapInArrow(rare, "h1 long, h2 int, word binary, tf long").join(vocabulary, "word", "left")
     looked = looked.withColumn("log", F.lit(0.0))
-    if limited:
 
-        def far(batches):
-            for batch in batches:
-                h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for at, code, n in model.value.missed(batch.column(2).to_pylist()):
-                    yield pa.RecordBatch.from_arrays([pa.array(h1[at]), pa.array(h2[at]), pa.array(code), pa.array(n, pa.int64())], names=["h1", "h2", "code", "tf"])
-
-        missed = cut(rows.select("h1", "h2", "text").mapInArrow(far, "h1 long, h2 int, code long, tf long"), "missed")
+    def read(batches):  # the texts are read once: sums of what is held (code NULL), and what must be looked up
+        for batch in batches:
+            h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for (mine, sums), (at, code, n) in sent.value.read(batch.column(2).to_pylist()):
+                both = np.concatenate([mine, at])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h1[both]),
+                        pa.array(h2[both]),
+                        pa.concat_arrays([pa.nulls(len(mine), pa.int64()), pa.array(code, pa.int64())]),
+                        pa.concat_arrays([pa.nulls(len(mine), pa.int64()), pa.array(n, pa.int64())]),
+                        pa.concat_arrays([pa.array(sums), pa.nulls(len(at), pa.float64())]),
+                    ],
+                    names=["h1", "h2", "code", "tf", "log"],
+                )
+
+    done = cut(rows.select("h1", "h2", "text").mapInArrow(read, "h1 long, h2 int, code long, tf long, log double"), "read")
+    found = done.where("code IS NULL").select("h1", "h2", "log")
+    if model.least[-1] > 1:
+        missed = done.where("code IS NOT NULL").select("h1", "h2", "code", "tf")
         asked = cut(missed.groupBy("code").agg(F.count(F.lit(1)).alias("n")), "asked")
         values = looked_up(asked, levels).join(asked, "code")
         missed, values = spread_hot_keys(missed, values, ["code"], by="h1")
         missed = missed.join(values.drop("n"), ["code", SALT])
-        found = missed.select("h1", "h2", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("tf"), F.lit(None).cast("long").alias("n"), (F.col("tf") * F.col("log")).alias("log"))
-        looked = looked.select("h1", "h2", "word", "tf", "n", "log").unionByName(found)
+        found = found.unionByName(missed.select("h1", "h2", (F.col("tf") * F.col("log")).alias("log")))
+    looked = looked.unionByName(found, allowMissingColumns=True)
     looked = looked.groupBy("h1", "h2").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf") * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rare_sum"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"),
         F.count_if(F.col("tf") == 0).alias("copies"),
-        F.sum("log").alias("far_sum"),
+        F.sum("log").alias("log_sum"),
     )
 
-    schema = widened(rows.drop("text"), "n_tokens long, top_known long, top_sum double, score double")
+    schema = widened(rows.drop("text"), "n_tokens long, top_known long, top_sum double")
 
     def run(batches):
         for batch in batches:
@@ -408,9 +426,8 @@ def score(
                 n.append(len(got) + 1)
                 seen.append(len(values) + has_end)
                 sums.append(sum(values) + ends)
-            scores = model.value.score(texts, only_held=True)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)], names=schema.names
+                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64())], names=schema.names
             )
 
     done = rows.mapInArrow(run, schema).join(looked, ["h1", "h2"], "left")
@@ -422,5 +439,5 @@ def score(
         (F.col("top_known") + (F.col("rare_known") / F.col("copies")).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (F.col("score") + F.col("far_sum") / F.col("copies")).alias("score"),
+        (F.col("log_sum") / F.col("copies")).alias("score"),
     )
