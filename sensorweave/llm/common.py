@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,6 +66,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return memory to the system that earlier tasks of this Python worker freed: Spark hands a worker on
+    from stage to stage, and what it freed would stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

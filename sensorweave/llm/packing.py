@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import cut, mix64
+from sensorweave.llm.common import cut, give_back, mix64
 
 LENGTH = 2048
 DIMS, BITS = 4, 12
@@ -53,6 +53,7 @@ class Memory(dict):
 
     def turn(self) -> None:
         if len(self) > self.size:
+            self.older = {}  # let go before the copy is made
             self.older = dict(self)
             self.clear()
 
@@ -104,21 +105,24 @@ class WordCoder:
         self.pieces.turn()
         parts = [(w, self.split(w)) for w in self.words.unknown(set().union(*split))]
         new = self.pieces.unknown({p for _, found in parts for p in found})
-        single = [p for p in new if self.single(p)]
+        single, rest = [], []
+        for piece in new:
+            (single if self.single(piece) else rest).append(piece)
         for i in range(0, len(single), 4096):
             # one text of many pieces costs less than many texts; a piece ends with its closing token
             chunk = single[i : i + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(chunk), add_special_tokens=False).ids, "<u4")
+            # the fast form leaves out the offsets, which nobody reads
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.closing[ids]) + 1
             if len(stops) != len(chunk):
                 raise ValueError("the vocabulary splits pieces in a way that is not known here")
-            for piece, got in zip(chunk, np.split(ids, stops[:-1])):
-                self.pieces[piece] = got.tobytes()
-        for piece in [p for p in new if not self.single(p)]:
+            raw, stops = ids.tobytes(), (stops * 4).tolist()
+            self.pieces.update(zip(chunk, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        for piece in rest:
             self.pieces[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.pieces.__getitem__
         for word, found in parts:
-            self.words[word] = b"".join(map(known, found))
+            self.words[word] = known(found[0]) if len(found) == 1 else b"".join(map(known, found))
         close = np.array([end], "<u4").tobytes()
         known = self.words.__getitem__
         return [np.frombuffer(b"".join(map(known, w)) + close, "<u4") for w in split]
@@ -195,6 +199,7 @@ def pack(
     key_type = rows.schema["key"].dataType.simpleString()
 
     def tokens(batches):
+        give_back()
         for batch in batches:
             ids = encode(batch.column(2).to_pylist(), tokenizer, end)
             spots = [place(i) for i in ids]
