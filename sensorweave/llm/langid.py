@@ -49,8 +49,8 @@ def fit(
 ) -> dict[str, bytes]:
     """Dictionary content per language, from at most `sample_per_language` texts of each.
 
-    Of a sampled text, evenly spaced slices fill its share of the dictionary, so that one very long
-    text cannot fill it alone.
+    Of a sampled text, slices at places drawn by a keyed hash over its whole length fill its share of the
+    dictionary, so that one very long text cannot fill it alone and no part of a text is left out by rule.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("draw")
@@ -63,8 +63,9 @@ def fit(
     limits = labelled.sparkSession.createDataFrame(sorted(bound.items()), "lang string, most long")
     share, slices = max(64, dictionary_bytes // sample_per_language), 2
     size = F.lit(share // slices)
-    room = F.greatest(F.char_length("text") - size, F.lit(0))
-    taken = [F.substring(F.col("text"), (room * i / max(1, slices - 1)).cast("int") + 1, size) for i in range(slices)]
+    room = F.greatest(F.char_length("text") - size, F.lit(0)) + 1  # places at which a slice may begin
+    spots = [F.pmod(F.xxhash64(F.lit(seed), F.lit(i), F.col("text")), room.cast("long")).cast("int") for i in range(slices)]
+    taken = [F.substring(F.col("text"), spot + 1, size) for spot in spots]
     drawn = rows.join(F.broadcast(limits), "lang").where("draw <= most")
     parts = drawn.select("lang", "draw", F.concat_ws("\n", *taken).alias("part")).collect()  # bounded by the sample
     content: dict[str, list[bytes]] = {}
