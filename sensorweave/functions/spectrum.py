@@ -10,8 +10,9 @@ A long window without a good divisor (a prime number of samples) goes through a
 transform is a convolution with exp(i pi j^2 / n), which is done by three transforms of a power of
 two of at least 2 n - 1 values, decimated in the same way.
 
-The sums inside a group are array expressions ('native', quadratic in its length) or a fast
-transform of the group's values in Arrow batches ('arrow'); what is grouped and how is the same.
+The sums inside a group are array expressions ('native': n log n, passes of pairwise joins, after a
+chirp where the length is no power of two) or a fast transform of the group's values in Arrow batches
+('arrow'); what is grouped and how is the same.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from sensorweave.settings import setting
 
 COMPLEX = ["re", "im"]
+SHORT = 16  # values up to which a group is summed by definition
 
 
 def divisor(n: str, longest: int) -> str:
@@ -48,21 +50,74 @@ def _fast(j: pd.Series, re: pd.Series, im: pd.Series, length: pd.Series, shift:
     return pd.DataFrame(out, columns=COMPLEX)
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for `body`, in which `name` stands for `value`, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+ZERO = "named_struct('re', 0D, 'im', 0D)"
+
+
+def _times(re: str, im: str, angle: str) -> str:
+    """(re + i im) * exp(i angle) as a struct."""
+    return f"named_struct('re', {re} * cos({angle}) - {im} * sin({angle}), 'im', {re} * sin({angle}) + {im} * cos({angle}))"
+
+
+def _halving(values: str, size: str) -> str:
+    """Transform of an array of `size` (re, im), a power of two, in log2(size) passes over it.
+
+    A pass joins pairs of transforms of `_s` doublings: place o takes values j and j + size / 2 of the pass before."""
+    half = f"CAST({size} div 2 AS INT)"
+    angle = "-pi() * (j & (shiftleft(1, _s) - 1)) / shiftleft(1, _s)"
+    turned = f"transform(slice(_x, {half} + 1, {half}), (b, j) -> named_struct('re', b.re, 'im', b.im, 'c', cos({angle}), 's', sin({angle})))"
+    pairs = f"zip_with(slice(_x, 1, {half}), {turned}, (a, b) -> named_struct('ar', a.re, 'ai', a.im, 'br', b.re * b.c - b.im * b.s, 'bi', b.re * b.s + b.im * b.c))"
+    place = "_pairs[shiftleft(shiftright(o, _s + 1), _s) | (o & (shiftleft(1, _s) - 1))]"
+    dealt = f"transform(sequence(0, CAST({size} - 1 AS INT)), o -> {place})"
+    sign = "(1 - 2 * (shiftright(o, _s) & 1))"
+    joined = f"transform({dealt}, (e, o) -> named_struct('re', e.ar + {sign} * e.br, 'im', e.ai + {sign} * e.bi))"
+    steps = f"sequence(0, CAST(round(log2({size})) AS INT) - 1)"
+    return f"IF({size} = 1, {values}, aggregate({steps}, {values}, (_x, _s) -> {_let('_pairs', pairs, joined)}))"
+
+
+def _convolved(values: str, size: str) -> str:
+    """Transform of an array of any `size` by a chirp: three transforms of a power of two."""
+    angle = f"pi() * ((CAST(j AS BIGINT) * j) % (2 * {size})) / {size}"
+    padded = f"concat(transform({values}, (e, j) -> {_times('e.re', 'e.im', f'-({angle})')}), array_repeat({ZERO}, CAST(_long - {size} AS INT)))"
+    chirp = f"transform(transform(sequence(0L, _long - 1), o -> least(o, _long - o)), j -> IF(j < {size}, named_struct('re', cos({angle}), 'im', sin({angle})), {ZERO}))"
+    product = "(a, b) -> named_struct('re', a.re * b.re - a.im * b.im, 'im', -(a.re * b.im + a.im * b.re))"  # conjugate
+    back = _halving(f"zip_with({_halving(padded, '_long')}, {_halving(chirp, '_long')}, {product})", "_long")
+    turned = f"transform(slice({back}, 1, CAST({size} AS INT)), (e, j) -> {_times('(e.re / _long)', '(-e.im / _long)', f'-({angle})')})"
+    return _let("_long", f"shiftleft(1L, CAST(ceil(log2(2 * {size} - 1)) AS INT))", turned)
+
+
+def _native(values: str, size: str) -> str:
+    """Transform of an array of `size` (re, im): by its definition if short, else in passes."""
+    angle = f"-2 * pi() * ((CAST(j AS BIGINT) * k) % {size}) / {size}"
+    turned = f"transform(_v0, (e, j) -> {_times('e.re', 'e.im', angle)})"
+    add = "(s, e) -> named_struct('re', s.re + e.re, 'im', s.im + e.im)"
+    plain = f"transform(sequence(0L, {size} - 1), k -> aggregate({turned}, {ZERO}, {add}))"
+    power = f"{size} = shiftleft(1L, CAST(round(log2({size})) AS INT))"
+    return _let("_v0", values, f"CASE WHEN {power} THEN {_halving('_v0', size)} WHEN {size} <= {SHORT} THEN {plain} ELSE {_convolved('_v0', size)} END")
+
+
 def _grouped(rows: DataFrame, group: Sequence[str], index: str, length: str, shift: str, step: str, whole: str, top: str, how: str) -> DataFrame:
     """Per group the sums over its values v_j of v_j exp(-2 pi i j k / whole), a row (k, re, im) per bin
-    k = shift, shift + step, ... of `length` bins, up to `top`."""
-    vectors = rows.groupBy(*group).agg(F.expr(f"array_sort(collect_list(struct({index} AS j, re, im))) AS _v"))
+    k = shift, shift + step, ... of `length` bins, up to `top`.
+
+    Groups are few bytes and much arithmetic: they are dealt out by number, which AQE does not undo."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vectors = rows.repartition(parts, *group).groupBy(*group).agg(F.expr(f"sort_array(collect_list(struct({index} AS j, re, im))) AS _v"))
     vectors = vectors.selectExpr(*[f"`{g}`" for g in group], "_v", f"{length} AS _length", f"{shift} AS _shift", f"{whole} AS _whole", f"{step} AS _step", f"{top} AS _top")
-    bins = "transform(sequence(0L, _length - 1), i -> _shift + _step * i)"
     if how == "arrow":
         vectors = vectors.withColumn("_sum", _fast("_v.j", "_v.re", "_v.im", "_length", "_shift", "_whole"))
-        sums = f"filter(transform({bins}, (k, i) -> named_struct('k', k, 're', _sum.re[i], 'im', _sum.im[i])), s -> s.k <= _top)"
+        bins = "transform(sequence(0L, _length - 1), i -> _shift + _step * i)"
+        sums = f"transform({bins}, (k, i) -> named_struct('k', k, 're', _sum.re[i], 'im', _sum.im[i]))"
     else:
-        angle = "2 * pi() * ((e.j * k) % _whole) / _whole"
-        turned = f"transform(_v, e -> named_struct('re', e.re, 'im', e.im, 'c', cos({angle}), 's', sin({angle})))"
-        add = "named_struct('k', s.k, 're', s.re + (e.re * e.c + e.im * e.s), 'im', s.im + (e.im * e.c - e.re * e.s))"
-        sums = f"transform(filter({bins}, k -> k <= _top), k -> aggregate({turned}, named_struct('k', k, 're', 0D, 'im', 0D), (s, e) -> {add}))"
-    return vectors.select(*group, F.expr(f"explode({sums}) AS _bin")).select(*group, "_bin.*")
+        holes = "transform(array_except(sequence(0L, _length - 1), _all.j), j -> named_struct('j', j, 're', 0D, 'im', 0D))"
+        dense = _let("_all", "_v", f"IF(size(_all) = _length, _all, sort_array(concat(_all, {holes})))")
+        values = f"transform({dense}, e -> {_times('e.re', 'e.im', '(-2 * pi() * ((e.j * _shift) % _whole) / _whole)')})"
+        sums = f"transform({_native(values, '_length')}, (e, i) -> named_struct('k', _shift + _step * i, 're', e.re, 'im', e.im))"
+    return vectors.select(*group, F.expr(f"explode(filter({sums}, s -> s.k <= _top)) AS _bin")).select(*group, "_bin.*")
 
 
 def transform(rows: DataFrame, keys: Sequence[str], how: str = "native", top: str = "_n - 1") -> DataFrame:

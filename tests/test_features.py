@@ -10,8 +10,9 @@ import pytest
 from fixtures import at
 from pyspark.sql import functions as F
 
+from sensorweave.functions.ordered import with_chunks
 from sensorweave.functions.quantiles import exact_quantiles
-from sensorweave.functions.spectrum import divisor, spectrum
+from sensorweave.functions.spectrum import _native, divisor, spectrum
 from sensorweave.operators import frames, profile, windows
 
 
@@ -92,6 +93,29 @@ def test_long_window_in_small_groups(spark, n):
     assert tuple(row) == (5, pytest.approx(np.sqrt(power[peak]), rel=1e-8), peak, pytest.approx(power.sum(), rel=1e-8))
 
 
+def test_passes_of_a_group(spark):
+    """Transforms inside a group, of any length: by definition, in passes, after a chirp; missing samples are zero."""
+    lengths = [*range(1, 41), 64, 251, 256, 257, 1000, 4099]
+    draw = np.random.default_rng(3)
+    values = {n: draw.normal(size=n) + 1j * draw.normal(size=n) for n in lengths}
+    rows = spark.createDataFrame([(n, [(float(v.real), float(v.imag)) for v in x]) for n, x in values.items()], "n long, x array<struct<re: double, im: double>>")
+    for r in rows.selectExpr("n", f"{_native('x', 'n')} AS y").collect():
+        want = np.fft.fft(values[r.n])
+        assert np.allclose([complex(e.re, e.im) for e in r.y], want, rtol=0, atol=1e-10 * np.abs(want).max())
+    gaps = spark.createDataFrame([(1, 8, 0, 2.0), (1, 8, 5, -2.0)], "w long, _n long, pos long, value double")
+    power = np.abs(np.fft.rfft([2, 0, 0, 0, 0, -2, 0, 0])) ** 2
+    assert spectrum(gaps, ["w"]).first().fft_energy_total == pytest.approx(power.sum())
+
+
+def test_groups_are_not_put_together(spark):
+    """A few bytes of samples are much arithmetic: windows stay dealt out over all shuffle partitions."""
+    samples, want = _windows_of(spark, [64] * 40)
+    samples = samples.localCheckpoint()
+    found = spectrum(samples, ["w"]).select("w", F.spark_partition_id().alias("part"))
+    assert found.count() == 40
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(("n", "p"), [(1, 1), (256, 1), (257, None), (1 << 20, 1 << 10), (1_000_000, 1000), (999_983, None), (360_000, 600), (514, None)])
 def test_divisors(spark, n, p):
     assert spark.sql(f"SELECT {divisor('n', 256)} AS p FROM VALUES ({n}L) AS t(n)").first().p == p
@@ -227,3 +251,14 @@ def test_categorical_summary_tie(spark):
     rows = [("bearing_condition", v) for v in (3.0, 1.0, 3.0, 1.0, 2.0, None)] + [("speed", 9.0)]
     row = profile.categorical_summary(spark.createDataFrame(rows, "variable string, value double")).collect()
     assert sorted((r.value, r["count"], r.is_most_frequent) for r in row) == [(1.0, 5, True), (2.0, 5, False), (3.0, 5, False)]
+
+
+def test_daily_rows_share_chunks(spark):
+    """A frame with a row a day: its chunks are years, not rows, and frames reach across them."""
+    days = spark.range(800).selectExpr("1L AS deployment_id", "timestamp_seconds(id * 86400) AS ts_slot", "CAST(id AS DOUBLE) AS acc_rms_axial")
+    ranked = with_chunks(days, ["deployment_id"], "ts_slot", "frameSeconds")
+    assert ranked.select("_chunk").distinct().count() == 3
+    rolled = frames.rolling_features(days, rows=12).orderBy("ts_slot").collect()
+    assert [r.acc_rms_axial_MAX_W12 for r in rolled] == [None] * 11 + [float(i) for i in range(11, 800)]
+    plan = frames.rolling_features(days, rows=12)._jdf.queryExecution().optimizedPlan().toString()
+    assert str(366 * 86_400 * 1_000_000) in plan
