@@ -124,7 +124,7 @@ def load_measurements(spark, folder):
 @query("write_features", f"WITH {WINDOWS} " + " UNION ALL ".join(
     f"SELECT deployment_id, ts_us, 'acc_rms_radial' AS variable, '{n}' AS feature, {sql_r6(n)} AS value, {WINDOW_S} AS window_s, quality_code FROM ft" for n in NAMES))
 def write_features(spark, folder):
-    rows = windows.features_long(_windows(spark, folder))
+    rows = materialise(windows.features_long(_windows(spark, folder)), "features")  # written twice
     path = _folder(spark, "features")
     sinks.write_features(rows, path)
     sinks.write_features(rows, path)

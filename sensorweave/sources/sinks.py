@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorweave import catalog, schema
 from sensorweave.operators.grid import rename_to_source, unpivot_long
 from sensorweave.schema import require, to_number
+from sensorweave.session import materialise
 
 MEASUREMENT_KEY = ["deployment_id", "ts_utc", "variable"]
 FEATURE_KEY = ["deployment_id", "ts_utc", "variable", "feature", "window_s"]
@@ -80,12 +81,12 @@ def _append(df: DataFrame, path: str, keys: Sequence[str], table_schema) -> Writ
     by deployment, so a deployment is found by row-group statistics however many there
     are; rows go to the writers by ranges of (day, deployment, time), so that the number of
     files is about that of partitions and days together. The counts come from the data (file footers for the table), not from accumulators,
-    and stay right when tasks are run again. The batch is evaluated
-    twice; `session.materialise` an expensive one first.
+    and stay right when tasks are run again. The batch is read three times (size, ranges, rows), so
+    it is evaluated once, into the shared folder.
     """
     spark = df.sparkSession
     batch = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema.fields])
-    batch = batch.withColumn(DAY, F.to_date("ts_utc"))
+    batch = materialise(batch.withColumn(DAY, F.to_date("ts_utc")), "batch")
     timed = F.col("ts_utc").isNotNull()
     size = batch.agg(
         F.count(F.lit(1)).alias("rows"),

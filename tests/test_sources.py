@@ -132,6 +132,21 @@ def test_foreign_table_is_refused(spark, tmp_path):
     assert sinks.write_measurements(rows, f"{tmp_path}/new") == (0, 1, 0)
 
 
+def test_batch_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def counted(ts):
+        seen.add(1)
+        return ts
+
+    rows = spark.range(50).selectExpr(
+        "1L AS deployment_id", "timestamp_seconds(1704067200 + id * 500) AS ts_utc", "'v' AS variable", "1.0D AS value", "0 AS quality_code"
+    )
+    assert sinks.write_measurements(rows.withColumn("ts_utc", counted("ts_utc")), f"{tmp_path}/t") == (50, 0, 0)
+    assert seen.value == 50
+
+
 def test_few_files_a_day(spark, tmp_path):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
