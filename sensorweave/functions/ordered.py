@@ -26,10 +26,10 @@ CORE = "_core"
 SAMPLED = 16  # rows that are sampled for a piece, about
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], ts: str = "ts_utc") -> DataFrame:
+def with_chunks(df: DataFrame, keys: Sequence[str], ts: str = "ts_utc", seconds: str = "chunkSeconds") -> DataFrame:
     """Add `_chunk`, which grows with (`ts`, `reading_id`) inside `keys`, and `_upto`.
 
-    A chunk is `chunkSeconds` wide. One that holds more than `splitRows` rows is cut by count into
+    A chunk is as wide as the setting `seconds` says. One that holds more than `splitRows` rows is cut by count into
     pieces of about that many rows, also inside a single timestamp: its rows are sampled by a hash,
     and every so manieth sampled (`ts`, `reading_id`) begins a piece. Without a `reading_id` rows of one
     time stay together. `_upto` is the time (epoch us) at which the next piece of the chunk begins,
@@ -39,7 +39,7 @@ def with_chunks(df: DataFrame, keys: Sequence[str], ts: str = "ts_utc") -> DataF
     entries by construction, e.g. half a million for 2e12 rows. Rows of other chunks are read once
     for the counts; sampling is skipped by AQE where no chunk is too large.
     """
-    width, split_rows = setting(df, "chunkSeconds") * US, setting(df, "splitRows")
+    width, split_rows = setting(df, seconds) * US, setting(df, "splitRows")
     df = df.withColumn(CHUNK, floor_us(micros(ts), width))
     place = [micros(ts).alias("us")] + ([F.col("reading_id").alias("id")] if "reading_id" in df.columns else [])
     counts = df.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))

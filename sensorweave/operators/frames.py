@@ -42,7 +42,7 @@ def _blocks(df: DataFrame, back: int, ahead: int, step_s: int | None) -> DataFra
     is the slot number and costs nothing. Without, it is the rank of the row.
     """
     if step_s is None:
-        ranked = with_position(with_chunks(df, KEYS, TIME), KEYS, [TIME]).drop(*CHUNKING)
+        ranked = with_position(with_chunks(df, KEYS, TIME, "frameSeconds"), KEYS, [TIME]).drop(*CHUNKING)
     else:
         ranked = df.withColumn("_pos", (micros(TIME) / (step_s * US)).cast("long"))
     return with_blocks(ranked, F.col("_pos"), back, ahead)
