@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from sensorweave.llm.common import utf8, widened
 
 PIECES = 1 << 16  # pieces in hand at once
-REMEMBERED = 100_000  # pieces of one generation; two are kept
+REMEMBERED = 200_000  # pieces of one generation; two are kept
+AT_ONCE = 1 << 20  # characters of a text whose pieces are listed at once
 LONGEST = 64  # characters of a piece that is remembered
 PAIRS = 2_000_000  # remembered compatibilities
 
@@ -63,6 +64,8 @@ class ByteBPE:
         self._pairs: dict[tuple[int, int], bool] = {}
         self._young: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
+        self._young_trips: dict[str, tuple[int, bytes, bytes]] = {}
+        self._old_trips: dict[str, tuple[int, bytes, bytes]] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids that merging the lowest rank first gives: the definition, for short strings."""
@@ -119,28 +122,65 @@ class ByteBPE:
         """The longest token at a place; a window of the longest token's length is all that is read."""
         return next(self.longest.iter_long(piece[at : at + self.reach]))[1]
 
+    def made(self, piece: str) -> tuple[int, ...]:
+        """Ids of one piece of text, worked out."""
+        raw = utf8(piece)
+        rank = self.ranks.get(raw)  # a piece that is a token is that token
+        return (rank,) if rank is not None else tuple(self.backtracked(raw.decode("latin-1")))
+
     def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece of text."""
         known = self._young.get(piece)
         if known is not None:
             return known
-        known = self._old.get(piece)
-        if known is None:
-            raw = utf8(piece)
-            rank = self.ranks.get(raw)  # a piece that is a token is that token
-            known = (rank,) if rank is not None else tuple(self.backtracked(raw.decode("latin-1")))
+        known = self._old.get(piece) or self.made(piece)
         if len(piece) <= LONGEST:
             if len(self._young) >= REMEMBERED:
                 self._old, self._young = self._young, {}
             self._young[piece] = known
         return known
 
+    def trip(self, piece: str) -> tuple[int, bytes, bytes]:
+        """Of one piece of text: number of ids, the ids in decimal with a space before each, the bytes they decode to."""
+        known = self._old_trips.get(piece)
+        if known is None:
+            ids = self.made(piece)
+            known = len(ids), b"".join([b" %d" % i for i in ids]), self.decode(ids)
+        if len(piece) <= LONGEST:
+            if len(self._young_trips) >= REMEMBERED:
+                self._old_trips, self._young_trips = self._young_trips, {}
+            self._young_trips[piece] = known
+        return known
+
+    def pieces(self, text: str | None) -> Iterator[list[str]]:
+        """The pieces of a text, some at a time."""
+        if text and len(text) <= AT_ONCE:
+            yield [m.group() for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
+            return
+        found = map(regex.Match.group, self.pattern.finditer(text or ""))
+        while batch := list(islice(found, PIECES)):
+            yield batch
+
     def encode(self, text: str | None) -> Iterator[list[int]]:
         """Ids of a text, some pieces at a time."""
-        pieces = map(regex.Match.group, self.pattern.finditer(text or ""))
-        while batch := list(islice(pieces, PIECES)):
+        for batch in self.pieces(text):
             yield [i for p in batch for i in self.piece(p)]
 
+    def round_trip(self, text: str | None) -> tuple[int, str, str]:
+        """Number of ids, sha256 of the ids in decimal with one space between, sha256 of the bytes they decode to."""
+        n, ids_sum, back = 0, hashlib.sha256(), hashlib.sha256()
+        for batch in self.pieces(text):
+            known = self._young_trips  # replaced by a new one where it is full
+            trips = [known.get(p) or self.trip(p) for p in batch]
+            if not trips:
+                continue
+            counts, spelled, raw = zip(*trips)
+            ids = b"".join(spelled)
+            ids_sum.update(ids if n else ids[1:])
+            n += sum(counts)
+            back.update(b"".join(raw))
+        return n, ids_sum.hexdigest(), back.hexdigest()
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -184,18 +224,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", key
     def run(batches):
         own = coder(path, pattern)
         for batch in batches:
-            counts, sums, backs = [], [], []
-            for t in batch.column(1).to_pylist():
-                n, ids_sum, back = 0, hashlib.sha256(), hashlib.sha256()
-                for ids in own.encode(t):
-                    if n and ids:
-                        ids_sum.update(b" ")
-                    n += len(ids)
-                    ids_sum.update(" ".join(map(str, ids)).encode())
-                    back.update(own.decode(ids))
-                counts.append(n)
-                sums.append(ids_sum.hexdigest())
-                backs.append(back.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums), pa.array(backs)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            trips = [own.round_trip(t) for t in batch.column(1).to_pylist()]
+            counts, sums, backs = (list(c) for c in zip(*trips)) if trips else ([], [], [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(backs, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return rows.mapInArrow(run, widened(rows.drop("_text"), "n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -110,3 +110,22 @@ def test_query_against_library(corpus, docs, tmp_path):
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     got = op12_bytes(corpus, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_round_trips_are_remembered(both, monkeypatch):
+    """Ids, decimals and bytes of a piece are made once, also where memory turns over or a text is read in parts."""
+    own, library = both
+    texts = samples()[:200]
+
+    def want(text):
+        ids = library.encode_ordinary(text)
+        return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+    assert [own.round_trip(t) for t in texts] == [want(t) for t in texts]
+    with monkeypatch.context() as m:
+        m.setattr(own, "made", None)
+        assert [own.round_trip(t) for t in texts] == [want(t) for t in texts]
+    monkeypatch.setattr(bytebpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bytebpe, "AT_ONCE", 10)
+    monkeypatch.setattr(bytebpe, "PIECES", 4)
+    assert [own.round_trip(t) for t in [*texts, None, ""]] == [want(t or "") for t in [*texts, None, ""]]
