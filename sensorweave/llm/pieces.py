@@ -7,8 +7,8 @@ and a seed gives one segmentation whatever the partitions or retries, other seed
 Without dropout the ids are those of the library.
 
 No piece of such a vocabulary holds a space mark after another character (checked on loading), so a
-text is encoded word by word. A worker remembers words with the places that pieces can take, and
-segmentations by the set of places skipped: what an occurrence draws decides, memory only saves work.
+text is encoded word by word: the words of many texts together, in rounds that make the next merge
+of each (`merging`); a long word alone, from a heap. Both give the same ids.
 
 Lossless: characters without a piece become byte pieces; so does the space mark itself where a text
 contains it. Decoding joins the pieces and takes the one mark away that encoding put in front.
@@ -22,20 +22,22 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import sys
 import zlib
 from collections.abc import Callable
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.llm import merging
 from sensorweave.llm.common import GOLDEN, mix64, utf8, widened
+from sensorweave.llm.merging import Merges
 
 MARK = "▁"
-REMEMBERED, LONGEST = 200_000, 64  # words, or segmentations, of a generation in a worker; the longest remembered
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+REMEMBERED, LONGEST = 1 << 14, merging.LONGEST  # words of a group; the longest of them, others are merged alone
+CHARACTERS = 1 << 20  # of the texts that are in hand at a time
 _MASK = (1 << 64) - 1
 _LENGTH = 32  # a place and a length in a word are one number: place << _LENGTH | length
 
@@ -67,8 +69,8 @@ class Vocabulary:
                 self.raw.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.costs), default=0)
 
-    def segment(self, word: str, skipped: Callable[[int], bool] | None = None) -> list[int]:
-        """Ids of one word by agenda merging; `skipped` tells of place << _LENGTH | length."""
+    def merged(self, word: str, skipped: Callable[[int], bool] | None = None) -> list[str]:
+        """Symbols of one word by agenda merging; `skipped` tells of place << _LENGTH | length."""
         symbols = list(word)
         n = len(symbols)
         cost = self.costs.get
@@ -102,14 +104,17 @@ class Vocabulary:
                 price = cost(wider)
                 if price is not None:
                     heapq.heappush(agenda, (price, before, left, wider))
+        return [s for s in symbols if s is not None]
+
+    def segment(self, word: str, skipped: Callable[[int], bool] | None = None) -> list[int]:
+        """Ids of one word."""
         out = []
-        for s in symbols:
-            if s is not None:
-                found = self.ids.get(s)
-                if found is None:
-                    out += [self.bytes[b] for b in s.encode("utf-8", "surrogatepass")]
-                else:
-                    out.append(found)
+        for s in self.merged(word, skipped):
+            found = self.ids.get(s)
+            if found is None:
+                out += [self.bytes[b] for b in s.encode("utf-8", "surrogatepass")]
+            else:
+                out.append(found)
         return out
 
     def spans(self, word: str) -> list[int]:
@@ -118,33 +123,6 @@ class Vocabulary:
         return [i << _LENGTH | (j - i) for i in range(n - 1) for j in range(i + 2, min(n, i + self.longest) + 1) if word[i:j] in priced]
 
 
-def _ids(found: list[int]) -> bytes:
-    return np.array(found, "<i4").tobytes()
-
-
-class _Memory(dict):
-    """What `make` gave for a key; what a whole generation did not ask for is forgotten."""
-
-    def __init__(self, make: Callable, size: int):
-        self.make, self.size, self.older = make, size, {}
-
-    def __missing__(self, key):
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = found
-        return found
-
-
-class _Word(NamedTuple):
-    ids: bytes | None  # without dropout; None: not to be remembered
-    spans: bytes  # uint64
-    merged: int  # bits of the spans merged without dropout
-
-
 class Coder:
     """Encoder and decoder of one worker."""
 
@@ -152,31 +130,36 @@ class Coder:
         self.vocabulary = Vocabulary(path)
         self.secret = hashlib.blake2b(str(seed).encode(), digest_size=16).digest()
         self.limit = int(dropout * (1 << 64))
-        self.words = _Memory(self._word, REMEMBERED)
-        self.drawn = _Memory(self._drawn, REMEMBERED)
+        costs = self.vocabulary.costs
+        self.symbols = {piece: i for i, piece in enumerate(costs)}  # pieces, then characters that only parts of pieces are
+        rank = np.unique(list(costs.values()), return_inverse=True)[1]
+        parts = [(piece[:k], piece[k:], made) for piece, made in self.symbols.items() for k in range(1, len(piece))]
+        for a, b, _ in parts:
+            for side in (a, b):
+                if len(side) == 1:
+                    self.symbols.setdefault(side, len(self.symbols))
+        self.mark = self.symbols.setdefault(MARK, len(self.symbols))
+        self.literal, self.other, edge = range(len(self.symbols), len(self.symbols) + 3)  # a mark that is text; a character without pieces
+        known = [(self.symbols[a], self.symbols[b], made) for a, b, made in parts if a in self.symbols and b in self.symbols]
+        left, right, made = np.array(known, np.int64).reshape(-1, 3).T
+        self.merges = Merges(left, right, rank[made], made, edge)
+        self.ids = np.full(edge, -1, np.int64)  # -1: byte pieces
+        self.ids[[self.symbols[piece] for piece in self.vocabulary.ids]] = list(self.vocabulary.ids.values())
+        self.characters = np.full(sys.maxunicode + 1, self.other, np.int32)
+        single = [c for c in self.symbols if len(c) == 1]
+        self.characters[[ord(c) for c in single]] = [self.symbols[c] for c in single]
+        self.characters[ord(" ")], self.characters[ord(MARK)] = self.mark, self.literal
+
+    def _skips(self, key: np.ndarray | np.uint64, place, length) -> np.ndarray:
+        """Whether the merges of these places and lengths, of words with these keys, are left out."""
+        with np.errstate(over="ignore"):
+            h = mix64(key ^ (np.uint64(1 << _LENGTH) * np.asarray(place, np.uint64) | np.asarray(length, np.uint64)) * np.uint64(GOLDEN))
+        return h < np.uint64(self.limit) if self.limit <= _MASK else np.ones(h.shape, bool)
 
-    def _word(self, word: str) -> _Word:
-        if len(word) > LONGEST:
-            return _Word(None, b"", 0)
-        if not self.limit:
-            return _Word(_ids(self.vocabulary.segment(word)), b"", 0)
-        spans = self.vocabulary.spans(word)
-        if len(spans) > 64:
-            return _Word(None, b"", 0)
-        merged: list[int] = []
-        ids = self.vocabulary.segment(word, merged.append)  # append tells nothing: none is skipped
-        came = set(merged)
-        return _Word(_ids(ids), np.array(spans, "<u8").tobytes(), sum(1 << i for i, s in enumerate(spans) if s in came))
-
-    def _drawn(self, key: tuple[str, int]) -> bytes:
-        word, mask = key
-        spans = np.frombuffer(self.words[word].spans, "<u8").tolist()
-        return _ids(self.vocabulary.segment(word, {s for i, s in enumerate(spans) if mask >> i & 1}.__contains__))
-
-    def _alone(self, word: str, key: int) -> bytes:
-        """A word too long to be remembered."""
+    def _alone(self, word: str, key: int) -> list[str]:
+        """Symbols of a word that is too long for a group."""
         if not self.limit:
-            return _ids(self.vocabulary.segment(word))
+            return self.vocabulary.merged(word)
         limit = self.limit
 
         def skipped(span: int) -> bool:
@@ -185,46 +168,78 @@ class Coder:
             x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
             return x ^ x >> 31 < limit
 
-        return _ids(self.vocabulary.segment(word, skipped))
+        return self.vocabulary.merged(word, skipped)
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<i4")
-        base = int.from_bytes(hashlib.blake2b(utf8(text), digest_size=8, key=self.secret).digest(), "little") if self.limit else 0
-        if MARK in text:  # marks that are text become bytes, what lies between is encoded as it is
-            parts = text.split(MARK)
-            mark = _ids([self.vocabulary.bytes[b] for b in MARK.encode()])
-            found = _WORD.findall(MARK + parts[0].replace(" ", MARK))
-            ends = [len(found)]
-            for part in parts[1:]:
-                found += _WORD.findall(part.replace(" ", MARK))
-                ends.append(len(found))
-            coded = self._words(found, base)
-            starts = [0, *ends[:-1]]
-            return np.frombuffer(mark.join(b"".join(coded[i:j]) for i, j in zip(starts, ends)), "<i4")
-        return np.frombuffer(b"".join(self._words(_WORD.findall(MARK + text.replace(" ", MARK)), base)), "<i4")
-
-    def _words(self, found: list[str], base: int) -> list[bytes]:
-        """Ids of the words of a text, each drawn by its place in it."""
-        known = [self.words[w] for w in found]
-        out = [k.ids for k in known]
-        if not self.limit:
-            return [self._alone(w, 0) if ids is None else ids for w, ids in zip(found, out)]
-        with np.errstate(over="ignore"):
-            keys = mix64(np.uint64(base) + np.uint64(GOLDEN) * np.arange(1, len(found) + 1, dtype=np.uint64))
-            spans = np.frombuffer(b"".join([k.spans for k in known]), "<u8")
-            sizes = np.array([len(k.spans) for k in known], np.int64) // 8
-            h = mix64(np.repeat(keys, sizes) ^ spans * np.uint64(GOLDEN))
-        hits = np.flatnonzero(h < np.uint64(self.limit)) if self.limit <= _MASK else np.arange(len(h))
-        ends = np.cumsum(sizes)
-        owner = np.searchsorted(ends, hits, side="right")
-        masks = np.zeros(len(found), np.uint64)
-        np.bitwise_or.at(masks, owner, np.uint64(1) << (hits - (ends - sizes)[owner]).astype(np.uint64))
-        merged = np.array([k.merged for k in known], np.uint64)
-        drawn = self.drawn
-        for i, mask in zip(np.flatnonzero(masks & merged).tolist(), masks[(masks & merged) != 0].tolist()):
-            out[i] = drawn[found[i], mask]
-        return [self._alone(w, key) if ids is None else ids for w, ids, key in zip(found, out, keys.tolist())] if None in out else out
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids (int32) of every text; texts of so many characters are in hand at a time, or one."""
+        out: list[np.ndarray] = []
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > CHARACTERS:
+                out += self._encode(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        return out + self._encode(held)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [MARK + t if t else "" for t in texts]
+        codes = np.frombuffer("".join(whole).encode("utf-32-le", "surrogatepass"), "<u4").copy()
+        stops = np.cumsum([len(t) for t in whole])
+        if not len(codes):
+            return [np.empty(0, "<i4") for _ in texts]
+        symbols = self.characters[codes]
+        begins = np.flatnonzero(np.diff(stops, prepend=0))  # texts that are not empty
+        first = np.concatenate([[0], stops[begins][:-1]])
+        symbols[first] = self.mark
+        codes[codes == ord(" ")] = ord(MARK)
+        # words: marks, then what is no mark; a mark that is text stands alone
+        mark, literal = symbols == self.mark, symbols == self.literal
+        opens = literal.copy()
+        opens[1:] |= literal[:-1] | (mark[1:] & ~mark[:-1])
+        opens[first] = True
+        starts = np.flatnonzero(opens & ~literal)
+        sizes = np.diff(np.append(np.flatnonzero(opens), len(codes)))[~literal[opens]]
+        if self.limit:
+            base = np.array([int.from_bytes(hashlib.blake2b(utf8(texts[i]), digest_size=8, key=self.secret).digest(), "little") for i in begins.tolist()], np.uint64)
+            origin = np.searchsorted(starts, first)  # first word of each text
+            owner = np.repeat(np.arange(len(begins)), np.diff(np.append(origin, len(starts))))
+            with np.errstate(over="ignore"):
+                keys = mix64(base[owner] + np.uint64(GOLDEN) * (np.arange(1, len(starts) + 1) - origin[owner]).astype(np.uint64))
+        else:
+            keys = np.zeros(len(starts), np.uint64)
+        short = sizes <= min(LONGEST, merging.LONGEST)
+        group = keys[short]
+        self.merges.merge(symbols, starts[short], sizes[short], (lambda word, place, length: self._skips(group[word], place, length)) if self.limit else None, REMEMBERED)
+        for i in np.flatnonzero(~short).tolist():
+            at, size = int(starts[i]), int(sizes[i])
+            word = codes[at : at + size].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            found = self._alone(word, int(keys[i]))
+            symbols[at : at + size] = -1
+            places = at + np.cumsum([0, *map(len, found[:-1])])
+            symbols[places] = [self.symbols.get(s, self.other) for s in found]
+        kept = np.flatnonzero(symbols >= 0)
+        ids = self.ids[symbols[kept]]
+        ends = np.searchsorted(kept, stops)
+        spelt = ids < 0
+        if spelt.any():
+            different, which = np.unique(codes[kept[spelt]], return_inverse=True)
+            table = np.full((len(different), 4), -1, np.int64)
+            for row, code in zip(table, different.tolist()):
+                raw = chr(code).encode("utf-8", "surrogatepass")
+                row[: len(raw)] = [self.vocabulary.bytes[b] for b in raw]
+            wide = table[which]
+            counts = np.ones(len(ids), np.int64)
+            counts[spelt] = (wide >= 0).sum(axis=1)
+            ends = np.concatenate([[0], np.cumsum(counts)])[ends]
+            ids, spelt = np.repeat(ids, counts), np.repeat(spelt, counts)
+            ids[spelt] = wide[wide >= 0]
+        ids = ids.astype("<i4")
+        return [ids[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.vocabulary.raw
@@ -250,7 +265,9 @@ def encode(docs: DataFrame, model: str, text: str = "text", dropout: float = 0.0
     def run(batches):
         own = coder(model, dropout, seed)
         for batch in batches:
-            ids = [None if t is None else own.encode(t) for t in batch.column(place).to_pylist()]
+            texts = batch.column(place).to_pylist()
+            coded = own.encode_all([t or "" for t in texts])
+            ids = [None if t is None else c for t, c in zip(texts, coded)]
             kept = [c for c, name in zip(batch.columns, batch.schema.names) if name != out]
             names = [n for n in batch.schema.names if n != out]
             found = pa.array(ids, pa.list_(pa.int32()))
@@ -288,8 +305,8 @@ def round_trip(docs: DataFrame, model: str, text: str = "text", key: str = "doc_
         first, last = min(own.vocabulary.bytes), max(own.vocabulary.bytes)
         for batch in batches:
             out = []
-            for t in batch.column(1).to_pylist():
-                ids = own.encode(t or "")
+            texts = batch.column(1).to_pylist()
+            for t, ids in zip(texts, own.encode_all([t or "" for t in texts])):
                 spelt = int(((ids >= first) & (ids <= last)).sum())
                 out.append((len(t or ""), len(ids), spelt, zlib.crc32(ids.tobytes()), own.decode(ids) == (t or "")))
             long = pa.int64()
