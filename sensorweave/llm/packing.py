@@ -16,7 +16,9 @@ an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import os
+import sys
 import unicodedata
 import zlib
 
@@ -27,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.llm import merging
 from sensorweave.llm.common import cut, give_back, mix64
 
 LENGTH = 2048
 DIMS, BITS = 4, 12
 HASHED = 1024
 REMEMBERED = 500_000  # words, and pieces of words, of each of two generations in a worker
+CHARACTERS = 1 << 20  # of the texts that are merged at a time
 
 _coders: dict[str, WordCoder] = {}  # per worker process
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")  # the vocabulary's splitter
@@ -62,11 +66,13 @@ class Memory(dict):
 
 
 class WordCoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, those of the tokenizer.
 
-    The vocabulary's splitter drops white space, so no token spans a blank: the ids of a text are
-    those of its blank-separated words, and the ids of a word those of its pieces after the splitter.
-    Both are remembered. Words that the tokenizer might change before splitting go to it whole.
+    Where it is known what the tokenizer does before splitting, the pieces of many texts are found by
+    kinds of characters and merged together (`merging`). Of other texts, word by word: the vocabulary's
+    splitter drops white space, so no token spans a blank; the ids of a text are those of its
+    blank-separated words, and the ids of a word those of its pieces after the splitter. Both are
+    remembered. Words that the tokenizer might change before splitting go to it whole.
     """
 
     def __init__(self, path: str):
@@ -78,6 +84,18 @@ class WordCoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a piece
         self.closing[[i for token, i in vocabulary.items() if token.endswith(_CLOSE)]] = True
+        pairs = json.loads(self.tokenizer.to_str())["model"]["merges"]
+        left, right, made = np.array([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs], np.int64).reshape(-1, 3).T
+        self.merges = merging.Merges(left, right, np.arange(len(pairs)), made, len(self.closing))
+        # bytes have printable names: those that are none themselves have the characters from 256 on, in order
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = iter(range(256, 512))
+        names = [chr(b if b in own else next(others)) for b in range(256)]
+        self.inner, self.last = (np.array([vocabulary[name + suffix] for name in names], np.int32) for suffix in ("", _CLOSE))
+        self.kinds = np.full(sys.maxunicode + 1, 3, np.uint8)  # 0 blank, 1 letter, 2 number, 3 other
+        signs = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+        for kind, pattern in enumerate([r"\s", r"\p{L}", r"\p{N}"]):
+            self.kinds[np.frombuffer("".join(regex.findall(pattern, signs)).encode("utf-32-le"), "<u4")] = kind
 
     @staticmethod
     def single(piece: str) -> bool:
@@ -99,7 +117,81 @@ class WordCoder:
                 return _PIECES.findall(low)
         return [word]
 
+    @staticmethod
+    def plain(text: str) -> str | None:
+        """The text as the splitter gets it, up to the kind and number of blanks; None where that is not certain."""
+        spaced = text.replace("\n", " ").replace("\r", " ").replace("\t", " ")
+        low = spaced.lower()
+        if "<|" in spaced or not spaced.isprintable():
+            return None
+        if spaced.isascii() or (len(low) == len(spaced) and "Σ" not in spaced and unicodedata.is_normalized("NFC", spaced) and unicodedata.is_normalized("NFC", low)):
+            return low
+        return None
+
+    def _merged(self, texts: list[str], end: int) -> list[np.ndarray]:
+        """Ids of plain texts."""
+        whole = "".join([t + "  " for t in texts])  # two blanks: what is looked up behind a sign exists
+        codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        raw = np.frombuffer(whole.encode(), np.uint8)
+        kind = self.kinds[codes]
+        opens = kind != 0
+        opens[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        at = np.flatnonzero(opens & (codes == ord("'")))
+        one = at[np.isin(codes[at + 1], [ord(c) for c in "stmd"])]
+        following = codes[at + 1].astype(np.uint64) << np.uint64(32) | codes[at + 2]
+        two = at[np.isin(following, np.array([ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")], np.uint64))]
+        opens[one + 1] = opens[two + 1] = False
+        for rest in (one + 2, two + 3):
+            opens[rest[kind[rest] == 1]] = True
+        places = np.append(np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)), 0)  # in bytes: behind a character; the last: before the first
+        edges = np.flatnonzero(opens | (kind == 0))
+        starts = places[edges - 1]
+        sizes = np.diff(np.append(starts, len(raw)))
+        piece = opens[edges]
+        blanks = starts[~piece]
+        starts, sizes = starts[piece], sizes[piece]
+        symbols = self.inner[raw]
+        final = starts + sizes - 1
+        symbols[final] = self.last[raw[final]]
+        symbols[blanks] = -1
+        short = sizes <= merging.LONGEST
+        self.merges.merge(symbols, starts[short], sizes[short])
+        for start, size in zip(starts[~short].tolist(), sizes[~short].tolist()):
+            ids = self.tokenizer.encode(raw[start : start + size].tobytes().decode(), add_special_tokens=False).ids
+            symbols[start : start + size] = -1
+            symbols[start : start + len(ids)] = ids
+        stops = places[np.cumsum([len(t) + 2 for t in texts]) - 1]  # behind each text
+        symbols[stops - 1] = end
+        kept = np.flatnonzero(symbols >= 0)
+        ids = symbols[kept].astype("<u4")
+        ends = np.searchsorted(kept, stops).tolist()
+        return [ids[i:j] for i, j in zip([0, *ends], ends)]
+
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        unsure, held, size = [], [], 0
+        for i, text in enumerate(texts):
+            low = self.plain(text or "")
+            if low is None:
+                unsure.append(i)
+                continue
+            if held and size + len(low) > CHARACTERS:
+                self._fill(out, held, end)
+                held, size = [], 0
+            held.append((i, low))
+            size += len(low)
+        if held:
+            self._fill(out, held, end)
+        if unsure:
+            for i, ids in zip(unsure, self._by_words([texts[i] for i in unsure], end)):
+                out[i] = ids
+        return out
+
+    def _fill(self, out: list, held: list[tuple[int, str]], end: int) -> None:
+        for (i, _), ids in zip(held, self._merged([low for _, low in held], end)):
+            out[i] = ids
+
+    def _by_words(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         self.words.turn()
         self.pieces.turn()

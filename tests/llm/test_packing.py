@@ -35,6 +35,18 @@ def test_ids_are_those_of_the_whole_text():
         assert got.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_plain_texts_are_not_taken_word_by_word(monkeypatch):
+    """F op8: words met for the first time were split, looked up and joined one by one."""
+    coder, tokenizer = packing.WordCoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["", " ", "'s's 're'x ''s don't 'll", "x" * 90 + "!" * 70, "Été 1a22 日本 ½² ’s\t😀\r\n", "It's — \"fine\"…", "a'", "'l", "'"]
+    monkeypatch.setattr(packing.WordCoder, "_by_words", lambda *_: pytest.fail("word by word"), raising=False)
+    monkeypatch.setattr(packing.WordCoder, "split", lambda *_: pytest.fail("word by word"))
+    for size in (packing.CHARACTERS, 5):
+        monkeypatch.setattr(packing, "CHARACTERS", size)
+        for text, got in zip(texts, coder.encode(texts, 1)):
+            assert got.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+
+
 def _check(rows, texts, length):
     tokenizer = Tokenizer.from_file(PATH)
     by: dict = {}
