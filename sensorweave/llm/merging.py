@@ -34,9 +34,9 @@ class Merges:
         self.only[rank] = made
         self.only[rank[self.only[rank] != made]] = -1
         keys, todo = left.astype(np.int64) * (edge + 1) + right, np.arange(len(left), dtype=np.int32)
-        bits = max(4, int(8 * len(keys)).bit_length())
         self.levels: list[tuple] = []  # a pair whose place is taken is in a later table
         while len(todo):
+            bits = max(4, int(4 * len(todo)).bit_length())
             odd, shift = np.uint64((_ODD * (2 * len(self.levels) + 1)) & (1 << 64) - 1), np.uint64(64 - bits)
             slots, first = np.unique((keys.astype(np.uint64) * odd) >> shift, return_index=True)
             held, pairs = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
